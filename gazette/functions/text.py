@@ -132,7 +132,7 @@ def digest_title(kind: str, language, day=None) -> Column:
 
 def date_parse(s) -> Column:
     """ISO date (month/day may be unpadded) or NULL."""
-    return F.try_to_date(_c(s), F.lit("yyyy-M-d"))
+    return F.try_to_date(_c(s), "yyyy-M-d")
 
 
 def interest_score(title, summary, keywords: Iterable[str]) -> Column:

@@ -43,6 +43,8 @@ def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str
                    F.lit(0)).alias("_off"))
     # one row per partition: bounded by the partition count
     s = s.join(F.broadcast(offsets), "_pid").withColumn("_g", F.col("_off") + F.col("_local"))
+    if not by:
+        return s.withColumn(name, (F.col("_g") + 1).cast("long")).drop("_pid", "_local", "_off", "_g")
     starts = s.groupBy(*by).agg(F.min("_g").alias("_g0"))
     out = s.join(starts, list(by)).withColumn(name, (F.col("_g") - F.col("_g0") + 1).cast("int"))
     return out.drop("_pid", "_local", "_off", "_g", "_g0")

@@ -46,3 +46,159 @@ FROM pos QUALIFY row_number() OVER (PARTITION BY run_date ORDER BY has_full_text
 @register("deep_read_pick", DEEP_READ_SQL)
 def q_deep_read_pick(spark, sf):
     return daily.deep_reads(spark, sf, S_)
+
+
+# ------------------------------------------------------- sources and sinks
+def _feed_cat_sql(ord_sql: str) -> str:
+    whens = " ".join(f"WHEN {i} THEN {S.q(c)}" for i, c in enumerate(B.FEED_CATEGORIES) if c is not None)
+    return f"coalesce(CASE ({ord_sql}) % {len(B.FEED_CATEGORIES)} {whens} END, {S.q(C.DEFAULT_CATEGORY)})"
+
+
+@register("feed_dim", f"""SELECT CAST(regexp_extract(source, '[0-9]+', 0) AS BIGINT) AS feed_ord, source AS name,
+  'https://' || source || '.example/rss' AS url,
+  {_feed_cat_sql("CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER)")} AS category
+FROM (SELECT DISTINCT source FROM documents)""")
+def q_feed_dim(spark, sf):
+    return B.feeds(spark, sf).withColumn("feed_ord", F.col("feed_ord").cast("long"))
+
+
+@register("feed_top_n", f"""WITH {S.ENTRIES}
+SELECT run_date, CAST(feed_ord AS BIGINT) AS feed_ord, entry_pos, title, link FROM entries
+QUALIFY row_number() OVER (PARTITION BY run_date, feed_ord ORDER BY entry_pos) <= {S_.max_articles_per_feed}""")
+def q_feed_top_n(spark, sf):
+    top = ingest.feed_top_n(B.entries(spark, sf), S_.max_articles_per_feed)
+    return top.select("run_date", _long("feed_ord"), "entry_pos", "title", "link")
+
+
+@register("page_body", f"SELECT page_id, url, {S.page_body('html')} AS body FROM pages")
+def q_page_body(spark, sf):
+    return B.bodies(spark, sf).select("page_id", "url", "body")
+
+
+@register("body_or_fallback", f"""WITH b AS (SELECT page_id, {S.page_body('html')} AS body, {S.page_title('html')} AS fallback FROM pages)
+SELECT page_id, length(body) >= {C.MIN_FULLTEXT_CHARS} AS has_full_text,
+       CASE WHEN length(body) >= {C.MIN_FULLTEXT_CHARS} THEN body ELSE coalesce(fallback, '') END AS text,
+       CAST(length(CASE WHEN length(body) >= {C.MIN_FULLTEXT_CHARS} THEN body ELSE coalesce(fallback, '') END) AS BIGINT) AS n_chars
+FROM b""")
+def q_body_or_fallback(spark, sf):
+    b = ingest.body_or_fallback(B.bodies(spark, sf), body="body", fallback="fallback")
+    return b.select("page_id", "has_full_text", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# ------------------------------------------------- projections and scalars
+@register("normalize_title", f"WITH {S.ENTRIES} SELECT entry_pos, title, {S.norm_title('title')} AS norm_title FROM entries")
+def q_normalize_title(spark, sf):
+    return B.entries(spark, sf).select("entry_pos", "title", T.normalize_title("title").alias("norm_title"))
+
+
+@register("article_slug", f"WITH {S.ENTRIES} SELECT entry_pos, {S.slug('run_date', 'link', 'title')} AS slug FROM entries")
+def q_article_slug(spark, sf):
+    return B.entries(spark, sf).select("entry_pos", T.article_slug("run_date", "link", "title").alias("slug"))
+
+
+@register("reading_minutes", f"SELECT doc_id, CAST({S.reading_minutes('text')} AS BIGINT) AS read_minutes FROM documents")
+def q_reading_minutes(spark, sf):
+    d = B.table(spark, sf, "documents")
+    return d.select("doc_id", T.reading_minutes("text").cast("long").alias("read_minutes"))
+
+
+@register("script_counts", f"""SELECT doc_id, CAST({S.cjk('text')} AS BIGINT) AS cjk,
+  CAST({S.latin('text')} AS BIGINT) AS latin_words FROM documents""")
+def q_script_counts(spark, sf):
+    d = B.table(spark, sf, "documents")
+    return d.select("doc_id", T.cjk_count("text").cast("long").alias("cjk"),
+                    T.latin_word_count("text").cast("long").alias("latin_words"))
+
+
+_PARAS_SQL = f"""paras AS (
+  SELECT doc_id, CAST(generate_subscripts(ps, 1) AS BIGINT) AS para_no, unnest(ps) AS paragraph
+  FROM (SELECT doc_id, {S.split_paragraphs('text')} AS ps FROM documents))"""
+
+
+def _paragraphs(spark, sf):
+    d = B.table(spark, sf, "documents")
+    return (d.select("doc_id", F.posexplode(T.split_paragraphs("text")).alias("i", "paragraph"))
+             .select("doc_id", (F.col("i") + 1).cast("long").alias("para_no"), "paragraph"))
+
+
+@register("split_paragraphs", f"WITH {_PARAS_SQL} SELECT doc_id, para_no, paragraph FROM paras")
+def q_split_paragraphs(spark, sf):
+    return _paragraphs(spark, sf)
+
+
+@register("paragraph_cost", f"WITH {_PARAS_SQL} SELECT doc_id, para_no, {S.paragraph_cost('paragraph')} AS cost FROM paras")
+def q_paragraph_cost(spark, sf):
+    return _paragraphs(spark, sf).select("doc_id", "para_no", T.paragraph_cost("paragraph").alias("cost"))
+
+
+@register("clip_source", f"""WITH {S.ENTRIES}, b AS (
+  SELECT entry_pos, full_text, CASE WHEN {S.long_form('category', S_.long_form_categories)}
+         THEN {S_.longform_source_chars} ELSE {S_.summary_source_chars} END AS budget FROM entries)
+SELECT entry_pos, CAST(budget AS BIGINT) AS budget, {S.clip_source('full_text', 'budget')} AS clipped,
+       CAST(length({S.clip_source('full_text', 'budget')}) AS BIGINT) AS n_chars FROM b""")
+def q_clip_source(spark, sf):
+    e = B.entries(spark, sf).withColumn(
+        "budget", T.source_budget(T.is_long_form("category", S_.long_form_categories), S_))
+    c = T.clip_source("full_text", "budget")
+    return e.select("entry_pos", _long("budget"), c.alias("clipped"), F.length(c).cast("long").alias("n_chars"))
+
+
+@register("source_budget", f"""WITH {S.ENTRIES} SELECT entry_pos, {S.long_form('category', S_.long_form_categories)} AS long_form,
+  CAST(CASE WHEN {S.long_form('category', S_.long_form_categories)} THEN {S_.longform_source_chars}
+       ELSE {S_.summary_source_chars} END AS BIGINT) AS budget FROM entries""")
+def q_source_budget(spark, sf):
+    lf = T.is_long_form("category", S_.long_form_categories)
+    return B.entries(spark, sf).select("entry_pos", lf.alias("long_form"),
+                                       T.source_budget(lf, S_).cast("long").alias("budget"))
+
+
+@register("is_long_form", f"""WITH {S.ENTRIES} SELECT entry_pos, category,
+  {S.long_form('category', S_.long_form_categories)} AS long_form FROM entries""")
+def q_is_long_form(spark, sf):
+    return B.entries(spark, sf).select("entry_pos", "category",
+                                       T.is_long_form("category", S_.long_form_categories).alias("long_form"))
+
+
+_DATE_STR_SQL = """CASE o_orderkey % 5
+    WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+    WHEN 1 THEN CAST(year(o_orderdate) AS VARCHAR) || '-' || CAST(month(o_orderdate) AS VARCHAR) || '-' || CAST(day(o_orderdate) AS VARCHAR)
+    WHEN 2 THEN CAST(year(o_orderdate) AS VARCHAR) || '-' || CAST(month(o_orderdate) AS VARCHAR) || '-' || CAST(day(o_orderdate) + 27 AS VARCHAR)
+    WHEN 3 THEN 'day ' || CAST(o_orderkey AS VARCHAR)
+    ELSE strftime(o_orderdate, '%Y-%m-%d') || 'T00' END"""
+
+
+def _date_strings(spark, sf):
+    o = B.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    y, m, d = (F.year("o_orderdate").cast("string"), F.month("o_orderdate").cast("string"),
+               F.dayofmonth("o_orderdate"))
+    k = F.col("o_orderkey") % 5
+    s = (F.when(k == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+         .when(k == 1, F.concat_ws("-", y, m, d.cast("string")))
+         .when(k == 2, F.concat_ws("-", y, m, (d + 27).cast("string")))
+         .when(k == 3, F.concat(F.lit("day "), F.col("o_orderkey").cast("string")))
+         .otherwise(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00"))))
+    return o.select("o_orderkey", s.alias("s"))
+
+
+@register("date_parse", f"""SELECT o_orderkey, s, CAST(try_strptime(s, '%Y-%m-%d') AS DATE) AS parsed
+FROM (SELECT o_orderkey, {_DATE_STR_SQL} AS s FROM orders)""")
+def q_date_parse(spark, sf):
+    return _date_strings(spark, sf).select("o_orderkey", "s", T.date_parse("s").alias("parsed"))
+
+
+# ------------------------------------------------------------------ filters
+@register("drop_no_text", f"""WITH {S.candidates(S_)}
+SELECT entry_pos, has_full_text, CAST(length(text) AS BIGINT) AS n_chars FROM bodied WHERE length(text) > 0""")
+def q_drop_no_text(spark, sf):
+    top = ingest.feed_top_n(B.entries(spark, sf), S_.max_articles_per_feed)
+    kept = ingest.drop_no_text(ingest.body_or_fallback(top))
+    return kept.select("entry_pos", "has_full_text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("weekly_gate", f"""WITH {S.ENTRIES}
+SELECT DISTINCT run_date, {str(S_.weekly_roundup).lower()} AND isodow(run_date) - 1 = {S_.weekly_roundup_weekday} AS run_weekly
+FROM entries""")
+def q_weekly_gate(spark, sf):
+    from ..operators import history as Hs
+    days = B.entries(spark, sf).select("run_date").distinct()
+    return days.select("run_date", Hs.weekly_gate("run_date", S_).alias("run_weekly"))
