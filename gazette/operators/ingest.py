@@ -51,3 +51,12 @@ def with_article_fields(df: DataFrame, settings: C.Settings) -> DataFrame:
               .withColumn("deep_score", F.col("read_minutes") + 3 * F.col("interest")
                           + F.when(F.col("long_form"), 5).otherwise(0))
               .withColumn("slug", T.article_slug("run_date", "link", "title")))
+
+
+def seen_anti_by_day(entries: DataFrame, seen: DataFrame, hold_days: int) -> DataFrame:
+    """Each run's entries whose link was not accepted in the ``hold_days`` days before the run:
+    an equi-join on link with a day-range condition (state holds one row per link and day)."""
+    s = seen.select(F.col("link").alias("_link"), F.col("first_seen").alias("_seen"))
+    cond = ((F.col("link") == F.col("_link")) & (F.col("_seen") < F.col("run_date"))
+            & (F.col("_seen") >= F.date_sub(F.col("run_date"), hold_days)))
+    return entries.join(s, cond, "left_anti")

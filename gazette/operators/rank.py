@@ -51,3 +51,15 @@ def digest_totals(positioned: DataFrame) -> DataFrame:
                  F.sum("read_minutes").cast("long").alias("minutes"),
                  F.avg(F.col("has_full_text").cast("double")).alias("full_text_share"),
                  F.grouping_id().alias("level")))
+
+
+def day_flatten(positioned: DataFrame) -> DataFrame:
+    """The day's snapshot rows in (category, rank) order: the ``recent`` state table."""
+    return positioned.select(F.col("run_date").alias("day"), "pos", "title",
+                             F.col("summary_text").alias("summary"), F.col("feed").alias("source"))
+
+
+def category_concat(articles: DataFrame) -> DataFrame:
+    """Articles of one category appended feed by feed: position before scoring."""
+    return ranked(articles, ["run_date", "category"], [F.col("feed_ord").asc(), F.col("entry_pos").asc()],
+                  "concat_pos")

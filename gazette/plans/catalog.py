@@ -202,3 +202,239 @@ def q_weekly_gate(spark, sf):
     from ..operators import history as Hs
     days = B.entries(spark, sf).select("run_date").distinct()
     return days.select("run_date", Hs.weekly_gate("run_date", S_).alias("run_weekly"))
+
+
+# ------------------------------------------------- scores, groups, ranking
+def _all_articles(spark, sf):
+    return daily.candidate_articles(B.entries(spark, sf), S_, limit=False)
+
+
+@register("interest_score", f"WITH {S.candidates(S_, False)} SELECT entry_pos, CAST(interest AS BIGINT) AS interest FROM arts2")
+def q_interest_score(spark, sf):
+    return _all_articles(spark, sf).select("entry_pos", _long("interest"))
+
+
+@register("deep_score", f"""WITH {S.candidates(S_, False)} SELECT entry_pos, CAST(read_minutes AS BIGINT) AS read_minutes,
+  CAST(interest AS BIGINT) AS interest, long_form, CAST(deep_score AS BIGINT) AS deep_score FROM arts2""")
+def q_deep_score(spark, sf):
+    return _all_articles(spark, sf).select("entry_pos", _long("read_minutes"), _long("interest"), "long_form",
+                                           _long("deep_score"))
+
+
+@register("category_groups", f"""WITH {S.positioned(S_, False)}
+SELECT run_date, category, CAST(first.f AS BIGINT) AS first_feed_ord, CAST(cat_ord AS BIGINT) AS cat_ord,
+       CAST(n_articles AS BIGINT) AS n_articles FROM cats2""")
+def q_category_groups(spark, sf):
+    g = rank.category_groups(_all_articles(spark, sf))
+    return g.select("run_date", "category", _long("first_feed_ord"), _long("cat_ord"), _long("n_articles"))
+
+
+@register("rank_in_category", f"""WITH {S.positioned(S_, False)}
+SELECT run_date, category, entry_pos, CAST(interest AS BIGINT) AS interest, CAST(cat_rank AS BIGINT) AS cat_rank FROM ranked""")
+def q_rank_in_category(spark, sf):
+    r = rank.rank_in_category(_all_articles(spark, sf))
+    return r.select("run_date", "category", "entry_pos", _long("interest"), _long("cat_rank"))
+
+
+@register("category_concat", f"""WITH {S.candidates(S_, False)}
+SELECT run_date, category, entry_pos, CAST(row_number() OVER (PARTITION BY run_date, category ORDER BY feed_ord, entry_pos) AS BIGINT) AS concat_pos
+FROM arts2""")
+def q_category_concat(spark, sf):
+    c = rank.category_concat(_all_articles(spark, sf))
+    return c.select("run_date", "category", "entry_pos", _long("concat_pos"))
+
+
+@register("day_flatten", f"WITH {S.recent(S_, False)} SELECT day, pos, title, summary, source FROM recent")
+def q_day_flatten(spark, sf):
+    return daily.recent_rows(spark, sf, S_, limit=False)
+
+
+@register("digest_totals", f"""WITH {S.positioned(S_, False)}
+SELECT run_date, feed, count(*) AS n_articles, CAST(sum(read_minutes) AS BIGINT) AS minutes,
+       avg(CAST(has_full_text AS DOUBLE)) AS full_text_share, CAST(grouping(run_date, feed) AS INTEGER) AS level
+FROM pos GROUP BY ROLLUP (run_date, feed)""")
+def q_digest_totals(spark, sf):
+    return rank.digest_totals(daily.positioned(_all_articles(spark, sf)))
+
+
+@register("feed_lookup", f"""WITH {S.ENTRIES}, feeds AS (
+  SELECT CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER) AS feed_ord, source AS name,
+         {_feed_cat_sql("CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER)")} AS category
+  FROM (SELECT DISTINCT source FROM documents))
+SELECT e.entry_pos, f.name AS source, f.category AS feed_category FROM entries e LEFT JOIN feeds f USING (feed_ord)""")
+def q_feed_lookup(spark, sf):
+    return ingest.feed_lookup(B.entries(spark, sf), B.feeds(spark, sf)).select("entry_pos", "source", "feed_category")
+
+
+# --------------------------------------------------------- state over days
+SEEN_HOLD = S_.seen_retention_days + 1
+
+
+@register("seen_anti", f"""WITH {S.ENTRIES}, seen AS (SELECT DISTINCT link, run_date AS first_seen FROM entries)
+SELECT e.run_date, e.entry_pos, e.link FROM entries e
+WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.link = e.link
+                  AND s.first_seen >= e.run_date - {SEEN_HOLD} AND s.first_seen < e.run_date)""")
+def q_seen_anti(spark, sf):
+    e = B.entries(spark, sf)
+    seen = e.select("link", F.col("run_date").alias("first_seen")).distinct()
+    return ingest.seen_anti_by_day(e, seen, SEEN_HOLD).select("run_date", "entry_pos", "link")
+
+
+_FILES_SQL = f"""files AS (
+  SELECT o_orderkey, o_orderdate, strftime(o_orderdate, '%Y-%m-%d') AS d,
+         strftime(o_orderdate, '%Y-%m-%d') || '-' || substr(sha1(CAST(o_orderkey AS VARCHAR)), 1, 10) AS slug FROM orders),
+named AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 4 <= 1 THEN 'archive' ELSE 'article' END AS kind,
+    CASE WHEN o_orderkey % 13 = 0 THEN 'draft-' || d || '.html'
+         WHEN o_orderkey % 4 = 0 THEN d || '.html'
+         WHEN o_orderkey % 4 = 1 THEN d || '-sans.html'
+         WHEN o_orderkey % 4 = 2 THEN slug || '.html'
+         ELSE slug || '-p2-sans.html' END AS file_name FROM files),
+dated AS (
+  SELECT *, CASE WHEN kind = 'article' THEN CAST(try_strptime(substr(file_name, 1, 10), '%Y-%m-%d') AS DATE)
+                 ELSE CAST(try_strptime(regexp_replace(regexp_replace(file_name, '\\.html$', ''), '-sans$', ''), '%Y-%m-%d') AS DATE)
+            END AS file_date FROM named)"""
+
+
+@register("retention_dated_files", f"""WITH {_FILES_SQL}
+SELECT o_orderkey, kind, file_name, file_date FROM dated
+WHERE file_date IS NULL OR file_date >= DATE {S.q(B.FILE_RUN_DATE)} - {S_.archive_retention_days}""")
+def q_retention_dated_files(spark, sf):
+    from ..operators import history as Hs
+    return Hs.retention_dated_files(B.dated_files(spark, sf), B.FILE_RUN_DATE, S_.archive_retention_days)
+
+
+@register("retention_recent", f"""WITH {_FILES_SQL}, keys AS (SELECT o_orderkey, regexp_replace(file_name, '(-sans)?\\.html$', '') AS day_key FROM named)
+SELECT o_orderkey, day_key, CAST(try_strptime(day_key, '%Y-%m-%d') AS DATE) AS day FROM keys
+WHERE try_strptime(day_key, '%Y-%m-%d') IS NOT NULL
+  AND CAST(try_strptime(day_key, '%Y-%m-%d') AS DATE) >= DATE {S.q(B.FILE_RUN_DATE)} - {S_.recent_retention_days}""")
+def q_retention_recent(spark, sf):
+    from ..operators import history as Hs
+    keys = B.dated_files(spark, sf).select("o_orderkey", F.regexp_replace("file_name", r"(-sans)?\.html$", "").alias("day_key"))
+    return Hs.retention_recent(keys, "day_key", B.FILE_RUN_DATE, S_.recent_retention_days)
+
+
+_SIGHT_SQL = "sight AS (SELECT DISTINCT CAST(user_id AS VARCHAR) || '/' || event_type AS link, CAST(ts AS DATE) AS day FROM events)"
+
+
+@register("previous_day", f"""WITH {_SIGHT_SQL}
+SELECT day, lag(day) OVER (ORDER BY day) AS prev_day FROM (SELECT DISTINCT day FROM sight)""")
+def q_previous_day(spark, sf):
+    from ..operators import history as Hs
+    return Hs.previous_day(B.sightings(spark, sf))
+
+
+@register("archive_prev_link", f"""WITH {_FILES_SQL}, days AS (SELECT DISTINCT file_date AS day FROM dated WHERE kind = 'archive' AND file_date IS NOT NULL),
+m AS (SELECT max(day) AS m1 FROM days), m2 AS (SELECT max(day) AS m2 FROM days, m WHERE day < m1)
+SELECT day, CASE WHEN day = m1 THEN m2 ELSE m1 END || '.html' AS prev_file FROM days, m, m2""")
+def q_archive_prev_link(spark, sf):
+    from ..operators import history as Hs
+    f = Hs.retention_dated_files(B.dated_files(spark, sf), B.FILE_RUN_DATE, 0)
+    days = f.where((F.col("kind") == "archive") & F.col("file_date").isNotNull()).select(F.col("file_date").alias("day"))
+    p = Hs.archive_prev(days)
+    return p.select("day", F.concat(F.date_format("prev_day", "yyyy-MM-dd"), F.lit(".html")).alias("prev_file"))
+
+
+@register("archive_index", f"""WITH {_FILES_SQL}, stems AS (SELECT DISTINCT regexp_replace(file_name, '\\.html$', '') AS day_key FROM named
+  WHERE kind = 'archive' AND file_name LIKE '%.html' AND file_name NOT LIKE '%-sans.html' AND file_name <> 'index.html')
+SELECT day_key, row_number() OVER (ORDER BY day_key DESC) AS position FROM stems""")
+def q_archive_index(spark, sf):
+    from ..operators import history as Hs
+    return Hs.archive_index(B.dated_files(spark, sf))
+
+
+@register("recent_before", f"""WITH {S.recent(S_, False)} SELECT max(day) AS newest, count(DISTINCT day) AS n_days FROM recent""")
+def q_recent_before(spark, sf):
+    r = daily.recent_rows(spark, sf, S_, limit=False)
+    return r.agg(F.max("day").alias("newest"), F.countDistinct("day").alias("n_days"))
+
+
+@register("week_join", f"""WITH {S.recent(S_, False)}, targets AS (SELECT DISTINCT day AS target_day FROM recent)
+SELECT t.target_day, r.day, r.pos, r.title FROM recent r JOIN targets t ON r.day BETWEEN t.target_day - 6 AND t.target_day""")
+def q_week_join(spark, sf):
+    from ..operators import history as Hs
+    r = daily.recent_rows(spark, sf, S_, limit=False)
+    return Hs.week_join(r, r.select("day")).select("target_day", "day", "pos", "title")
+
+
+_WEEK_SQL = f"""{S.recent(S_, False)}, targets AS (SELECT DISTINCT day AS target_day FROM recent),
+wk AS (SELECT t.target_day, r.*, row_number() OVER (PARTITION BY t.target_day ORDER BY r.day, r.pos) AS week_pos
+       FROM recent r JOIN targets t ON r.day BETWEEN t.target_day - 6 AND t.target_day)"""
+
+
+@register("week_articles", f"""WITH {_WEEK_SQL}
+SELECT target_day, CAST(week_pos AS BIGINT) AS week_pos, day, pos, title FROM wk WHERE week_pos <= {C.WEEKLY_MAX_ARTICLES}""")
+def q_week_articles(spark, sf):
+    from ..operators import history as Hs
+    r = daily.recent_rows(spark, sf, S_, limit=False)
+    return Hs.week_articles(r, r.select("day")).select("target_day", _long("week_pos"), "day", "pos", "title")
+
+
+@register("week_label", f"""WITH {_WEEK_SQL}
+SELECT target_day, count(*) AS n_articles,
+       CASE WHEN count(*) > 0 THEN strftime(target_day - 6, '%Y-%m-%d') || ' – ' || strftime(target_day, '%Y-%m-%d') ELSE '' END AS week_label
+FROM wk GROUP BY target_day""")
+def q_week_label(spark, sf):
+    from ..operators import history as Hs
+    r = daily.recent_rows(spark, sf, S_, limit=False)
+    n = Hs.week_join(r, r.select("day")).groupBy("target_day").agg(F.count(F.lit(1)).alias("n_articles"))
+    return n.select("target_day", "n_articles", Hs.week_label("target_day", "n_articles").alias("week_label"))
+
+
+_REPLAY_SQL = f"""{_SIGHT_SQL},
+runs AS (SELECT day, lag(day) OVER (ORDER BY day) AS prev_run FROM (SELECT DISTINCT day FROM sight)),
+x AS (SELECT s.link, s.day, r.prev_run, row_number() OVER (PARTITION BY s.link ORDER BY s.day) AS rn FROM sight s JOIN runs r USING (day)),
+rec(link, rn, day, last, acc) AS (
+  SELECT link, rn, day, day, true FROM x WHERE rn = 1
+  UNION ALL
+  SELECT x.link, x.rn, x.day,
+         CASE WHEN rec.last < x.prev_run - {S_.seen_retention_days} THEN x.day ELSE rec.last END,
+         rec.last < x.prev_run - {S_.seen_retention_days}
+  FROM rec JOIN x ON x.link = rec.link AND x.rn = rec.rn + 1),
+accepted AS (SELECT link, day FROM rec WHERE acc)"""
+
+
+@register("replay_seen", f"WITH RECURSIVE {_REPLAY_SQL} SELECT link, day FROM accepted")
+def q_replay_seen(spark, sf):
+    from ..operators import history as Hs
+    return Hs.replay_seen(B.sightings(spark, sf), S_.seen_retention_days)
+
+
+@register("seen_upsert", f"""WITH RECURSIVE {_REPLAY_SQL},
+last_day AS (SELECT max(day) AS d FROM sight)
+SELECT link, max(day) AS first_seen FROM accepted GROUP BY link""")
+def q_seen_upsert(spark, sf):
+    from ..operators import history as Hs
+    acc = Hs.replay_seen(B.sightings(spark, sf), S_.seen_retention_days).select("link", F.col("day").alias("first_seen"))
+    last = acc.select(F.max("first_seen")).scalar()
+    state = acc.where(F.col("first_seen") < last)
+    new = acc.where(F.col("first_seen") == last)
+    return Hs.seen_upsert(state, new)
+
+
+@register("recent_upsert", f"""WITH {S.recent(S_, False)}, last AS (SELECT max(day) AS d FROM recent),
+today AS (SELECT p.run_date AS day, CAST(row_number() OVER (ORDER BY p.pos) AS BIGINT) AS pos, p.title, p.summary_text AS summary, p.feed AS source
+          FROM pos p, last WHERE p.run_date = last.d AND p.has_full_text)
+SELECT day, pos, title, summary, source FROM recent WHERE day <> (SELECT d FROM last)
+UNION ALL SELECT day, pos, title, summary, source FROM today""")
+def q_recent_upsert(spark, sf):
+    from ..operators import history as Hs
+    from ..operators.ordering import ranked
+    arts = daily.positioned(_all_articles(spark, sf))
+    recent = rank.day_flatten(arts)
+    last = recent.select(F.max("day")).scalar()
+    rerun = arts.where((F.col("run_date") == last) & F.col("has_full_text"))
+    today = ranked(rerun, ["run_date"], [F.col("pos").asc()], "pos2").withColumn("pos", F.col("pos2").cast("long"))
+    return Hs.recent_upsert(recent, rank.day_flatten(today))
+
+
+@register("retention_seen", f"""WITH RECURSIVE {_REPLAY_SQL}, state AS (SELECT link, max(day) AS first_seen FROM accepted GROUP BY link)
+SELECT link, first_seen FROM state WHERE first_seen >= (SELECT max(day) FROM sight) - {S_.seen_retention_days}""")
+def q_retention_seen(spark, sf):
+    """The seen state after replaying the whole history, pruned at the end of the last run."""
+    from ..operators import history as Hs
+    s = B.sightings(spark, sf)
+    acc = Hs.replay_seen(s, S_.seen_retention_days)
+    state = acc.groupBy("link").agg(F.max("day").alias("first_seen"))
+    return Hs.retention_seen(state, s.select(F.max("day")).scalar(), S_.seen_retention_days)

@@ -17,9 +17,10 @@ from ..operators import ingest, rank
 from ..sources import bindings
 
 
-def candidate_articles(entries: DataFrame, settings: C.Settings) -> DataFrame:
-    """Limited, text-bearing entries with all per-article fields (no de-duplication)."""
-    top = ingest.feed_top_n(entries, settings.max_articles_per_feed)
+def candidate_articles(entries: DataFrame, settings: C.Settings, limit: bool = True) -> DataFrame:
+    """Limited, text-bearing entries with all per-article fields (no de-duplication).
+    ``limit=False`` skips the per-feed limit, for timing the per-article operators on whole tables."""
+    top = ingest.feed_top_n(entries, settings.max_articles_per_feed) if limit else entries
     return ingest.with_article_fields(ingest.drop_no_text(ingest.body_or_fallback(top)), settings)
 
 
@@ -39,3 +40,10 @@ def deep_reads(spark: SparkSession, sf_dir: str, settings: C.Settings = C.TEST_S
         F.col("deep_score").cast("long").alias("deep_score"),
         F.col("pos").cast("long").alias("pos"),
     )
+
+
+def recent_rows(spark: SparkSession, sf_dir: str, settings: C.Settings = C.TEST_SETTINGS,
+                limit: bool = False) -> DataFrame:
+    """The ``recent`` state: each day's snapshots (title, summary, source) at their day position."""
+    arts = positioned(candidate_articles(bindings.entries(spark, sf_dir), settings, limit))
+    return rank.day_flatten(arts)

@@ -136,11 +136,13 @@ ENTRIES = f"""entries AS (
   FROM documents)"""
 
 
-def candidates(settings: C.Settings) -> str:
+def candidates(settings: C.Settings, limit: bool = True) -> str:
     """CTEs entries, top, bodied, arts: the Spark ``candidate_articles`` chain."""
     n = settings.max_articles_per_feed
+    top = (f"SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY run_date, feed_ord ORDER BY entry_pos) <= {n}"
+           if limit else "SELECT * FROM entries")
     return f"""{ENTRIES},
-top AS (SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY run_date, feed_ord ORDER BY entry_pos) <= {n}),
+top AS ({top}),
 bodied AS (SELECT *, length(coalesce(full_text, '')) >= {C.MIN_FULLTEXT_CHARS} AS has_full_text,
                  CASE WHEN length(coalesce(full_text, '')) >= {C.MIN_FULLTEXT_CHARS} THEN coalesce(full_text, '')
                       ELSE coalesce(summary, '') END AS text FROM top),
@@ -153,9 +155,9 @@ arts AS (SELECT *, {reading_minutes('text')} AS read_minutes,
 arts2 AS (SELECT *, read_minutes + 3 * interest + CASE WHEN long_form THEN 5 ELSE 0 END AS deep_score FROM arts)"""
 
 
-def positioned(settings: C.Settings) -> str:
+def positioned(settings: C.Settings, limit: bool = True) -> str:
     """CTEs up to ``pos``: category order, in-category rank, day position."""
-    return f"""{candidates(settings)},
+    return f"""{candidates(settings, limit)},
 cats AS (SELECT run_date, category, min({{'f': feed_ord, 'p': entry_pos}}) AS first, count(*) AS n_articles
          FROM arts2 GROUP BY run_date, category),
 cats2 AS (SELECT *, dense_rank() OVER (PARTITION BY run_date ORDER BY first.f, first.p) AS cat_ord FROM cats),
@@ -165,3 +167,9 @@ ranked AS (SELECT a.*, row_number() OVER (PARTITION BY a.run_date, a.category OR
            FROM arts2 a),
 pos AS (SELECT r.*, c.cat_ord, CAST(c.off + r.cat_rank AS BIGINT) AS pos
         FROM ranked r JOIN cats3 c USING (run_date, category))"""
+
+
+def recent(settings: C.Settings, limit: bool = False) -> str:
+    """CTE ``recent``: the day snapshots (day, pos, title, summary, source)."""
+    return f"""{positioned(settings, limit)},
+recent AS (SELECT run_date AS day, pos, title, summary_text AS summary, feed AS source FROM pos)"""
