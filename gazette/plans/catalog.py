@@ -438,3 +438,97 @@ def q_retention_seen(spark, sf):
     acc = Hs.replay_seen(s, S_.seen_retention_days)
     state = acc.groupBy("link").agg(F.max("day").alias("first_seen"))
     return Hs.retention_seen(state, s.select(F.max("day")).scalar(), S_.seen_retention_days)
+
+
+# ------------------------------------------------------------------ paging
+_PAGE_LINES = S_.article_page_lines
+
+_PAGINATE_SQL = f"""{_PARAS_SQL},
+costs AS (SELECT doc_id, para_no, paragraph, {S.paragraph_cost('paragraph')} AS cost FROM paras),
+rec(doc_id, para_no, page_no, used) AS (
+  SELECT doc_id, para_no, 1, cost FROM costs WHERE para_no = 1
+  UNION ALL
+  SELECT c.doc_id, c.para_no,
+         CASE WHEN r.used + c.cost > {_PAGE_LINES}.0 THEN r.page_no + 1 ELSE r.page_no END,
+         CASE WHEN r.used + c.cost > {_PAGE_LINES}.0 THEN 0.0::DOUBLE + c.cost ELSE r.used + c.cost END
+  FROM rec r JOIN costs c ON c.doc_id = r.doc_id AND c.para_no = r.para_no + 1)"""
+
+
+def _doc_articles(spark, sf):
+    return B.table(spark, sf, "documents").select("doc_id", "text")
+
+
+@register("paginate", f"""WITH RECURSIVE {_PAGINATE_SQL}
+SELECT doc_id, para_no, CAST(page_no AS BIGINT) AS page_no FROM rec""")
+def q_paginate(spark, sf):
+    from ..operators import paging as P
+    a = P.paginate(_doc_articles(spark, sf), "text", _PAGE_LINES)
+    z = a.select("doc_id", F.posexplode("para_page").alias("i", "page_no"))
+    return z.select("doc_id", (F.col("i") + 1).cast("long").alias("para_no"), F.col("page_no").cast("long").alias("page_no"))
+
+
+_DOC_PAGES_SQL = f"""{_PAGINATE_SQL},
+docs AS (SELECT doc_id, {S.slug("DATE '2024-01-01'", "''", "CAST(doc_id AS VARCHAR)")} AS slug,
+                {S.reading_minutes('text')} AS read_minutes FROM documents),
+pg AS (SELECT r.doc_id, r.page_no, count(*) AS n_paragraphs,
+              string_agg(c.paragraph, chr(10) ORDER BY c.para_no) AS page_text
+       FROM rec r JOIN costs c USING (doc_id, para_no) GROUP BY r.doc_id, r.page_no),
+pg_all AS (SELECT d.doc_id, d.slug, d.read_minutes, coalesce(pg.page_no, 1) AS page_no,
+                  coalesce(pg.n_paragraphs, 0) AS n_paragraphs, coalesce(pg.page_text, '') AS page_text
+           FROM docs d LEFT JOIN pg USING (doc_id)),
+pg_tot AS (SELECT *, max(page_no) OVER (PARTITION BY doc_id) AS page_total FROM pg_all),
+fonts AS (SELECT * FROM (VALUES {", ".join(f"({S.q(n)}, {S.q(s)})" for n, s in C.FONTS)}) f(font, suffix)),
+man AS (SELECT p.*, f.font, f.suffix,
+  CASE WHEN page_no = 1 THEN slug || '.html' ELSE slug || '-p' || page_no || '.html' END AS base,
+  CASE WHEN page_no > 1 THEN CASE WHEN page_no - 1 = 1 THEN slug || '.html' ELSE slug || '-p' || (page_no - 1) || '.html' END END AS prev_base,
+  CASE WHEN page_no < page_total THEN slug || '-p' || (page_no + 1) || '.html' END AS next_base
+  FROM pg_tot p, fonts f)"""
+
+
+def _sfx(col: str) -> str:
+    return f"CASE WHEN suffix = '' THEN {col} ELSE substr({col}, 1, length({col}) - 5) || suffix || '.html' END"
+
+
+def _doc_pages(spark, sf):
+    from ..operators import paging as P
+    d = _doc_articles(spark, sf).select(
+        "doc_id", "text", T.article_slug(F.lit("2024-01-01").cast("date"), F.lit(""), F.col("doc_id").cast("string")).alias("slug"),
+        T.reading_minutes("text").alias("read_minutes"))
+    return P.page_manifest(d, S_)
+
+
+@register("page_file_name", f"""WITH RECURSIVE {_DOC_PAGES_SQL}
+SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, font, {_sfx('base')} AS file_name FROM man""")
+def q_page_file_name(spark, sf):
+    return _doc_pages(spark, sf).select("doc_id", _long("page_no"), "font", "file_name")
+
+
+@register("font_cross", f"""WITH RECURSIVE {_DOC_PAGES_SQL}
+SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, font, suffix FROM man""")
+def q_font_cross(spark, sf):
+    return _doc_pages(spark, sf).select("doc_id", _long("page_no"), "font", "suffix")
+
+
+@register("page_neighbours", f"""WITH RECURSIVE {_DOC_PAGES_SQL}
+SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, font, {_sfx('prev_base')} AS prev_file, {_sfx('next_base')} AS next_file FROM man""")
+def q_page_neighbours(spark, sf):
+    return _doc_pages(spark, sf).select("doc_id", _long("page_no"), "font", "prev_file", "next_file")
+
+
+@register("page_first_last", f"""WITH RECURSIVE {_DOC_PAGES_SQL}
+SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, CAST(page_total AS BIGINT) AS page_total, font,
+       CAST(CASE WHEN page_no = 1 THEN read_minutes END AS BIGINT) AS minutes_shown, page_no = page_total AS show_qa FROM man""")
+def q_page_first_last(spark, sf):
+    return _doc_pages(spark, sf).select("doc_id", _long("page_no"), _long("page_total"), "font",
+                                        F.col("minutes_shown").cast("long").alias("minutes_shown"), "show_qa")
+
+
+@register("page_manifest", f"""WITH RECURSIVE {_DOC_PAGES_SQL}
+SELECT doc_id, slug, CAST(page_no AS BIGINT) AS page_no, CAST(page_total AS BIGINT) AS page_total, font,
+       {_sfx('base')} AS file_name, {_sfx('prev_base')} AS prev_file, {_sfx('next_base')} AS next_file,
+       CAST(n_paragraphs AS BIGINT) AS n_paragraphs, page_text FROM man""")
+def q_page_manifest(spark, sf):
+    m = _doc_pages(spark, sf)
+    return m.select("doc_id", "slug", _long("page_no"), _long("page_total"), "font", "file_name", "prev_file",
+                    "next_file", F.size("page_paragraphs").cast("long").alias("n_paragraphs"),
+                    F.array_join("page_paragraphs", "\n").alias("page_text"))
