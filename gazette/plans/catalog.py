@@ -532,3 +532,117 @@ def q_page_manifest(spark, sf):
     return m.select("doc_id", "slug", _long("page_no"), _long("page_total"), "font", "file_name", "prev_file",
                     "next_file", F.size("page_paragraphs").cast("long").alias("n_paragraphs"),
                     F.array_join("page_paragraphs", "\n").alias("page_text"))
+
+
+# ------------------------------------------------------------------ replies
+from ..functions import replies as R  # noqa: E402
+
+
+def _parsed(spark, sf):
+    return R.with_parsed(B.replies(spark, sf))
+
+
+_BOTH_QA = "(json_extract_string(x, '$.question') IS NOT NULL AND json_extract_string(x, '$.answer') IS NOT NULL)"
+_SUMMARY_OK = f"(j IS NOT NULL AND json_extract(j, '$.summary') IS NOT NULL AND {S.jlist_ok('j', 'qa', 3, _BOTH_QA)})"
+
+
+@register("parse_reply", f"""WITH {S.EVENT_REPLIES}, {S.parsed('replies', 'event_id')}
+SELECT event_id, j IS NOT NULL AS reply_ok, json_extract_string(j, '$.k') AS k FROM parsed""")
+def q_parse_reply(spark, sf):
+    p = R.with_parsed(B.event_replies(spark, sf))
+    return p.select("event_id", F.col("v").isNotNull().alias("reply_ok"), R.field("v", "$.k").alias("k"))
+
+
+@register("clean_summary", f"""WITH {S.replies()}, {S.parsed('replies', 'conv_id')}
+SELECT conv_id, {_SUMMARY_OK} AS reply_ok, {S.jtext('j', 'summary')} AS summary,
+       {S.jtext('j', 'summary_secondary')} AS summary_secondary,
+       CAST(len(list_slice({S.jlist('j', 'qa')}, 1, 3)) AS BIGINT) AS n_qa FROM parsed""")
+def q_clean_summary(spark, sf):
+    c = R.summary_reply(_parsed(spark, sf))
+    return c.select("conv_id", "reply_ok", "summary", "summary_secondary", F.size("qa").cast("long").alias("n_qa"))
+
+
+@register("drop_failed_reply", f"""WITH {S.replies()}, {S.parsed('replies', 'conv_id')}
+SELECT conv_id, {S.jtext('j', 'summary')} AS summary FROM parsed WHERE {_SUMMARY_OK}""")
+def q_drop_failed_reply(spark, sf):
+    c = R.summary_reply(_parsed(spark, sf))
+    return c.where(F.col("reply_ok")).select("conv_id", "summary")
+
+
+@register("qa_items", f"""WITH {S.replies()}, {S.parsed('replies', 'conv_id')},
+it AS (SELECT conv_id, unnest(list_slice({S.jlist('j', 'qa')}, 1, 3)) AS x,
+              unnest(generate_series(1, len(list_slice({S.jlist('j', 'qa')}, 1, 3)))) AS item_no
+       FROM parsed WHERE {_SUMMARY_OK})
+SELECT conv_id, CAST(item_no AS BIGINT) AS item_no, {S.jtext('x', 'question')} AS question, {S.jtext('x', 'answer')} AS answer FROM it""")
+def q_qa_items(spark, sf):
+    c = R.summary_reply(_parsed(spark, sf)).where(F.col("reply_ok"))
+    e = c.select("conv_id", F.posexplode("qa").alias("i", "qa"))
+    return e.select("conv_id", (F.col("i") + 1).cast("long").alias("item_no"), "qa.question", "qa.answer")
+
+
+_N_QUIZ = S_.quiz_questions
+_QUIZ_OK = f"(j IS NOT NULL AND {S.jlist_ok('j', 'quiz', _N_QUIZ, "json_type(x) = 'OBJECT'")})"
+
+
+@register("clean_quiz", f"""WITH {S.replies()}, {S.parsed('replies', 'conv_id')},
+it AS (SELECT conv_id, unnest(list_slice({S.jlist('j', 'quiz')}, 1, {_N_QUIZ})) AS x,
+              unnest(generate_series(1, len(list_slice({S.jlist('j', 'quiz')}, 1, {_N_QUIZ})))) AS src_no
+       FROM parsed WHERE {_QUIZ_OK}),
+kept AS (SELECT conv_id, src_no, {S.jtext('x', 'question')} AS question, {S.jtext('x', 'answer')} AS answer FROM it)
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY src_no) AS BIGINT) AS item_no, question, answer
+FROM kept WHERE length(question) > 0 AND length(answer) > 0""")
+def q_clean_quiz(spark, sf):
+    c = R.quiz_reply(_parsed(spark, sf), _N_QUIZ).where(F.col("reply_ok"))
+    e = c.select("conv_id", F.posexplode("quiz").alias("i", "q"))
+    return e.select("conv_id", (F.col("i") + 1).cast("long").alias("item_no"), "q.question", "q.answer")
+
+
+_GLOSS_ITEM_OK = "json_type(x) = 'OBJECT'"
+
+
+@register("clean_deep", f"""WITH {S.replies()}, {S.parsed('replies', 'conv_id')},
+d AS (SELECT conv_id, {S.jtext('j', 'background')} AS background, {S.jtext('j', 'implications')} AS implications,
+        len(list_filter(list_transform({S.jlist('j', 'points')}, lambda x: {S.strip("coalesce(json_extract_string(x, '$'), '')")}), lambda p: length(p) > 0)) AS n_points,
+        len(list_filter({S.jlist('j', 'glossary')}, lambda x: length({S.jtext('x', 'term')}) > 0 AND length({S.jtext('x', 'definition')}) > 0)) AS n_glossary
+      FROM parsed WHERE j IS NOT NULL AND {S.jlist_ok('j', 'glossary', None, _GLOSS_ITEM_OK)})
+SELECT conv_id, background, CAST(n_points AS BIGINT) AS n_points, implications, CAST(n_glossary AS BIGINT) AS n_glossary,
+       (length(background) > 0 OR n_points > 0 OR length(implications) > 0 OR n_glossary > 0) AS keep FROM d""")
+def q_clean_deep(spark, sf):
+    c = R.deep_reply(_parsed(spark, sf)).where(F.col("reply_ok"))
+    return c.select("conv_id", "background", F.size("points").cast("long").alias("n_points"), "implications",
+                    F.size("glossary").cast("long").alias("n_glossary"), "keep")
+
+
+_THEMES_SQL = f"""{S.replies()}, {S.parsed('replies', 'conv_id')},
+ok AS (SELECT * FROM parsed WHERE j IS NOT NULL AND {S.jlist_ok('j', 'themes', None, "json_type(x) = 'OBJECT'")}),
+th AS (SELECT conv_id, unnest({S.jlist('j', 'themes')}) AS x, unnest(generate_series(1, len({S.jlist('j', 'themes')}))) AS src_no FROM ok),
+th2 AS (SELECT conv_id, src_no, {S.jtext('x', 'title')} AS title, {S.jtext('x', 'body')} AS body FROM th),
+kept AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY src_no) AS theme_no FROM th2
+         WHERE length(title) > 0 AND length(body) > 0)"""
+
+
+@register("clean_weekly", f"""WITH {_THEMES_SQL}
+SELECT o.conv_id, {S.jtext('o.j', 'intro')} AS intro, CAST(count(k.conv_id) AS BIGINT) AS n_themes,
+       (length({S.jtext('o.j', 'intro')}) > 0 OR count(k.conv_id) > 0) AS keep
+FROM ok o LEFT JOIN kept k USING (conv_id) GROUP BY o.conv_id, o.j""")
+def q_clean_weekly(spark, sf):
+    c = R.weekly_reply(_parsed(spark, sf)).where(F.col("reply_ok"))
+    return c.select("conv_id", "intro", F.size("themes").cast("long").alias("n_themes"), "keep")
+
+
+@register("theme_paragraphs", f"""WITH {_THEMES_SQL},
+ps AS (SELECT conv_id, theme_no, list_filter(list_transform(string_split(body, chr(10)), lambda p: {S.strip('p')}), lambda p: length(p) > 0) AS paras FROM kept)
+SELECT conv_id, CAST(theme_no AS BIGINT) AS theme_no, CAST(generate_subscripts(paras, 1) AS BIGINT) AS para_no, unnest(paras) AS paragraph FROM ps""")
+def q_theme_paragraphs(spark, sf):
+    c = R.weekly_reply(_parsed(spark, sf)).where(F.col("reply_ok"))
+    t = c.select("conv_id", F.posexplode("themes").alias("ti", "t"))
+    p = t.select("conv_id", (F.col("ti") + 1).cast("long").alias("theme_no"),
+                 F.posexplode(R.theme_paragraphs("t.body")).alias("pi", "paragraph"))
+    return p.select("conv_id", "theme_no", (F.col("pi") + 1).cast("long").alias("para_no"), "paragraph")
+
+
+@register("clean_brief", f"""WITH {S.replies()}, {S.parsed('replies', 'conv_id')}
+SELECT conv_id, {S.jtext('j', 'brief')} AS brief FROM parsed WHERE j IS NOT NULL""")
+def q_clean_brief(spark, sf):
+    p = _parsed(spark, sf).where(F.col("v").isNotNull())
+    return p.select("conv_id", R.brief_text("v").alias("brief"))

@@ -173,3 +173,87 @@ def recent(settings: C.Settings, limit: bool = False) -> str:
     """CTE ``recent``: the day snapshots (day, pos, title, summary, source)."""
     return f"""{positioned(settings, limit)},
 recent AS (SELECT run_date AS day, pos, title, summary_text AS summary, feed AS source FROM pos)"""
+
+
+def js(x: str) -> str:
+    """JSON string literal of a text expression (same escapes as ``bindings.json_str``)."""
+    s = f"coalesce({x}, '')"
+    for a, b in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        s = f"replace({s}, {q(a)}, {q(b)})"
+    return f"('\"' || {s} || '\"')"
+
+
+def _noise(j: str, key: str, prose: tuple[str, str]) -> str:
+    return (f"CASE WHEN {key} % 4 = 1 THEN '```json' || chr(10) || {j} || chr(10) || '```' "
+            f"WHEN {key} % 4 = 2 THEN {q(prose[0])} || {j} || {q(prose[1])} "
+            f"WHEN {key} % 4 = 3 THEN substr({j}, 1, length({j}) // 2) ELSE {j} END")
+
+
+PAIRS = """pairs AS (
+  SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+  WHERE u.role = 'user')"""
+
+
+def replies() -> str:
+    """CTEs ``pairs``, ``replies(conv_id, reply)``: the synthetic model replies."""
+    ans_key = "(CASE WHEN conv_id % 7 = 6 THEN 'reply' ELSE 'answer' END)"
+    qa_item = f"""'{{"question": ' || {js('question')} || ', "' || {ans_key} || '": ' || {js('answer')} || '}}'"""
+    quiz_item = (f"""'{{"question": ' || {js("CASE WHEN pair_no = 2 THEN ' ' ELSE question END")} || """
+                 f"""', "answer": ' || {js('answer')} || '}}'""")
+    gloss_item = (f"""'{{"term": ' || {js("split_part(question, ' ', 1)")} || """
+                  f"""(CASE WHEN pair_no = 3 THEN '' ELSE ', "definition": ' || {js("split_part(answer, chr(10), 1)")} END) || '}}'""")
+    theme_item = (f"""'{{"title": ' || {js("CASE WHEN pair_no = 2 THEN '' ELSE split_part(question, ' ', 1) END")} || """
+                  f"""', "body": ' || {js('answer')} || '}}'""")
+
+    def agg(item: str) -> str:
+        return f"'[' || string_agg({item}, ', ' ORDER BY pair_no) || ']'"
+
+    members = ", ".join([
+        f"""CASE WHEN conv_id % 5 <> 4 THEN '"summary": ' || {js('q1')} END""",
+        f"""CASE WHEN conv_id % 3 = 0 THEN '"summary_secondary": ' || {js("split_part(a1, chr(10), 1)")} END""",
+        """'"qa": ' || qa""", """'"quiz": ' || quiz""", f"""'"brief": ' || {js('a1')}""",
+        f"""'"background": ' || {js('a1')}""", """'"points": ' || points""",
+        f"""'"implications": ' || {js('alast')}""", """'"glossary": ' || gloss""",
+        f"""'"intro": ' || {js('q1')}""", """'"themes": ' || themes"""])
+    from ..sources import bindings as B
+    return f"""{PAIRS},
+first_pairs AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pair_no FROM pairs
+                QUALIFY pair_no <= {B.REPLY_PAIRS}),
+rg AS (SELECT conv_id, {agg(qa_item)} AS qa, {agg(quiz_item)} AS quiz, {agg(js('question'))} AS points,
+              {agg(gloss_item)} AS gloss, {agg(theme_item)} AS themes,
+              max(CASE WHEN pair_no = 1 THEN question END) AS q1, max(CASE WHEN pair_no = 1 THEN answer END) AS a1,
+              arg_max(answer, pair_no) AS alast
+       FROM first_pairs GROUP BY conv_id),
+rj AS (SELECT conv_id, '{{' || concat_ws(', ', {members}) || '}}' AS j FROM rg),
+replies AS (SELECT conv_id, {_noise('j', 'conv_id', ('Here is the JSON you asked for:' + chr(10), chr(10) + 'Hope this helps.'))} AS reply FROM rj)"""
+
+
+EVENT_REPLIES = f"""replies AS (SELECT event_id, {_noise('props', 'event_id', ('Sure, here it is: ', ' -- done'))} AS reply FROM events)"""
+
+
+def parsed(src: str, key: str) -> str:
+    """CTE chain ending in ``parsed(key, reply, j)``: the lenient rule; ``j`` NULL on failure."""
+    return f"""u1 AS (SELECT {key}, reply, {strip("coalesce(reply, '')")} AS t FROM {src}),
+u2 AS (SELECT *, regexp_replace(t, '^`+|`+$', '', 'g') AS inner_t FROM u1),
+u3 AS (SELECT *, CASE WHEN starts_with(t, '```') THEN {strip("CASE WHEN starts_with(lower(inner_t), 'json') THEN substr(inner_t, 5) ELSE inner_t END")}
+                      ELSE t END AS u FROM u2),
+u4 AS (SELECT *, CASE WHEN strpos(u, '{{') > 0 AND strpos(u, '}}') > 0
+                      THEN substr(u, strpos(u, '{{'), greatest(length(u) - strpos(reverse(u), '}}') + 1 - strpos(u, '{{') + 1, 0)) END AS span
+       FROM u3),
+u5 AS (SELECT *, CASE WHEN json_valid(u) THEN u WHEN json_valid(span) THEN span END AS cand FROM u4),
+parsed AS (SELECT {key}, reply, CASE WHEN json_type(cand) = 'OBJECT' THEN CAST(cand AS JSON) END AS j FROM u5)"""
+
+
+def jtext(j: str, key: str) -> str:
+    return strip(f"coalesce(json_extract_string({j}, '$.{key}'), '')")
+
+
+def jlist(j: str, key: str) -> str:
+    return f"(CASE WHEN json_type({j}, '$.{key}') = 'ARRAY' THEN CAST(json_extract({j}, '$.{key}') AS JSON[]) ELSE CAST([] AS JSON[]) END)"
+
+
+def jlist_ok(j: str, key: str, n, item_ok: str) -> str:
+    head = jlist(j, key) if n is None else f"list_slice({jlist(j, key)}, 1, {n})"
+    return (f"(json_extract({j}, '$.{key}') IS NULL OR (json_type({j}, '$.{key}') = 'ARRAY' "
+            f"AND coalesce(list_bool_and(list_transform({head}, lambda x: {item_ok})), true)))")

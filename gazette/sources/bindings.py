@@ -155,12 +155,15 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('"intro": '), json_str(p0["question"])),
         F.concat(F.lit('"themes": '), _json_list(F.col("p"), theme_item)),
     )
-    j = F.concat(F.lit("{"), members, F.lit("}"))
+    g = g.withColumn("j", F.concat(F.lit("{"), members, F.lit("}")))
+    j = F.col("j")
     noised = (F.when(cid % 4 == 1, F.concat(F.lit("```json\n"), j, F.lit("\n```")))
               .when(cid % 4 == 2, F.concat(F.lit("Here is the JSON you asked for:\n"), j, F.lit("\nHope this helps.")))
               .when(cid % 4 == 3, F.substring(j, F.lit(1), (F.length(j) / 2).cast("int")))
               .otherwise(j))
-    return g.select("conv_id", noised.alias("reply"))
+    # Model replies are a landed table (the reply stage persists before use); landing the
+    # synthetic ones too keeps the reply text a leaf for the many parse expressions above it.
+    return g.select("conv_id", noised.alias("reply")).checkpoint(eager=True)
 
 
 def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
