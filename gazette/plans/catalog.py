@@ -646,3 +646,54 @@ SELECT conv_id, {S.jtext('j', 'brief')} AS brief FROM parsed WHERE j IS NOT NULL
 def q_clean_brief(spark, sf):
     p = _parsed(spark, sf).where(F.col("v").isNotNull())
     return p.select("conv_id", R.brief_text("v").alias("brief"))
+
+
+# -------------------------------------------------------- near-duplicates
+from ..operators import dedup as D  # noqa: E402
+
+_RATIO_SQL = """WITH RECURSIVE n AS (SELECT DISTINCT p_name AS s FROM part),
+p AS (SELECT row_number() OVER (ORDER BY a.s, b.s) AS id, b.s AS x, a.s AS y FROM n a JOIN n b ON a.s < b.s),
+w(id, x, y, m) AS (
+  SELECT id, x, y, 0 FROM p
+  UNION ALL
+  SELECT id, u.x, u.y, CASE WHEN u.k = 1 THEN len ELSE 0 END
+  FROM (SELECT id, x, y, best.len AS len, best.i AS i, best.j AS j
+        FROM w, LATERAL (
+          SELECT i, j, l AS len
+          FROM (SELECT unnest(range(1, length(w.x) + 1)) AS i) a,
+               (SELECT unnest(range(1, length(w.y) + 1)) AS j) b,
+               (SELECT unnest(range(1, least(length(w.x), length(w.y)) + 1)) AS l) q
+          WHERE i + l - 1 <= length(w.x) AND j + l - 1 <= length(w.y)
+            AND substr(w.x, i, l) = substr(w.y, j, l)
+          ORDER BY l DESC, i, j LIMIT 1) best
+        WHERE length(w.x) > 0 AND length(w.y) > 0) z,
+       LATERAL (SELECT * FROM (VALUES
+          (1, substr(z.x, 1, z.i - 1), substr(z.y, 1, z.j - 1)),
+          (2, substr(z.x, z.i + z.len), substr(z.y, z.j + z.len))) v(k, x, y)) u),
+r AS (SELECT p.x, p.y, 2.0::DOUBLE * sum(m) / (length(p.x) + length(p.y)) AS ratio
+      FROM w JOIN p USING (id) GROUP BY p.x, p.y)
+SELECT x, y, ratio FROM r WHERE ratio >= 0.75"""
+
+
+@register("title_ratio", _RATIO_SQL)
+def q_title_ratio(spark, sf):
+    """Exact ratio on the short distinct part names, through the blocked candidate path."""
+    t = B.short_titles(spark, sf).withColumn("g", F.lit(0))
+    s = D.similar_titles(t, "g", "title")
+    return s.where(F.col("new_title") > F.col("old_title")).select(
+        F.col("new_title").alias("x"), F.col("old_title").alias("y"), "ratio")
+
+
+@register("similar_titles")
+def q_similar_titles(spark, sf):
+    """Directed similar-title pairs inside each run (checked against difflib in tests)."""
+    e = B.entries(spark, sf).withColumn("norm_title", T.normalize_title("title"))
+    return D.similar_titles(e, "run_date", "norm_title")
+
+
+@register("dedup_greedy")
+def q_dedup_greedy(spark, sf):
+    """First-come de-duplication by link and similar title inside each run, over all entries."""
+    e = B.entries(spark, sf).withColumn("norm_title", T.normalize_title("title"))
+    d = D.dedup_greedy(e)
+    return d.where(F.col("accepted")).select("run_date", "entry_pos", "link", "norm_title")
