@@ -697,3 +697,116 @@ def q_dedup_greedy(spark, sf):
     e = B.entries(spark, sf).withColumn("norm_title", T.normalize_title("title"))
     d = D.dedup_greedy(e)
     return d.where(F.col("accepted")).select("run_date", "entry_pos", "link", "norm_title")
+
+
+# --------------------------------------------------- prompts and stand-ins
+from ..operators import prompts as PR  # noqa: E402
+from ..operators import summaries as SM  # noqa: E402
+from ..operators.history import week_articles as _week_articles  # noqa: E402
+
+
+def _recent(spark, sf):
+    return daily.recent_rows(spark, sf, S_, limit=False)
+
+
+_RECENT_SQL = S.recent(S_, False)
+
+
+@register("brief_prompt", f"""WITH {_RECENT_SQL}
+SELECT day, count(*) AS n_articles,
+       {S.q(PR.BRIEF_HEAD.format(lang=S_.language))} || string_agg(CAST(pos AS VARCHAR) || '. [' || source || '] ' || title || chr(10) || summary,
+                chr(10) || chr(10) ORDER BY pos) AS prompt
+FROM recent GROUP BY day""")
+def q_brief_prompt(spark, sf):
+    return PR.brief_prompt(_recent(spark, sf), S_).select("day", F.col("n_articles").cast("long").alias("n_articles"), "prompt")
+
+
+@register("quiz_prompt", f"""WITH {_RECENT_SQL},
+days AS (SELECT day, lag(day) OVER (ORDER BY day) AS prev_day FROM (SELECT DISTINCT day FROM recent)),
+blocks AS (SELECT day AS source_day, string_agg(CAST(pos AS VARCHAR) || '. ' || title || chr(10) || summary, chr(10) || chr(10) ORDER BY pos) AS b
+           FROM recent GROUP BY day)
+SELECT d.day, b.source_day, {S.q(PR.QUIZ_HEAD.format(n=S_.quiz_questions, lang=S_.language))} || b.b AS prompt
+FROM days d JOIN blocks b ON b.source_day = d.prev_day""")
+def q_quiz_prompt(spark, sf):
+    return PR.quiz_prompt(_recent(spark, sf), S_)
+
+
+@register("weekly_prompt", f"""WITH {_WEEK_SQL}
+SELECT target_day, count(*) AS n_articles,
+       {S.q(PR.WEEKLY_HEAD.format(lang=S_.language))} || string_agg('- (' || strftime(day, '%Y-%m-%d') || ', ' || source || ') ' || title || ': ' || summary,
+                chr(10) ORDER BY week_pos) AS prompt
+FROM wk WHERE week_pos <= {C.WEEKLY_MAX_ARTICLES} GROUP BY target_day""")
+def q_weekly_prompt(spark, sf):
+    r = _recent(spark, sf)
+    return PR.weekly_prompt(r, r.select("day"), S_).select(
+        "target_day", F.col("n_articles").cast("long").alias("n_articles"), "prompt")
+
+
+def _article_head_sql():
+    sec = PR.SECONDARY.format(lang2=S_.secondary_language) if S_.secondary_language else ""
+    return S.q(PR.ARTICLE_HEAD.format(lang=S_.language, secondary=sec))
+
+
+@register("article_prompt", f"""WITH {S.candidates(S_, False)}
+SELECT entry_pos, {_article_head_sql()} || CASE WHEN long_form THEN {S.q(PR.ESSAY_ANGLE)} ELSE {S.q(PR.NEWS_ANGLE)} END
+       || chr(10) || chr(10) || 'Title: ' || title || chr(10) || chr(10) || 'Article:' || chr(10)
+       || {S.clip_source('text', f'(CASE WHEN long_form THEN {S_.longform_source_chars} ELSE {S_.summary_source_chars} END)')} AS prompt
+FROM arts2""")
+def q_article_prompt(spark, sf):
+    return PR.article_prompt(_all_articles(spark, sf), S_).select("entry_pos", "prompt")
+
+
+@register("deep_prompt", f"""WITH {S.positioned(S_)},
+pick AS (SELECT * FROM pos QUALIFY row_number() OVER (PARTITION BY run_date ORDER BY has_full_text DESC, deep_score DESC, pos) = 1)
+SELECT run_date, slug, {S.q(PR.DEEP_HEAD.format(lang=S_.language))} || chr(10) || chr(10) || 'Title: ' || title || chr(10) || chr(10)
+       || 'Article:' || chr(10) || {S.clip_source('text', f'(CASE WHEN long_form THEN {S_.longform_source_chars} ELSE {S_.summary_source_chars} END)')} AS prompt
+FROM pick""")
+def q_deep_prompt(spark, sf):
+    arts = daily.positioned(daily.candidate_articles(B.entries(spark, sf), S_))
+    return PR.deep_prompt(rank.deep_read_pick(arts), S_).select("run_date", "slug", "prompt")
+
+
+_WORD_SQL = S.q(SM.WORD)
+_IDF_SQL = f"""nd AS (SELECT count(*) AS n FROM documents),
+dw AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), {_WORD_SQL})) AS word FROM documents),
+idf AS (SELECT word, ln(CAST((SELECT n FROM nd) AS DOUBLE) / count(*)) AS idf FROM dw GROUP BY word)"""
+
+
+@register("extractive_summary", f"""WITH {_IDF_SQL},
+s0 AS (SELECT doc_id, regexp_extract_all(text, {S.q(SM.SENTENCE)}) AS ss FROM documents),
+s1 AS (SELECT doc_id, unnest(ss) AS sentence, unnest(generate_series(0, len(ss) - 1)) AS sno FROM s0),
+s2 AS (SELECT doc_id, sno, trim(regexp_replace(sentence, '[\\t\\n\\f\\r ]+', ' ', 'g')) AS sentence FROM s1),
+s3 AS (SELECT * FROM s2 WHERE length(sentence) > 0),
+w AS (SELECT doc_id, sno, unnest(regexp_extract_all(lower(sentence), {_WORD_SQL})) AS word FROM s3),
+sc AS (SELECT doc_id, sno, round(avg(idf), 9) AS score FROM w JOIN idf USING (word) GROUP BY doc_id, sno),
+ranked AS (SELECT s3.*, coalesce(sc.score, 0.0) AS score FROM s3 LEFT JOIN sc USING (doc_id, sno)),
+top AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, sno) <= {SM.SUMMARY_SENTENCES})
+SELECT doc_id, string_agg(sentence, ' ' ORDER BY sno) AS summary FROM top GROUP BY doc_id""")
+def q_extractive_summary(spark, sf):
+    return SM.extractive_summary(B.table(spark, sf, "documents"), "doc_id", "text")
+
+
+@register("glossary_terms", f"""WITH {_IDF_SQL},
+tf AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), {_WORD_SQL})) AS word FROM documents) GROUP BY doc_id, word),
+sc AS (SELECT doc_id, word, round(tf * idf, 9) AS score FROM tf JOIN idf USING (word))
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, word) AS BIGINT) AS term_rank, word AS term
+FROM sc QUALIFY term_rank <= {SM.GLOSSARY_TERMS}""")
+def q_glossary_terms(spark, sf):
+    return SM.glossary_terms(B.table(spark, sf, "documents"), "doc_id", "text").select("doc_id", "term_rank", "term")
+
+
+def _theme_sql() -> str:
+    hay = "lower(concat_ws(' ', title, summary))"
+    whens = " ".join(f"WHEN contains({hay}, lower({S.q(k)})) THEN {S.q(k)}" for k in S_.interests)
+    ords = " ".join(f"WHEN theme = {S.q(k)} THEN {i}" for i, k in enumerate(S_.interests))
+    return f"""WITH {_WEEK_SQL},
+th AS (SELECT target_day, CASE {whens} END AS theme FROM wk WHERE week_pos <= {C.WEEKLY_MAX_ARTICLES}),
+g AS (SELECT target_day, theme, count(*) AS n_articles, CASE {ords} END AS kw_ord FROM th WHERE theme IS NOT NULL GROUP BY target_day, theme)
+SELECT target_day, CAST(row_number() OVER (PARTITION BY target_day ORDER BY n_articles DESC, kw_ord) AS BIGINT) AS theme_rank, theme, n_articles
+FROM g QUALIFY theme_rank <= {SM.MAX_THEMES}"""
+
+
+@register("week_themes", _theme_sql())
+def q_week_themes(spark, sf):
+    r = _recent(spark, sf)
+    return SM.week_themes(_week_articles(r, r.select("day")), S_.interests)
