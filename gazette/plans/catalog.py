@@ -810,3 +810,68 @@ FROM g QUALIFY theme_rank <= {SM.MAX_THEMES}"""
 def q_week_themes(spark, sf):
     r = _recent(spark, sf)
     return SM.week_themes(_week_articles(r, r.select("day")), S_.interests)
+
+
+# ---------------------------------------------------------------- streams
+from ..streaming import streams as ST  # noqa: E402
+
+_STREAM_DELAY_H = 1
+
+
+@register("stream_seen", f"WITH RECURSIVE {_REPLAY_SQL} SELECT link, day FROM accepted")
+def q_stream_seen(spark, sf):
+    s = B.sightings(spark, sf)
+    src = ST.read_stream(spark, ST.land(s, "sightings", "day"), s)
+    return ST.run_available(ST.stream_seen(src, S_.seen_retention_days), "stream-seen")
+
+
+@register("stream_seen_approx")
+def q_stream_seen_approx(spark, sf):
+    s = B.sightings(spark, sf)
+    src = ST.read_stream(spark, ST.land(s, "sightings", "day"), s)
+    return ST.run_available(ST.stream_seen_approx(src, S_.seen_retention_days), "stream-seen-approx")
+
+
+def _events(spark, sf):
+    return B.table(spark, sf, "events").select("event_id", "ts", "event_type")
+
+
+@register("stream_daily", f"""WITH wm AS (SELECT max(ts) - INTERVAL {_STREAM_DELAY_H} HOUR AS w FROM events)
+SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events, wm
+GROUP BY CAST(ts AS DATE), event_type, wm.w
+HAVING CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) <= wm.w""")
+def q_stream_daily(spark, sf):
+    e = _events(spark, sf)
+    src = ST.read_stream(spark, ST.land(e, "events", "ts"), e)
+    return ST.run_available(ST.stream_daily(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-daily")
+
+
+@register("stream_weekly", f"""WITH wm AS (SELECT max(ts) - INTERVAL {_STREAM_DELAY_H} HOUR AS w FROM events),
+ev AS (SELECT CAST(ts AS DATE) AS d, event_type FROM events),
+starts AS (SELECT ev.d - CAST(k AS INTEGER) AS start_day, event_type FROM ev, range(0, 7) r(k))
+SELECT start_day, event_type, count(*) AS n FROM starts, wm
+WHERE CAST(start_day + INTERVAL 7 DAY AS TIMESTAMP) <= wm.w
+GROUP BY start_day, event_type""")
+def q_stream_weekly(spark, sf):
+    e = _events(spark, sf)
+    src = ST.read_stream(spark, ST.land(e, "events", "ts"), e)
+    return ST.run_available(ST.stream_weekly(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-weekly")
+
+
+@register("stream_feed_lookup", ORACLE["feed_lookup"])
+def q_stream_feed_lookup(spark, sf):
+    e = B.entries(spark, sf)
+    src = ST.read_stream(spark, ST.land(e, "entries"), e)
+    out = ST.run_available(ST.stream_feed_lookup(src, B.feeds(spark, sf)), "stream-feed-lookup")
+    return out.select("entry_pos", "source", "feed_category")
+
+
+@register("stream_publish", f"WITH {_RECENT_SQL} SELECT day, pos, title, summary, source FROM recent")
+def q_stream_publish(spark, sf):
+    from ..session import scratch_path
+    r = _recent(spark, sf)
+    src = ST.read_stream(spark, ST.land(r, "recent", "day"), r)
+    table = scratch_path(spark, "published-days")
+    ST.stream_publish(src, table, "stream-publish")
+    ST.stream_publish(ST.read_stream(spark, ST.land(r, "recent-again", "day"), r), table, "stream-publish-rerun")
+    return spark.read.parquet(table).select("day", "pos", "title", "summary", "source")
