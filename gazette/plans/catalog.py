@@ -875,3 +875,46 @@ def q_stream_publish(spark, sf):
     ST.stream_publish(src, table, "stream-publish")
     ST.stream_publish(ST.read_stream(spark, ST.land(r, "recent-again", "day"), r), table, "stream-publish-rerun")
     return spark.read.parquet(table).select("day", "pos", "title", "summary", "source")
+
+
+# ------------------------------------------------------------- feed landing
+@register("feed_scan", f"""WITH {S.ENTRIES}
+SELECT feed, entry_pos, coalesce(nullif(title, ''), {S.q(C.DEFAULT_TITLE)}) AS title, link, summary FROM entries""")
+def q_feed_scan(spark, sf):
+    """Entries landed as XML feed documents and scanned back (empty elements read as missing)."""
+    from ..session import scratch_path
+    from ..sources import feeds as FS
+    path = FS.write_landing(B.entries(spark, sf), scratch_path(spark, "feeds-xml"))
+    return FS.feed_scan(spark, path)
+
+
+# -------------------------------------------------------- whole daily runs
+@register("daily_digest")
+def q_daily_digest(spark, sf):
+    """Every run day with seen state across days and first-come de-duplication (tests compare
+    it with a sequential re-statement of the daily loop)."""
+    d = daily.daily_digest(spark, sf, S_)
+    return d.select("run_date", "entry_pos", "slug", "title", "category", _long("cat_ord"), _long("cat_rank"),
+                    _long("pos"), _long("read_minutes"), _long("interest"), "has_full_text")
+
+
+@register("publish_rolling", f"""WITH {_RECENT_SQL},
+days AS (SELECT DISTINCT day FROM recent),
+hist AS (
+  SELECT day, 'weekly' AS product, CASE WHEN isodow(day) - 1 = {S_.weekly_roundup_weekday} THEN strftime(day, '%Y-%m-%d') END AS payload FROM days
+  UNION ALL SELECT day, 'quiz', CASE WHEN lag(day) OVER (ORDER BY day) IS NOT NULL THEN 'quiz of ' || strftime(lag(day) OVER (ORDER BY day), '%Y-%m-%d') END FROM days)
+SELECT product, max(day) AS as_of,
+       CASE WHEN product = 'weekly' THEN arg_max(payload, CASE WHEN payload IS NOT NULL THEN day END) ELSE arg_max(payload, day) END AS payload
+FROM hist GROUP BY product""")
+def q_publish_rolling(spark, sf):
+    """Rolling product pages as of the last run: weekly keeps the newest non-empty roundup."""
+    from ..operators import history as Hs
+    from ..sources import publish as PB
+    days = _recent(spark, sf).select("day").distinct()
+    weekly = days.select("day", F.lit("weekly").alias("product"),
+                         F.when(Hs.weekly_gate("day", S_), F.date_format("day", "yyyy-MM-dd")).alias("payload"))
+    prev = Hs.previous_day(days)
+    quiz = prev.select("day", F.lit("quiz").alias("product"),
+                       F.when(F.col("prev_day").isNotNull(),
+                              F.concat(F.lit("quiz of "), F.date_format("prev_day", "yyyy-MM-dd"))).alias("payload"))
+    return PB.rolling_products(weekly.unionByName(quiz))
