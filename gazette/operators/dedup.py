@@ -10,7 +10,8 @@ Ratcliff-Obershelp ratio of at least 0.75, without a cross join:
   order per run (rarest first), two such titles share a token among each one's
   first ``len - ceil(0.6 * len) + 1`` tokens (prefix filtering) -- an equi-join
   on token that loses no match;
-* candidates then pass the length band and the exact overlap bound natively;
+* candidates then pass the length band, the exact overlap bound and an edit-distance
+  bound (ratio <= 1 - levenshtein / (la + lb)) natively;
 * only the survivors reach ``difflib`` in an Arrow-batched UDF, both argument
   orders (the ratio is not symmetric).
 
@@ -93,6 +94,9 @@ def similar_titles(titles: DataFrame, group: str, title: str,
     lo, hi = F.least("lx", "ly"), F.greatest("lx", "ly")
     c = c.where(lo * 5 >= hi * 3)                                      # min/max >= 0.6
     c = c.where(F.size(F.array_intersect("kx", "ky")) * 8 >= (F.col("lx") + F.col("ly")) * 3)
+    # matching blocks form a common subsequence, so ratio <= 1 - levenshtein / (la + lb):
+    # a match needs 4 * levenshtein <= la + lb (native, before any Python)
+    c = c.where(F.levenshtein("x", "y") * 4 <= F.col("lx") + F.col("ly"))
     # exact ratios: spread the Python work over all shuffle partitions, one UDF call per pair
     n = int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     c = c.select("g", "x", "y").repartition(n, "g", "x", "y").withColumn("r", title_ratios("x", "y"))
