@@ -25,14 +25,20 @@ def rank_in_category(articles: DataFrame, score: str = "interest") -> DataFrame:
 
 
 def with_positions(articles: DataFrame) -> DataFrame:
-    """Add ``cat_ord``, ``cat_rank`` and the day position ``pos`` (category order, then rank)."""
-    r = rank_in_category(articles)
-    cats = category_groups(articles)
+    """Add ``cat_ord``, ``cat_rank`` and the day position ``pos`` (category order, then rank).
+
+    Ranking runs on a narrow key projection (the skew-safe ranker shuffles, samples and
+    lands its input); the positions are joined back to the wide article rows once."""
+    keys = articles.select("run_date", "category", "feed_ord", "entry_pos", "interest")
+    r = rank_in_category(keys)
+    cats = category_groups(r)
     w = Window.partitionBy("run_date").orderBy("cat_ord").rowsBetween(Window.unboundedPreceding, -1)
     offs = cats.select("run_date", "category", "cat_ord",
                        F.coalesce(F.sum("n_articles").over(w), F.lit(0)).alias("_off"))
-    return (r.join(offs, ["run_date", "category"])
-             .withColumn("pos", (F.col("_off") + F.col("cat_rank")).cast("int")).drop("_off"))
+    pos = (r.join(offs, ["run_date", "category"])
+            .select("run_date", "feed_ord", "entry_pos", "cat_ord", "cat_rank",
+                    (F.col("_off") + F.col("cat_rank")).cast("int").alias("pos")))
+    return articles.join(pos, ["run_date", "feed_ord", "entry_pos"])
 
 
 def deep_read_pick(positioned: DataFrame) -> DataFrame:

@@ -232,7 +232,8 @@ def q_category_groups(spark, sf):
 @register("rank_in_category", f"""WITH {S.positioned(S_, False)}
 SELECT run_date, category, entry_pos, CAST(interest AS BIGINT) AS interest, CAST(cat_rank AS BIGINT) AS cat_rank FROM ranked""")
 def q_rank_in_category(spark, sf):
-    r = rank.rank_in_category(_all_articles(spark, sf))
+    keys = _all_articles(spark, sf).select("run_date", "category", "feed_ord", "entry_pos", "interest")
+    r = rank.rank_in_category(keys)
     return r.select("run_date", "category", "entry_pos", _long("interest"), _long("cat_rank"))
 
 
@@ -240,7 +241,7 @@ def q_rank_in_category(spark, sf):
 SELECT run_date, category, entry_pos, CAST(row_number() OVER (PARTITION BY run_date, category ORDER BY feed_ord, entry_pos) AS BIGINT) AS concat_pos
 FROM arts2""")
 def q_category_concat(spark, sf):
-    c = rank.category_concat(_all_articles(spark, sf))
+    c = rank.category_concat(_all_articles(spark, sf).select("run_date", "category", "feed_ord", "entry_pos"))
     return c.select("run_date", "category", "entry_pos", _long("concat_pos"))
 
 
