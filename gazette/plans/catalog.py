@@ -919,3 +919,15 @@ def q_publish_rolling(spark, sf):
                        F.when(F.col("prev_day").isNotNull(),
                               F.concat(F.lit("quiz of "), F.date_format("prev_day", "yyyy-MM-dd"))).alias("payload"))
     return PB.rolling_products(weekly.unionByName(quiz))
+
+
+@register("late_rows", f"""WITH wm AS (SELECT max(ts) - INTERVAL {_STREAM_DELAY_H} HOUR AS w FROM events),
+b AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS batch_n FROM events GROUP BY CAST(ts AS DATE), event_type),
+s AS (SELECT b.*, CASE WHEN CAST(day + INTERVAL 1 DAY AS TIMESTAMP) <= wm.w THEN batch_n ELSE 0 END AS stream_n FROM b, wm)
+SELECT day, event_type, batch_n, stream_n, batch_n - stream_n AS late_or_open FROM s""")
+def q_late_rows(spark, sf):
+    """Rows the daily stream did not count (late, or in a window still open), per day and type."""
+    e = _events(spark, sf)
+    src = ST.read_stream(spark, ST.land(e, "events", "ts"), e)
+    out = ST.run_available(ST.stream_daily(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-late")
+    return ST.late_rows(e, out, "event_type")
