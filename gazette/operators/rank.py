@@ -37,7 +37,7 @@ def with_positions(articles: DataFrame) -> DataFrame:
                        F.coalesce(F.sum("n_articles").over(w), F.lit(0)).alias("_off"))
     pos = (r.join(offs, ["run_date", "category"])
             .select("run_date", "feed_ord", "entry_pos", "cat_ord", "cat_rank",
-                    (F.col("_off") + F.col("cat_rank")).cast("int").alias("pos")))
+                    (F.col("_off") + F.col("cat_rank")).cast("long").alias("pos")))
     return articles.join(pos, ["run_date", "feed_ord", "entry_pos"])
 
 

@@ -252,7 +252,7 @@ def q_day_flatten(spark, sf):
 
 @register("digest_totals", f"""WITH {S.positioned(S_, False)}
 SELECT run_date, feed, count(*) AS n_articles, CAST(sum(read_minutes) AS BIGINT) AS minutes,
-       avg(CAST(has_full_text AS DOUBLE)) AS full_text_share, CAST(grouping(run_date, feed) AS INTEGER) AS level
+       avg(CAST(has_full_text AS DOUBLE)) AS full_text_share, CAST(grouping(run_date, feed) AS BIGINT) AS level
 FROM pos GROUP BY ROLLUP (run_date, feed)""")
 def q_digest_totals(spark, sf):
     return rank.digest_totals(daily.positioned(_all_articles(spark, sf)))

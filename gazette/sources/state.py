@@ -12,12 +12,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from ..operators import history as Hs
 
 SEEN_SCHEMA = StructType([StructField("link", StringType()), StructField("first_seen", DateType())])
-RECENT_SCHEMA = StructType([StructField("day", DateType()), StructField("pos", IntegerType()),
+RECENT_SCHEMA = StructType([StructField("day", DateType()), StructField("pos", LongType()),
                             StructField("title", StringType()), StructField("summary", StringType()),
                             StructField("source", StringType())])
 
