@@ -69,3 +69,18 @@ def test_complete_batch_retries_and_lands(spark):
     assert calls.value == 3 * 4 + 6          # failures tried 4 times; a second action calls nothing
     assert rows[0].reply is None and rows[0].attempts == 4 and "provider down" in rows[0].error
     assert rows[1].reply == '{"summary": "ok "}' and rows[1].attempts == 1
+
+
+def test_publish_articles_partitions_by_slug_day(spark):
+    from gazette import config as C
+    from gazette.operators import paging as P
+    path = scratch_path(spark, "articles-test")
+    df = spark.createDataFrame([("2026-08-04-3e9781fff5", "\n".join(["x " * 100] * 3), 4),
+                                ("2026-08-05-489b06ed50", "short", 1)],
+                               "slug string, text string, read_minutes int")
+    m = P.page_manifest(df, C.Settings()).drop("paragraphs", "para_page")
+    PB.publish_articles(m, path)
+    PB.publish_articles(m, path)
+    t = spark.read.parquet(path)
+    assert t.count() == 2 * (3 + 1)
+    assert {r.day for r in t.select("day").distinct().collect()} == {dt.date(2026, 8, 4), dt.date(2026, 8, 5)}
