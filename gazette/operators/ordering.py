@@ -30,6 +30,9 @@ def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str
     """
     n = partitions or _partitions(df)
     keys = [F.col(c).asc() for c in by] + list(order)
+    # the range sampler and the shuffle both read the input: land it once (callers pass
+    # narrow key projections, so this write is small)
+    df = df.checkpoint(eager=True)
     s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
