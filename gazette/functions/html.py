@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import TRIM_WS, _c
+from .text import _c, strip_ws
 
 ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article\s*>"
 BODY = r"(?is)<body\b[^>]*>(.*?)</body\s*>"
@@ -42,8 +42,7 @@ def strip_markup(fragment) -> Column:
         out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
     out = F.regexp_replace(out, BLOCK_TAG, "\n")
     out = unescape(F.regexp_replace(out, ANY_TAG, ""))
-    lines = F.filter(F.transform(F.split(out, "\n", -1), lambda x: F.regexp_replace(x, TRIM_WS, "")),
-                     lambda x: F.length(x) > 0)
+    lines = F.filter(F.transform(F.split(out, "\n", -1), strip_ws), lambda x: F.length(x) > 0)
     return F.array_join(lines, "\n")
 
 
@@ -55,4 +54,4 @@ def page_body(html) -> Column:
 
 
 def page_title(html) -> Column:
-    return F.regexp_replace(unescape(F.regexp_extract(F.coalesce(_c(html), F.lit("")), TITLE, 1)), TRIM_WS, "")
+    return strip_ws(unescape(F.regexp_extract(F.coalesce(_c(html), F.lit("")), TITLE, 1)))

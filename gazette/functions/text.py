@@ -24,6 +24,9 @@ NON_WORD = r"[^\p{L}\p{N}_\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]"
 # Line boundaries as Python's ``str.splitlines()`` sees them.
 LINE_BREAK = r"\r\n|[\n\r\x0b\f\x1c-\x1e\x85\x{2028}\x{2029}]"
 TRIM_WS = rf"^{WS}+|{WS}+$"
+# The same set as characters, built from the rule Python's strip() uses (str.isspace), for
+# the native trim functions.
+WS_CHARS = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
 
 
 def _c(x) -> Column:
@@ -31,16 +34,16 @@ def _c(x) -> Column:
 
 
 def strip_ws(col) -> Column:
-    """Python ``str.strip()``."""
-    return F.regexp_replace(_c(col), TRIM_WS, "")
+    """Python ``str.strip()`` (native trim over the whitespace set)."""
+    return F.btrim(_c(col), F.lit(WS_CHARS))
 
 
 def rstrip_ws(col) -> Column:
-    return F.regexp_replace(_c(col), rf"{WS}+$", "")
+    return F.rtrim(_c(col), F.lit(WS_CHARS))
 
 
 def lstrip_ws(col) -> Column:
-    return F.regexp_replace(_c(col), rf"^{WS}+", "")
+    return F.ltrim(_c(col), F.lit(WS_CHARS))
 
 
 def normalize_title(title) -> Column:

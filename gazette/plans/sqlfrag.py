@@ -17,16 +17,19 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+WS_SQL = " || ".join(f"chr({ord(c)})" for c in T.WS_CHARS)
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(T.TRIM_WS)}, '', 'g')"
+    return f"trim({x}, {WS_SQL})"
 
 
 def rstrip(x: str) -> str:
-    return f"regexp_replace({x}, {q(T.WS + '+$')}, '', 'g')"
+    return f"rtrim({x}, {WS_SQL})"
 
 
 def lstrip(x: str) -> str:
-    return f"regexp_replace({x}, {q('^' + T.WS + '+')}, '', 'g')"
+    return f"ltrim({x}, {WS_SQL})"
 
 
 def norm_title(x: str) -> str:
