@@ -54,7 +54,8 @@ def deep_prompt(picks: DataFrame, settings: C.Settings) -> DataFrame:
 
 
 def _day_text(recent: DataFrame, block) -> DataFrame:
-    """One text per day: blocks in position order, joined by blank lines."""
+    """One text per day: blocks in position order, joined by blank lines.  The input is a
+    run's articles (after the per-feed limit), so a day holds at most feeds x limit rows."""
     g = recent.groupBy("day").agg(F.array_sort(F.collect_list(F.struct("pos", block.alias("b")))).alias("_b"))
     return g.select("day", F.array_join(F.transform("_b", lambda x: x["b"]), "\n\n").alias("blocks"),
                     F.size("_b").alias("n_articles"))

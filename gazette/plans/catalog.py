@@ -713,23 +713,32 @@ def _recent(spark, sf):
 _RECENT_SQL = S.recent(S_, False)
 
 
-@register("brief_prompt", f"""WITH {_RECENT_SQL}
+# Day prompts cover a run's articles, i.e. after the per-feed limit: one text per day is
+# bounded by feeds x limit (configuration), never by the size of the day's input.
+_RUN_SQL = S.recent(S_, True)
+
+
+def _run_recent(spark, sf):
+    return daily.recent_rows(spark, sf, S_, limit=True)
+
+
+@register("brief_prompt", f"""WITH {_RUN_SQL}
 SELECT day, count(*) AS n_articles,
        {S.q(PR.BRIEF_HEAD.format(lang=S_.language))} || string_agg(CAST(pos AS VARCHAR) || '. [' || source || '] ' || title || chr(10) || summary,
                 chr(10) || chr(10) ORDER BY pos) AS prompt
 FROM recent GROUP BY day""")
 def q_brief_prompt(spark, sf):
-    return PR.brief_prompt(_recent(spark, sf), S_).select("day", F.col("n_articles").cast("long").alias("n_articles"), "prompt")
+    return PR.brief_prompt(_run_recent(spark, sf), S_).select("day", F.col("n_articles").cast("long").alias("n_articles"), "prompt")
 
 
-@register("quiz_prompt", f"""WITH {_RECENT_SQL},
+@register("quiz_prompt", f"""WITH {_RUN_SQL},
 days AS (SELECT day, lag(day) OVER (ORDER BY day) AS prev_day FROM (SELECT DISTINCT day FROM recent)),
 blocks AS (SELECT day AS source_day, string_agg(CAST(pos AS VARCHAR) || '. ' || title || chr(10) || summary, chr(10) || chr(10) ORDER BY pos) AS b
            FROM recent GROUP BY day)
 SELECT d.day, b.source_day, {S.q(PR.QUIZ_HEAD.format(n=S_.quiz_questions, lang=S_.language))} || b.b AS prompt
 FROM days d JOIN blocks b ON b.source_day = d.prev_day""")
 def q_quiz_prompt(spark, sf):
-    return PR.quiz_prompt(_recent(spark, sf), S_)
+    return PR.quiz_prompt(_run_recent(spark, sf), S_)
 
 
 @register("weekly_prompt", f"""WITH {_WEEK_SQL}
