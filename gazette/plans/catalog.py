@@ -940,3 +940,24 @@ def q_late_rows(spark, sf):
     src = ST.read_stream(spark, ST.land(e, "events", "ts"), e)
     out = ST.run_available(ST.stream_daily(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-late")
     return ST.late_rows(e, out, "event_type")
+
+
+# ------------------------------------------------------------ day gates
+@register("digest_title", f"""WITH {S.ENTRIES}
+SELECT DISTINCT run_date, CASE WHEN starts_with({S.q(S_.language)}, 'zh') THEN {S.q(T.TITLES['digest'][0])} ELSE {S.q(T.TITLES['digest'][1])} END
+       || ' ' || strftime(run_date, '%Y-%m-%d') AS title FROM entries""")
+def q_digest_title(spark, sf):
+    days = B.entries(spark, sf).select("run_date").distinct()
+    return days.select("run_date", T.digest_title("digest", F.lit(S_.language), "run_date").alias("title"))
+
+
+@register("day_nonempty_gate", f"""WITH {S.candidates(S_)}, days AS (SELECT DISTINCT run_date FROM entries),
+n AS (SELECT run_date, count(*) AS n_articles FROM arts2 GROUP BY run_date)
+SELECT d.run_date, coalesce(n.n_articles, 0) AS n_articles, coalesce(n.n_articles, 0) > 0 AS publish
+FROM days d LEFT JOIN n USING (run_date)""")
+def q_day_nonempty_gate(spark, sf):
+    """Per run day: publish only when the run has at least one article (else keep pages, prune only)."""
+    days = B.entries(spark, sf).select("run_date").distinct()
+    n = daily.candidate_articles(B.entries(spark, sf), S_).groupBy("run_date").agg(F.count(F.lit(1)).alias("n_articles"))
+    g = days.join(n, "run_date", "left").withColumn("n_articles", F.coalesce("n_articles", F.lit(0)).cast("long"))
+    return g.withColumn("publish", F.col("n_articles") > 0)
