@@ -23,7 +23,6 @@ WS = r"[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]"
 NON_WORD = r"[^\p{L}\p{N}_\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]"
 # Line boundaries as Python's ``str.splitlines()`` sees them.
 LINE_BREAK = r"\r\n|[\n\r\x0b\f\x1c-\x1e\x85\x{2028}\x{2029}]"
-TRIM_WS = rf"^{WS}+|{WS}+$"
 # The same set as characters, built from the rule Python's strip() uses (str.isspace), for
 # the native trim functions.
 WS_CHARS = "".join(c for c in map(chr, range(0x110000)) if c.isspace())

@@ -42,12 +42,6 @@ _STATUS_UNDECIDED, _STATUS_ACCEPTED, _STATUS_REJECTED = 0, 1, 2
 log = logging.getLogger(__name__)
 
 
-@pandas_udf(DoubleType())
-def title_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """``difflib.SequenceMatcher(None, a, b).ratio()`` per row (Arrow batches)."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
-
-
 @pandas_udf(StructType([StructField("rxy", DoubleType()), StructField("ryx", DoubleType())]))
 def title_ratios(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Both argument orders of the ratio in one pass (it is not symmetric)."""

@@ -58,12 +58,3 @@ def write_recent(today: DataFrame, root: str) -> None:
     """Replace the days present in ``today``; other days stay as they are."""
     (today.select(*[f.name for f in RECENT_SCHEMA.fields]).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(root))
-
-
-def prune_recent(spark: SparkSession, root: str, run_date: str, retention_days: int, out_root: str) -> DataFrame:
-    """Recent state after retention (unparsable days cannot exist in a typed table)."""
-    r = read_recent(spark, root)
-    keep = Hs.keep_after_cutoff("day", F.lit(run_date).cast("date"), retention_days, False)
-    pruned = r.where(keep)
-    pruned.write.mode("overwrite").partitionBy("day").parquet(out_root)
-    return pruned
