@@ -78,9 +78,12 @@ def stream_seen(sightings: DataFrame, retention_days: int = 14, watermark: str =
     last acceptance is more than ``retention + 1`` days old.  Keyed state per link holds one
     date; it expires through an event-time timeout once it can no longer block anything."""
     hold = retention_days + 1
+    # one row per (link, day) before the keyed state: a link's group in a micro-batch is
+    # bounded by the days it covers, not by how many raw sightings a hot link has
     s = (sightings.withColumn("ts", F.col("day").cast("timestamp"))
          .withColumn("day_n", F.datediff(F.col("day"), F.lit("1970-01-01").cast("date")))
-         .withWatermark("ts", watermark))
+         .withWatermark("ts", watermark)
+         .dropDuplicatesWithinWatermark(["link", "day_n"]))
     return s.groupBy("link").applyInPandasWithState(
         _seen_fn(hold), outputStructType="link string, day date", stateStructType="last int",
         outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
