@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from gazette.session import ensure_checkpoint_dir
 
+# text hashes are broadcast up to this many (8 bytes each)
+BROADCAST_HASHES = 1_000_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -52,6 +54,35 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def keep_rows(docs: DataFrame, decided: DataFrame, text_hash: Column) -> DataFrame:
+    """Rows of ``docs`` with a kept row in ``decided`` (doc_id, hash, kept), with all their columns.
+
+    Rows meet by doc_id (nulls included) and text hash; where several rows agree in both, one stays.
+    """
+    d, h, n = fresh(docs, "x_doc", "x_hash", "x_n")
+    kept = (decided.groupBy(F.col("doc_id").alias(d), F.col("hash").alias(h))
+            .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias(n)).where("kept").drop("kept"))
+    rows = (docs.withColumn(h, text_hash).alias("l")
+            .join(kept.alias("r"), F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(f"l.{h}") == F.col(f"r.{h}")))
+            .select("l.*", n))
+    once = rows.where(F.col(n) == 1)
+    again = rows.where(F.col(n) > 1).dropDuplicates(["doc_id", h])
+    return once.unionByName(again).select(*docs.columns)
+
+
+def pair_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` (a, b: text hashes) with the texts ta and tb from ``texts`` (th, text).
+
+    Only texts that occur in a pair are shuffled; their hashes filter the scan by a broadcast up to
+    ``BROADCAST_HASHES`` of them, by a join beyond.
+    """
+    needed = land(pairs.select(F.col("a").alias("th")).union(pairs.select(F.col("b").alias("th"))).distinct())
+    side = F.broadcast(needed) if needed.count() <= BROADCAST_HASHES else needed
+    some = land(texts.join(side, "th", "left_semi").dropDuplicates(["th"]))
+    return (pairs.join(some.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a")
+            .join(some.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """Smallest reachable id per vertex of an undirected graph.
 

@@ -21,7 +21,7 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import ascii_lower, fresh, land, let, text_or_empty
+from gazette.llm.common import ascii_lower, keep_rows, land, let, text_or_empty
 
 UNIT = r"(?s)[^.!?\n]{0,200}+(?:[.!?\n]++\s{0,16}+|.)|[^.!?\n]++\z"
 CUT, MAX_UNITS = 8, 64
@@ -82,12 +82,5 @@ def exact_groups(docs: DataFrame, idents: Sequence[Callable[[Column], Column]] =
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    d, s, n = fresh(docs, "x_doc", "x_sha", "x_n")
-    kept = land(exact_groups(docs).groupBy(F.col("doc_id").alias(d), F.col("text_sha256").alias(s))
-                .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias(n)).where("kept").drop("kept"))
-    rows = (docs.withColumn(s, F.sha2(ascii_lower(text_or_empty()), 256)).alias("l")
-            .join(kept.alias("r"), F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(f"l.{s}") == F.col(f"r.{s}")))
-            .select("l.*", d, n))
-    once = rows.where(F.col(n) == 1)
-    again = rows.where(F.col(n) > 1).dropDuplicates([d, s])      # repeated rows: one of them
-    return once.unionByName(again).select(*docs.columns)
+    return keep_rows(docs, land(exact_groups(docs)).withColumnRenamed("text_sha256", "hash"),
+                     F.sha2(ascii_lower(text_or_empty()), 256))

@@ -109,3 +109,16 @@ FROM d LEFT JOIN g USING (rid)
 
 
 PII = _pii()
+
+VECTORS = """
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e, label FROM embeddings),
+ok AS (SELECT rid, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM d
+       WHERE label IS NOT NULL AND len(e) > 0 AND list_bool_and(list_transform(e, lambda x: x IS NOT NULL AND isfinite(x)))
+         AND list_bool_or(list_transform(e, lambda x: x <> 0))),
+p AS (SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b ON a.label = b.label AND a.rid < b.rid AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+l AS (SELECT a AS v, b AS w FROM p UNION ALL SELECT b, a FROM p),
+reach AS (SELECT rid AS v, rid AS w FROM d UNION SELECT reach.v, l.w FROM reach JOIN l ON l.v = reach.w)
+SELECT d.vec_id, (SELECT count(*) FROM l WHERE l.v = d.rid) AS n_links, c.component_id, d.vec_id = c.component_id AS kept
+FROM d JOIN (SELECT reach.v, min(x.vec_id) AS component_id FROM reach JOIN d x ON x.rid = reach.w GROUP BY reach.v) c ON c.v = d.rid
+"""

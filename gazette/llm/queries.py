@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette.llm import exact, oracles, pii, sharding
+from gazette.llm import exact, html_extract, langid, minhash, mixing, oracles, packing, pii, sharding, substring, vectors
 from gazette.llm.common import table
 
 
@@ -12,22 +13,49 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op1_pii": op1_pii,
-    "op4_exact_dedup": op4_exact_dedup,
-    "op10_sharding": op10_sharding,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_pii, op2_mixing, op3_near_dedup, op4_exact_dedup, op5_html_text, op6_packing, op7_vector_dedup, op8_langid,
+    op9_substring, op10_sharding)}
 
 ORACLE = {
     "op1_pii": oracles.PII,
     "op4_exact_dedup": oracles.EXACT,
+    "op7_vector_dedup": oracles.VECTORS,
     "op10_sharding": oracles.SHARDING,
 }
