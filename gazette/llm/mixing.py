@@ -10,7 +10,8 @@ the null space of the two constraints (words, documents) -- for sizes s1, s2, s3
 (s2 - s3, s3 - s1, s1 - s2) -- until one of them is 0 or 1, so both totals stay exactly what they
 were.  Flights run on blocks of about ``BLOCK`` documents of one source; each leaves at most two
 fractional documents, ``FAN`` blocks' rests fly again together, and so on until one block per source is left.
-Its last two documents land on the combination nearest to the word total.  Only (doc_id, source, size, text hash) travel.
+A source's first block leaves ``POOL`` documents out of every flight; they and the last two fractional ones land together
+on the combination nearest to the word total (2**(POOL + 2) combinations, whatever the source's size).  Only (doc_id, source, size, text hash) travel.
 
 Defined cases: a null or empty text has size 0 (it may be taken, which takes no words); a null
 source is a source of its own; repeated rows are separate documents; a source without words has
@@ -32,7 +33,7 @@ from gazette.llm.common import fresh, land, text_or_empty
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
-BLOCK, FAN = 2000, 512
+BLOCK, FAN, POOL = 2000, 512, 10
 EPS = 1e-9
 # the per-source table is broadcast up to this many rows; beyond, it is joined by shuffling
 BROADCAST_SOURCES = 50_000
@@ -97,21 +98,24 @@ def flight(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator) -> np.nda
 
 
 def landing(size: np.ndarray, pi: np.ndarray) -> np.ndarray:
-    """Round the few fractional values to the combination nearest to the word, then document total."""
+    """Settle the few fractional values on the combination nearest to the word, then document total."""
     open_ = np.flatnonzero((pi > 0) & (pi < 1))
-    best = min(itertools.product((0.0, 1.0), repeat=len(open_)),
-               key=lambda c: (abs(float(np.dot(np.array(c) - pi[open_], size[open_]))), abs(sum(c) - pi[open_].sum()), c))
+    ways = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+    words = np.abs((ways - pi[open_]) @ size[open_].astype(float)).round(6)
+    rows = np.abs(ways.sum(1) - pi[open_].sum()).round(6)
     out = pi.copy()
-    out[open_] = best
+    out[open_] = ways[np.lexsort((rows, words))[0]]
     return out
 
 
 def _fly(seed: int, level: int, last: bool):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["order", "size", "doc_id", "th"], kind="stable", na_position="first")
-        size, pi = pdf["size"].to_numpy(), pdf["pi"].to_numpy()
-        out = flight(size, pi, np.random.default_rng([seed, level, int(key[0]), int(key[1])]))
-        return pdf.assign(pi=landing(size, out) if last else out, block=pdf["block"] // FAN)
+        size, out = pdf["size"].to_numpy(), pdf["pi"].to_numpy().copy()
+        cut = max(0, len(out) - POOL) if int(key[1]) == 0 else len(out)
+        out[:cut] = flight(size[:cut], out[:cut], np.random.default_rng([seed, level, int(key[0]), int(key[1])]))
+        settled = np.where(out < EPS, 0.0, np.where(out > 1 - EPS, 1.0, out))
+        return pdf.assign(pi=landing(size, settled) if last else settled, block=pdf["block"] // FAN)
     return run
 
 
