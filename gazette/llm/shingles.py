@@ -34,7 +34,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> list[np.ndarray]:
+def powers(n: int) -> list[np.ndarray]:
+    """Powers of BASE and of its inverse modulo 2**64, at least n of them."""
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, 2 * SLAB)
         _POWERS[:] = [np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)]))
@@ -65,7 +66,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
         inner = cuts[cuts > 0] - 1
         stop[inner] = inside[inner]
         starts, stops = np.flatnonzero(begin), np.flatnonzero(stop)
-        up, down = _powers(len(norm) + 1)
+        up, down = powers(len(norm) + 1)
         sums = np.cumsum(BYTE[norm] * up[:len(norm)], dtype=np.uint64)
         before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
         hashes.append(mix64((sums[stops] - before) * down[starts]))
