@@ -67,10 +67,10 @@ _SPLIT = re.compile(r"[^a-z]+")
 
 
 class Node:
-    __slots__ = ("parent", "feats", "text", "tag", "y", "main")
+    __slots__ = ("parent", "feats", "text", "y", "main")
 
-    def __init__(self, parent: int, feats: list[int], text: str | None, tag: str, y: int = 0, main: bool = False):
-        self.parent, self.feats, self.text, self.tag, self.y, self.main = parent, feats, text, tag, y, main
+    def __init__(self, parent: int, feats: list[int], text: str | None, y: int = 0, main: bool = False):
+        self.parent, self.feats, self.text, self.y, self.main = parent, feats, text, y, main
 
 
 def _named(attrs: str) -> tuple[list[int], int]:
@@ -90,9 +90,12 @@ def _named(attrs: str) -> tuple[list[int], int]:
 
 
 def parse(page: str) -> list[Node]:
-    """Nodes in page order, every parent before its children; text blocks are leaves with ``text``."""
-    nodes = [Node(-1, [INDEX["bias_box"]], None, "")]
-    stack = [0]
+    """Nodes in page order, every parent before its children; text blocks are leaves with ``text``.
+
+    A box without a telling name, like ``<div>``, is no node: what it holds hangs on the element around it.
+    """
+    nodes = [Node(-1, [INDEX["bias_box"]], None)]
+    stack = [("", 0, 0)]                             # open elements: tag, node, training mark
     pieces: list[str] = []
     linked, in_link = 0, False
     has_main = False
@@ -103,7 +106,7 @@ def parse(page: str) -> list[Node]:
             raw = "".join(pieces)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                own = nodes[stack[-1]]
+                tag, own, y = stack[-1]
                 n = len(text)
                 feats = [INDEX["bias_text"], INDEX["len_0" if n < 20 else "len_20" if n < 80 else "len_80" if n < 200 else "len_200"]]
                 if linked * 2 > n:
@@ -114,10 +117,10 @@ def parse(page: str) -> list[Node]:
                     feats.append(INDEX["comma"])
                 if "©" in text or "opyright" in text:
                     feats.append(INDEX["copyright"])
-                group = TAGS.get(own.tag)
+                group = TAGS.get(tag)
                 if group in ("head", "item", "para"):
                     feats.append(INDEX[f"in_{group}"])
-                nodes.append(Node(stack[-1], feats, text, "#", own.y, own.main))
+                nodes.append(Node(own, feats, text, y, nodes[own].main))
             pieces.clear()
         linked = 0
 
@@ -147,26 +150,28 @@ def parse(page: str) -> list[Node]:
             continue
         if close:
             for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag == tag:
+                if stack[k][0] == tag:
                     del stack[k:]
                     in_link = False
                     break
             continue
-        if nodes[stack[-1]].tag == "p" or tag in ENDS:
+        if stack[-1][0] == "p" or tag in ENDS:
             ends, stops = ENDS.get(tag, ((), ()))
             for k in range(len(stack) - 1, 0, -1):
-                t = nodes[stack[k]].tag
+                t = stack[k][0]
                 if t == "p" or t in ends:
                     del stack[k:]
                 elif t in stops or not ends:
                     break
         in_link = False
         feats, y = _named(attrs) if attrs else ([], 0)
-        feats = [INDEX["bias_box"], INDEX[f"t_{TAGS.get(tag, 'other')}"], *feats]
-        main = nodes[stack[-1]].main or tag in ("article", "main")
-        has_main = has_main or main
-        nodes.append(Node(stack[-1], feats, None, tag, y, main))
-        stack.append(len(nodes) - 1)
+        group, above = TAGS.get(tag, "other"), stack[-1][1]
+        if feats or group != "box":
+            main = nodes[above].main or tag in ("article", "main")
+            has_main = has_main or main
+            nodes.append(Node(above, [INDEX["bias_box"], INDEX[f"t_{group}"], *feats], None, y, main))
+            above = len(nodes) - 1
+        stack.append((tag, above, y))
     if at < size:
         pieces.append(page[at:])
     flush()
