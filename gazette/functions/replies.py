@@ -27,11 +27,26 @@ def brace_span(text) -> Column:
     return F.when(ok, F.substring(t, start, F.greatest(end - start + 1, F.lit(0))))
 
 
+STRING = r'(?s)"(?:[^"\\]|\\.)*+"'
+SCALAR = r'(?s)^(?:"(?:[^"\\]|\\.)*+"|[^\s\[\]{}":,]+)$'
+
+
 def _strict(parsed: str, text: str) -> Column:
     """``try_parse_json`` also accepts trailing text after the value; Python does not.
-    Keep the value only when the text ends where the value's JSON ends."""
+    Keep the value only when nothing follows it: with string contents removed, the brackets of a list or object
+    must close for the first time at the last character; a scalar must be the whole text."""
     p, t = F.col(parsed), F.col(text)
-    return F.when(p.isNotNull() & (F.right(t, F.lit(1)) == F.right(F.to_json(p), F.lit(1))), p)
+    bare = F.regexp_replace(t, STRING, "")
+    steps = F.filter(F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), ""), lambda c: c != "")
+
+    def step(acc, c):
+        depth = acc["d"] + F.when(c.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(depth.alias("d"), (acc["n"] + (depth == 0).cast("int")).alias("n"))
+
+    closed = F.aggregate(steps, F.struct(F.lit(0).alias("d"), F.lit(0).alias("n")), step, lambda acc: (acc["d"] == 0) & (acc["n"] == 1))
+    nested = F.left(t, F.lit(1)).isin("[", "{")
+    whole = F.when(nested, F.right(bare, F.lit(1)).isin("]", "}") & closed).otherwise(t.rlike(SCALAR))
+    return F.when(p.isNotNull() & whole, p)
 
 
 def with_parsed(df: DataFrame, raw: str = "reply", out: str = "v", land: bool = True) -> DataFrame:
@@ -55,9 +70,15 @@ def field(v, path: str, typ: str = "string") -> Column:
     return F.try_variant_get(_c(v), path, typ)
 
 
+def has_key(v, key: str) -> Column:
+    """The key is present, whatever its value (a JSON null included)."""
+    return field(v, f"$.{key}", "variant").isNotNull()
+
+
 def text_field(v, key: str) -> Column:
-    """``str(data.get(key, "")).strip()`` for string-like values."""
-    return strip_ws(F.coalesce(field(v, f"$.{key}"), F.lit("")))
+    """``str(data.get(key, "")).strip()`` for string-like values; a JSON null reads as ``None``."""
+    absent = F.when(has_key(v, key), F.lit("None")).otherwise(F.lit(""))
+    return strip_ws(F.coalesce(field(v, f"$.{key}"), absent))
 
 
 def items(v, key: str) -> Column:
@@ -66,12 +87,11 @@ def items(v, key: str) -> Column:
 
 
 def both_keys(item, a: str, b: str) -> Column:
-    return field(item, f"$.{a}").isNotNull() & field(item, f"$.{b}").isNotNull()
+    return has_key(item, a) & has_key(item, b)
 
 
 def pair(item, a: str, b: str) -> Column:
-    return F.struct(strip_ws(F.coalesce(field(item, f"$.{a}"), F.lit(""))).alias(a),
-                    strip_ws(F.coalesce(field(item, f"$.{b}"), F.lit(""))).alias(b))
+    return F.struct(text_field(item, a).alias(a), text_field(item, b).alias(b))
 
 
 def _is_obj(x) -> Column:
@@ -90,7 +110,7 @@ def summary_reply(df: DataFrame, v: str = "v") -> DataFrame:
     """Article reply: required ``summary``, optional ``summary_secondary``, first 3 ``qa`` items,
     each needing ``question`` and ``answer``; any violation fails the reply (``reply_ok``)."""
     c = F.col(v)
-    ok = (c.isNotNull() & field(c, "$.summary").isNotNull()
+    ok = (c.isNotNull() & has_key(c, "summary")
           & _list_ok(c, "qa", 3, lambda x: both_keys(x, "question", "answer")))
     return (df.withColumn("reply_ok", F.coalesce(ok, F.lit(False)))
               .withColumn("summary", text_field(c, "summary"))

@@ -31,7 +31,7 @@ import difflib
 import logging
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -75,18 +75,17 @@ def similar_titles(titles: DataFrame, group: str, title: str,
               .agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("_o")))
     # prefix length: len - ceil(0.6 len) + 1  (integer form of ceil(3 len / 5))
     plen = F.col("len") - F.floor((F.col("len") * 3 + 4) / 5) + 1
-    prefix = ranked.select("g", "t", F.explode(F.slice("_o", 1, plen.cast("int"))).alias("_p")) \
-                   .select("g", "t", F.col("_p.tok").alias("tok"))
+    prefix = ranked.select("g", "t", "len", F.explode(F.slice("_o", 1, plen.cast("int"))).alias("_p")) \
+                   .select("g", "t", "len", F.col("_p.tok").alias("tok"))
     a, b = prefix.alias("a"), prefix.alias("b")
     cand = (a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.tok") == F.col("b.tok"))
-                   & (F.col("a.t") < F.col("b.t")))
+                   & (F.col("a.t") < F.col("b.t"))
+                   & (F.least("a.len", "b.len") * 5 >= F.greatest("a.len", "b.len") * 3))     # min/max >= 0.6
             .select(F.col("a.g").alias("g"), F.col("a.t").alias("x"), F.col("b.t").alias("y"))
             .distinct())
     tx = t.select("g", F.col("t").alias("x"), F.col("len").alias("lx"), F.col("toks").alias("kx"))
     ty = t.select("g", F.col("t").alias("y"), F.col("len").alias("ly"), F.col("toks").alias("ky"))
     c = cand.join(tx, ["g", "x"]).join(ty, ["g", "y"])
-    lo, hi = F.least("lx", "ly"), F.greatest("lx", "ly")
-    c = c.where(lo * 5 >= hi * 3)                                      # min/max >= 0.6
     c = c.where(F.size(F.array_intersect("kx", "ky")) * 8 >= (F.col("lx") + F.col("ly")) * 3)
     # matching blocks form a common subsequence, so ratio <= 1 - levenshtein / (la + lb):
     # a match needs 4 * levenshtein <= la + lb (native, before any Python)
@@ -100,50 +99,65 @@ def similar_titles(titles: DataFrame, group: str, title: str,
     return out.withColumnRenamed("g", group)
 
 
-def greedy_rounds(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def greedy_rounds(nodes: DataFrame, edges: DataFrame, holds: DataFrame | None = None) -> DataFrame:
     """First-come acceptance over conflict groups.
 
     ``nodes(run, o, link, t)``: ``o`` orders entries inside a run (unique), ``t`` the
     normalised title ('' never conflicts).  ``edges(run, new_title, old_title)``: title
     pairs where a *later* entry titled ``new_title`` is blocked by an earlier accepted
-    ``old_title``.  Returns ``nodes`` with ``accepted`` boolean.
-
-    Round rule, from the statuses at the start of the round: an undecided node is
-    accepted when no undecided-or-accepted neighbour precedes it, and rejected when an
-    accepted one does.  The earliest undecided node of a run always decides, and the
-    result equals the sequential pass.  Neighbour tests are group minima (per link, per
-    title, per title edge), so equal links or titles never expand into pairs; each round
+    ``old_title``.  ``holds(run, since)``, one row per run: links accepted in an earlier run
+    from ``since`` on are still in the state that the run starts from (without ``holds`` runs do not see
+    each other).  Returns ``nodes`` with ``accepted`` boolean.
+
+    Round rule, from the statuses at the start of the round: an undecided node is rejected when an
+    accepted entry conflicts with it and comes before it, and accepted when no undecided one does.
+    The earliest undecided node always decides, so the loop ends, and the
+    result equals the sequential pass.  Conflicts are found in group minima (per link and run, per
+    title, per title edge) and, across runs, in a window over one row per link and run,
+    which the calendar bounds; equal links or titles never expand into pairs.  Each round
     is checkpointed into the shared folder.
     """
     n = nodes.select("run", "o", "link", "t")
-    link_n = n.groupBy("run", "link").agg(F.count(F.lit(1)).alias("_nl"))
+    link_n = n.groupBy("link" if holds is not None else F.struct("run", "link").alias("link")).agg(F.count(F.lit(1)).alias("_nl"))
+    if holds is None:
+        link_n = link_n.select("link.run", "link.link", "_nl")
     title_n = n.where(F.col("t") != "").groupBy("run", "t").agg(F.count(F.lit(1)).alias("_nt"))
     # edges and node statuses are read every round: land them once
     e = edges.select("run", F.col("new_title").alias("t"), F.col("old_title").alias("y")).checkpoint(eager=True)
     has_edge = e.select("run", "t").union(e.select("run", F.col("y").alias("t"))).distinct() \
                 .withColumn("_ne", F.lit(1))
-    n = (n.join(link_n, ["run", "link"], "left").join(title_n, ["run", "t"], "left")
+    n = (n.join(link_n, ["link"] if holds is not None else ["run", "link"], "left").join(title_n, ["run", "t"], "left")
           .join(has_edge, ["run", "t"], "left"))
     lonely = (F.col("_nl") == 1) & (F.coalesce(F.col("_nt"), F.lit(1)) == 1) & F.col("_ne").isNull()
     n = (n.withColumn("status", F.when(lonely, F.lit(_STATUS_ACCEPTED)).otherwise(F.lit(_STATUS_UNDECIDED)))
           .select("run", "o", "link", "t", "status", lonely.alias("_lonely")).checkpoint(eager=True))
     settled = n.where(F.col("_lonely")).drop("_lonely")
     work = n.where(~F.col("_lonely")).drop("_lonely")
+    before = Window.partitionBy("link").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
 
-    for rnd in range(max_rounds):
-        if work.where(F.col("status") == _STATUS_UNDECIDED).isEmpty():
-            log.info("greedy de-duplication settled after %d rounds", rnd)
-            break
+    rnd = 0
+    while not work.where(F.col("status") == _STATUS_UNDECIDED).isEmpty():
+        rnd += 1
         live = F.col("status") != _STATUS_REJECTED
         acc = F.col("status") == _STATUS_ACCEPTED
+        und = F.col("status") == _STATUS_UNDECIDED
 
         def mins(keys):
             return work.groupBy(*keys).agg(
                 F.min(F.when(live, F.col("o"))).alias("_ml"),
-                F.min(F.when(acc, F.col("o"))).alias("_ma"))
-
-        by_link = mins(["run", "link"]).withColumnRenamed("_ml", "_ml_l").withColumnRenamed("_ma", "_ma_l")
-        by_title = mins(["run", "t"]).where(F.col("t") != "")
+                F.min(F.when(acc, F.col("o"))).alias("_ma"), F.max(und).alias("_u"))
+
+        by_link = mins(["run", "link"])
+        if holds is not None:
+            by_link = (by_link.withColumn("_run_a", F.max(F.when(F.col("_ma").isNotNull(), F.col("run"))).over(before))
+                       .withColumn("_run_u", F.max(F.when(F.col("_u"), F.col("run"))).over(before))
+                       .join(holds, "run", "left"))
+            held = lambda c: F.col(c).isNotNull() & (F.col("since").isNull() | (F.col(c) >= F.col("since")))
+            by_link = by_link.select("run", "link", "_ml", "_ma", held("_run_a").alias("_held"), held("_run_u").alias("_open"))
+        else:
+            by_link = by_link.select("run", "link", "_ml", "_ma", F.lit(False).alias("_held"), F.lit(False).alias("_open"))
+        by_link = by_link.withColumnRenamed("_ml", "_ml_l").withColumnRenamed("_ma", "_ma_l")
+        by_title = mins(["run", "t"]).drop("_u").where(F.col("t") != "")
         by_sim = (e.join(by_title.withColumnRenamed("t", "y"), ["run", "y"])
                   .groupBy("run", "t").agg(F.min("_ml").alias("_ml_s"), F.min("_ma").alias("_ma_s")))
         by_title = by_title.withColumnRenamed("_ml", "_ml_t").withColumnRenamed("_ma", "_ma_t")
@@ -151,13 +165,12 @@ def greedy_rounds(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000)
                  .join(by_sim, ["run", "t"], "left"))
         first_live = F.least("_ml_l", "_ml_t", "_ml_s")
         first_acc = F.least("_ma_l", "_ma_t", "_ma_s")
-        und = F.col("status") == _STATUS_UNDECIDED
-        new = (F.when(und & (first_acc.isNotNull() & (first_acc < F.col("o"))), F.lit(_STATUS_REJECTED))
-                .when(und & (first_live >= F.col("o")), F.lit(_STATUS_ACCEPTED))
+        blocked = F.col("_held") | F.coalesce(first_acc < F.col("o"), F.lit(False))
+        new = (F.when(und & blocked, F.lit(_STATUS_REJECTED))
+                .when(und & ~F.col("_open") & (first_live >= F.col("o")), F.lit(_STATUS_ACCEPTED))
                 .otherwise(F.col("status")))
         work = w.select("run", "o", "link", "t", new.alias("status")).checkpoint(eager=True)
-    else:
-        raise RuntimeError("greedy de-duplication did not converge")
+    log.info("greedy de-duplication settled after %d rounds", rnd)
     out = settled.unionByName(work)
     return out.withColumn("accepted", F.col("status") == _STATUS_ACCEPTED).drop("status")
 

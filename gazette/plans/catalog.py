@@ -543,7 +543,7 @@ def _parsed(spark, sf):
     return R.with_parsed(B.replies(spark, sf))
 
 
-_BOTH_QA = "(json_extract_string(x, '$.question') IS NOT NULL AND json_extract_string(x, '$.answer') IS NOT NULL)"
+_BOTH_QA = "(json_type(x, '$.question') IS NOT NULL AND json_type(x, '$.answer') IS NOT NULL)"
 _SUMMARY_OK = f"(j IS NOT NULL AND json_extract(j, '$.summary') IS NOT NULL AND {S.jlist_ok('j', 'qa', 3, _BOTH_QA)})"
 
 
@@ -685,14 +685,20 @@ def q_title_ratio(spark, sf):
         F.col("new_title").alias("x"), F.col("old_title").alias("y"), "ratio")
 
 
-@register("similar_titles")
+_TITLES_SQL = f"""{S.ENTRIES}, run_days AS (SELECT run_date AS run FROM entries),
+rows AS (SELECT run_date AS run, feed_ord AS f, entry_pos AS pos, link, {S.norm_title('title')} AS t FROM entries),
+{S.title_edges('rows')}"""
+
+
+@register("similar_titles", f"""WITH RECURSIVE {_TITLES_SQL} SELECT run AS run_date, new_title, old_title, ratio FROM edges""")
 def q_similar_titles(spark, sf):
-    """Directed similar-title pairs inside each run (checked against difflib in tests)."""
+    """Directed similar-title pairs inside each run."""
     e = B.entries(spark, sf).withColumn("norm_title", T.normalize_title("title"))
     return D.similar_titles(e, "run_date", "norm_title")
 
 
-@register("dedup_greedy")
+@register("dedup_greedy", f"""WITH RECURSIVE {_TITLES_SQL}, {S.greedy('rows', None)}
+SELECT a.run AS run_date, a.pos AS entry_pos, rows.link, rows.t AS norm_title FROM accepted a JOIN rows USING (run, pos)""")
 def q_dedup_greedy(spark, sf):
     """First-come de-duplication by link and similar title inside each run, over all entries."""
     e = B.entries(spark, sf).withColumn("norm_title", T.normalize_title("title"))
@@ -889,7 +895,7 @@ def q_stream_publish(spark, sf):
 
 # ------------------------------------------------------------- feed landing
 @register("feed_scan", f"""WITH {S.ENTRIES}
-SELECT feed, entry_pos, coalesce(nullif(title, ''), {S.q(C.DEFAULT_TITLE)}) AS title, link, summary FROM entries""")
+SELECT feed, entry_pos, title, link, summary FROM entries""")
 def q_feed_scan(spark, sf):
     """Entries landed as XML feed documents and scanned back (empty elements read as missing)."""
     from ..session import scratch_path
@@ -899,10 +905,14 @@ def q_feed_scan(spark, sf):
 
 
 # -------------------------------------------------------- whole daily runs
-@register("daily_digest")
+@register("daily_digest", f"""WITH RECURSIVE {S.candidates(S_)}, run_days AS (SELECT run_date AS run FROM entries),
+rows AS (SELECT run_date AS run, feed_ord AS f, entry_pos AS pos, link, {S.norm_title('title')} AS t FROM arts2),
+{S.title_edges('rows')}, {S.greedy('rows', S_.seen_retention_days)},
+arts3 AS (SELECT arts2.* FROM arts2 JOIN accepted ON run_date = run AND entry_pos = accepted.pos),{S.positions('arts3')}
+SELECT run_date, entry_pos, slug, title, category, CAST(cat_ord AS BIGINT) AS cat_ord, CAST(cat_rank AS BIGINT) AS cat_rank, pos,
+       CAST(read_minutes AS BIGINT) AS read_minutes, CAST(interest AS BIGINT) AS interest, has_full_text FROM pos""")
 def q_daily_digest(spark, sf):
-    """Every run day with seen state across days and first-come de-duplication (tests compare
-    it with a sequential re-statement of the daily loop)."""
+    """Every run day with seen state across days and first-come de-duplication."""
     d = daily.daily_digest(spark, sf, S_)
     return d.select("run_date", "entry_pos", "slug", "title", "category", _long("cat_ord"), _long("cat_rank"),
                     _long("pos"), _long("read_minutes"), _long("interest"), "has_full_text")

@@ -9,7 +9,7 @@ the article fields; ``daily_articles`` runs them, ``candidate_articles`` does no
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -54,40 +54,25 @@ def daily_digest(spark: SparkSession, sf_dir: str, settings: C.Settings = C.TEST
     carried across days (retention applied at the end of each run), link and similar-title
     first-come de-duplication, no-text skip; then ranking and positions.
 
-    Days run in order (a day's seen state depends on the previous days' acceptances);
-    similar-title edges are computed once for all runs, and each day's result is landed.
+    One greedy over all runs on narrow keys: an entry is blocked by an accepted earlier one that has its link and
+    lies in the state of its run, or has a similar title in its run.  Article text joins the accepted keys at the end.
     """
     from ..functions import text as T
     from ..operators import dedup as D
-    from ..operators import history as Hs
 
     e = bindings.entries(spark, sf_dir)
-    cand = (ingest.body_or_fallback(ingest.feed_top_n(e, settings.max_articles_per_feed))
-            .withColumn("norm_title", T.normalize_title("title"))
-            .withColumn("_o", F.struct("feed_ord", "entry_pos"))
-            .checkpoint(eager=True))
-    edges = D.similar_titles(cand.select(F.col("run_date").alias("run"), F.col("norm_title").alias("t")),
-                             "run", "t").checkpoint(eager=True)
+    top = ingest.body_or_fallback(ingest.feed_top_n(e, settings.max_articles_per_feed))
+    keys = ingest.drop_no_text(top).select(
+        F.col("run_date").alias("run"), F.struct("feed_ord", "entry_pos").alias("o"), F.coalesce("link", F.lit("")).alias("link"),
+        F.coalesce(T.normalize_title("title"), F.lit("")).alias("t")).checkpoint(eager=True)
     # one row per run day: bounded by the calendar
-    days = [r.run_date for r in cand.select("run_date").distinct().orderBy("run_date").collect()]
-    seen = spark.createDataFrame([], "link string, first_seen date")
-    accepted = []
-    for day in days:
-        todays = cand.where(F.col("run_date") == F.lit(day))
-        eligible = ingest.drop_no_text(ingest.seen_anti(todays, seen))
-        nodes = eligible.select(F.col("run_date").alias("run"), F.col("_o").alias("o"),
-                                F.coalesce("link", F.lit("")).alias("link"),
-                                F.coalesce("norm_title", F.lit("")).alias("t"))
-        decided = D.greedy_rounds(nodes, edges.where(F.col("run") == F.lit(day)))
-        kept = decided.where("accepted").select(F.col("run").alias("run_date"), F.col("o").alias("_o"))
-        acc = eligible.join(kept, ["run_date", "_o"]).checkpoint(eager=True)
-        accepted.append(acc)
-        new = acc.select("link", F.col("run_date").alias("first_seen"))
-        seen = Hs.retention_seen(Hs.seen_upsert(seen, new), F.lit(day), settings.seen_retention_days
-                                 ).checkpoint(eager=True)
-    if not accepted:
-        return spark.createDataFrame([], cand.schema)
-    out = accepted[0]
-    for a in accepted[1:]:
-        out = out.unionByName(a)
-    return positioned(ingest.with_article_fields(out.drop("_o"), settings))
+    days = e.select(F.col("run_date").alias("run")).distinct()
+    prev = F.lag("run").over(Window.orderBy("run"))
+    keep = settings.seen_retention_days
+    since = F.date_sub(prev, keep) if keep and keep > 0 else F.lit(None).cast("date")
+    holds = days.select("run", since.alias("since"))
+    edges = D.similar_titles(keys, "run", "t")
+    taken = (D.greedy_rounds(keys, edges, holds).where("accepted")
+             .select(F.col("run").alias("run_date"), "o.feed_ord", "o.entry_pos"))
+    articles = top.join(taken, ["run_date", "feed_ord", "entry_pos"])
+    return positioned(ingest.with_article_fields(articles, settings))

@@ -126,17 +126,17 @@ def lang_category(lang: str) -> str:
 
 
 ENTRIES = f"""entries AS (
-  SELECT CAST(DATE {q(B.FIRST_RUN_DATE)} + CAST((doc_id // {B.DOCS_PER_RUN_BLOCK}) % {B.RUN_DAYS} AS INTEGER) AS DATE) AS run_date,
+  SELECT CAST(DATE {q(B.FIRST_RUN_DATE)} + CAST((doc_id // {B.DOCS_PER_BLOCK}) * {B.RUNS_PER_BLOCK} + doc_id % {B.RUNS_PER_BLOCK} AS INTEGER) AS DATE) AS run_date,
          CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER) AS feed_ord,
          source AS feed,
          doc_id AS entry_pos,
-         trim(substr(split_part(text, chr(10), 1), 1, 80)) AS title,
+         coalesce(page_title, '') AS title,
          'https://' || source || '.example/' || CAST(CASE WHEN doc_id % 11 = 0 AND doc_id >= 200 THEN doc_id - 200
               WHEN doc_id % 7 = 0 AND doc_id >= 140 THEN doc_id - 140 ELSE doc_id END AS VARCHAR) AS link,
-         trim(split_part(text, chr(10), 2)) AS summary,
+         CASE WHEN strpos(text, chr(10)) > 0 THEN trim(substr(text, strpos(text, chr(10)) + 1)) WHEN text IS NOT NULL THEN '' END AS summary,
          text AS full_text, lang,
          {lang_category('lang')} AS category
-  FROM documents)"""
+  FROM documents LEFT JOIN (SELECT page_id, {page_title('html')} AS page_title FROM pages) ON page_id = doc_id // {B.DOCS_PER_PAGE})"""
 
 
 def candidates(settings: C.Settings, limit: bool = True) -> str:
@@ -160,14 +160,19 @@ arts2 AS (SELECT *, read_minutes + 3 * interest + CASE WHEN long_form THEN 5 ELS
 
 def positioned(settings: C.Settings, limit: bool = True) -> str:
     """CTEs up to ``pos``: category order, in-category rank, day position."""
-    return f"""{candidates(settings, limit)},
+    return f"{candidates(settings, limit)},{positions('arts2')}"
+
+
+def positions(articles: str) -> str:
+    """CTEs from the named article rows up to ``pos``."""
+    return f"""
 cats AS (SELECT run_date, category, min({{'f': feed_ord, 'p': entry_pos}}) AS first, count(*) AS n_articles
-         FROM arts2 GROUP BY run_date, category),
+         FROM {articles} GROUP BY run_date, category),
 cats2 AS (SELECT *, dense_rank() OVER (PARTITION BY run_date ORDER BY first.f, first.p) AS cat_ord FROM cats),
 cats3 AS (SELECT *, coalesce(sum(n_articles) OVER (PARTITION BY run_date ORDER BY cat_ord
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM cats2),
 ranked AS (SELECT a.*, row_number() OVER (PARTITION BY a.run_date, a.category ORDER BY interest DESC, feed_ord, entry_pos) AS cat_rank
-           FROM arts2 a),
+           FROM {articles} a),
 pos AS (SELECT r.*, c.cat_ord, CAST(c.off + r.cat_rank AS BIGINT) AS pos
         FROM ranked r JOIN cats3 c USING (run_date, category))"""
 
@@ -189,7 +194,8 @@ def js(x: str) -> str:
 def _noise(j: str, key: str, prose: tuple[str, str]) -> str:
     return (f"CASE WHEN {key} % 4 = 1 THEN '```json' || chr(10) || {j} || chr(10) || '```' "
             f"WHEN {key} % 4 = 2 THEN {q(prose[0])} || {j} || {q(prose[1])} "
-            f"WHEN {key} % 4 = 3 THEN substr({j}, 1, length({j}) // 2) ELSE {j} END")
+            f"WHEN {key} % 4 = 3 THEN substr({j}, 1, length({j}) // 2) "
+            f"WHEN {key} % 16 = 4 THEN {j} || ' see {{b}}' WHEN {key} % 16 = 8 THEN {j} || {j} ELSE {j} END")
 
 
 PAIRS = """pairs AS (
@@ -213,16 +219,14 @@ def replies() -> str:
         return f"'[' || string_agg({item}, ', ' ORDER BY pair_no) || ']'"
 
     members = ", ".join([
-        f"""CASE WHEN conv_id % 5 <> 4 THEN '"summary": ' || {js('q1')} END""",
+        f"""CASE WHEN conv_id % 10 = 2 THEN '"summary": null' WHEN conv_id % 5 <> 4 THEN '"summary": ' || {js('q1')} END""",
         f"""CASE WHEN conv_id % 3 = 0 THEN '"summary_secondary": ' || {js("split_part(a1, chr(10), 1)")} END""",
         """'"qa": ' || qa""", """'"quiz": ' || quiz""", f"""'"brief": ' || {js('a1')}""",
         f"""'"background": ' || {js('a1')}""", """'"points": ' || points""",
         f"""'"implications": ' || {js('alast')}""", """'"glossary": ' || gloss""",
         f"""'"intro": ' || {js('q1')}""", """'"themes": ' || themes"""])
-    from ..sources import bindings as B
     return f"""{PAIRS},
-first_pairs AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pair_no FROM pairs
-                QUALIFY pair_no <= {B.REPLY_PAIRS}),
+first_pairs AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pair_no FROM pairs),
 rg AS (SELECT conv_id, {agg(qa_item)} AS qa, {agg(quiz_item)} AS quiz, {agg(js('question'))} AS points,
               {agg(gloss_item)} AS gloss, {agg(theme_item)} AS themes,
               max(CASE WHEN pair_no = 1 THEN question END) AS q1, max(CASE WHEN pair_no = 1 THEN answer END) AS a1,
@@ -249,7 +253,8 @@ parsed AS (SELECT {key}, reply, CASE WHEN json_type(cand) = 'OBJECT' THEN CAST(c
 
 
 def jtext(j: str, key: str) -> str:
-    return strip(f"coalesce(json_extract_string({j}, '$.{key}'), '')")
+    """``str(data.get(key, "")).strip()``: a JSON null reads as ``None``."""
+    return strip(f"coalesce(json_extract_string({j}, '$.{key}'), CASE WHEN json_type({j}, '$.{key}') = 'NULL' THEN 'None' ELSE '' END)")
 
 
 def jlist(j: str, key: str) -> str:
@@ -260,3 +265,56 @@ def jlist_ok(j: str, key: str, n, item_ok: str) -> str:
     head = jlist(j, key) if n is None else f"list_slice({jlist(j, key)}, 1, {n})"
     return (f"(json_extract({j}, '$.{key}') IS NULL OR (json_type({j}, '$.{key}') = 'ARRAY' "
             f"AND coalesce(list_bool_and(list_transform({head}, lambda x: {item_ok})), true)))")
+
+
+def title_edges(titles: str) -> str:
+    """CTEs up to ``edges(run, new_title, old_title, ratio)``: directed pairs of distinct titles of
+    one run (CTE ``titles`` with run, t) with a matching-block ratio of 0.75 or more; the edit-distance bound
+    (ratio <= 1 - levenshtein / (la + lb)) only skips pairs that cannot reach it.  Recursive."""
+    return f"""tt AS (SELECT DISTINCT run, t FROM {titles} WHERE t <> ''),
+near AS MATERIALIZED (SELECT a.run, a.t AS x, b.t AS y FROM tt a JOIN tt b ON a.run = b.run AND a.t <> b.t
+         WHERE levenshtein(a.t, b.t) * 4 <= length(a.t) + length(b.t)),
+np AS MATERIALIZED (SELECT row_number() OVER () AS id, x, y FROM (SELECT DISTINCT x, y FROM near)),
+blocks(id, x, y, m) AS (
+  SELECT id, x, y, 0 FROM np
+  UNION ALL
+  SELECT id, u.x, u.y, CASE WHEN u.k = 1 THEN len ELSE 0 END
+  FROM (SELECT id, x, y, best.len AS len, best.i AS i, best.j AS j
+        FROM blocks, LATERAL (
+          SELECT i, j, l AS len
+          FROM (SELECT unnest(range(1, length(blocks.x) + 1)) AS i) a,
+               (SELECT unnest(range(1, length(blocks.y) + 1)) AS j) b,
+               (SELECT unnest(range(1, least(length(blocks.x), length(blocks.y)) + 1)) AS l) q
+          WHERE i + l - 1 <= length(blocks.x) AND j + l - 1 <= length(blocks.y)
+            AND substr(blocks.x, i, l) = substr(blocks.y, j, l)
+          ORDER BY l DESC, i, j LIMIT 1) best
+        WHERE length(blocks.x) > 0 AND length(blocks.y) > 0) z,
+       LATERAL (SELECT * FROM (VALUES
+          (1, substr(z.x, 1, z.i - 1), substr(z.y, 1, z.j - 1)),
+          (2, substr(z.x, z.i + z.len), substr(z.y, z.j + z.len))) v(k, x, y)) u),
+matched AS (SELECT np.x, np.y, 2.0::DOUBLE * sum(m) / (length(np.x) + length(np.y)) AS ratio
+            FROM blocks JOIN np USING (id) GROUP BY np.x, np.y),
+edges AS (SELECT near.run, near.x AS new_title, near.y AS old_title, ratio
+          FROM near JOIN matched USING (x, y) WHERE ratio >= 0.75)"""
+
+
+def greedy(rows: str, retention_days: int | None) -> str:
+    """CTEs up to ``accepted(run, pos)``: one pass over CTE ``rows`` (run, f, pos, link, t) in order, after
+    ``title_edges``.  A row is taken unless a taken row of its run has its link or a similar title, or
+    (with a retention) the state saved at the end of the run before still holds its link."""
+    kept = ("a.run = q.run" if retention_days is None else f"(a.run = q.run OR a.run >= q.prev_run - {retention_days})")
+    return f"""runs AS (SELECT run, lag(run) OVER (ORDER BY run) AS prev_run FROM (SELECT DISTINCT run FROM run_days)),
+olds AS (SELECT run, new_title, list(old_title) AS olds FROM edges GROUP BY run, new_title),
+queue AS MATERIALIZED (SELECT q.*, runs.prev_run, list_append(coalesce(olds.olds, []), q.t) AS olds, row_number() OVER (ORDER BY q.run, q.f, q.pos) AS rn
+          FROM {rows} q JOIN runs USING (run) LEFT JOIN olds ON olds.run = q.run AND olds.new_title = q.t),
+g(rn, run, pos, taken, titles, ok) AS (
+  SELECT 0::BIGINT, NULL::DATE, NULL::BIGINT, []::STRUCT(link VARCHAR, run DATE)[], []::VARCHAR[], false
+  UNION ALL
+  SELECT rn, run, pos, CASE WHEN ok THEN list_append(taken, {{'link': link, 'run': run}}) ELSE taken END,
+         CASE WHEN ok AND t <> '' THEN list_append(titles, t) ELSE titles END, ok
+  FROM (SELECT q.rn, q.run, q.pos, q.link, q.t, list_filter(g.taken, lambda a: {kept}) AS taken,
+               CASE WHEN g.run = q.run THEN g.titles ELSE []::VARCHAR[] END AS titles,
+               NOT (len(list_filter(g.taken, lambda a: a.link = q.link AND {kept})) > 0
+                    OR (q.t <> '' AND g.run = q.run AND list_has_any(g.titles, q.olds))) AS ok
+        FROM g JOIN queue q ON q.rn = g.rn + 1)),
+accepted AS (SELECT run, pos FROM g WHERE ok)"""

@@ -4,7 +4,8 @@ The reference reads RSS feeds, web pages and model replies over the network.
 Here they are derived from the landed tables with Spark, so every downstream
 operator's work grows with those tables:
 
-* ``entries``  <- ``documents`` (ten run days, feed = ``source``)
+* ``entries``  <- ``documents`` (60 documents a run, so run days grow with the table; feed = ``source``;
+  title = the ``<title>`` of page ``doc_id div 4`` of ``pages``)
 * ``feeds``    <- distinct ``documents.source``
 * ``bodies``   <- ``pages`` (article body extraction)
 * ``sightings``<- ``events`` (link = user_id/event_type, one row per link and day)
@@ -25,12 +26,11 @@ from .tables import table
 
 # Fixed values of the test binding
 FIRST_RUN_DATE = "2024-01-01"
-RUN_DAYS = 10
-DOCS_PER_RUN_BLOCK = 20
+DOCS_PER_BLOCK, RUNS_PER_BLOCK = 300, 5          # a block's documents are dealt to its runs in turn
+DOCS_PER_PAGE = 4                                # page that gives a document its title
 LANG_CATEGORY = (("en", "World"), ("fr", "Science"), ("de", "Long Reads"))
 OTHER_CATEGORY = "Tech"
 FEED_CATEGORIES = ("Tech", "World", "Science", "Long Reads", None)   # by feed_ord % 5
-REPLY_PAIRS = 4                                                      # pairs per synthetic reply
 
 
 def _category(lang: Column) -> Column:
@@ -45,15 +45,18 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = (F.when((F.col("doc_id") % 11 == 0) & (F.col("doc_id") >= 200), F.col("doc_id") - 200)
          .when((F.col("doc_id") % 7 == 0) & (F.col("doc_id") >= 140), F.col("doc_id") - 140)
          .otherwise(F.col("doc_id")))
+    p = table(spark, sf_dir, "pages").select("page_id", H.page_title("html").alias("page_title"))
+    d = d.join(p, F.expr(f"doc_id div {DOCS_PER_PAGE}") == F.col("page_id"), "left")
+    run = F.expr(f"doc_id div {DOCS_PER_BLOCK}") * RUNS_PER_BLOCK + F.col("doc_id") % RUNS_PER_BLOCK
+    rest = F.when(F.instr("text", "\n") > 0, F.trim(F.expr(r"substring(text, instr(text, '\n') + 1)"))).otherwise(F.lit(""))
     return d.select(
-        F.date_add(F.lit(FIRST_RUN_DATE).cast("date"),
-                   ((F.col("doc_id") / DOCS_PER_RUN_BLOCK).cast("long") % RUN_DAYS).cast("int")).alias("run_date"),
+        F.date_add(F.lit(FIRST_RUN_DATE).cast("date"), run.cast("int")).alias("run_date"),
         F.regexp_extract("source", r"[0-9]+", 0).cast("int").alias("feed_ord"),
         F.col("source").alias("feed"),
         F.col("doc_id").alias("entry_pos"),
-        F.trim(F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 80)).alias("title"),
+        F.coalesce("page_title", F.lit("")).alias("title"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example/"), k.cast("string")).alias("link"),
-        F.trim(F.split_part("text", F.lit("\n"), F.lit(2))).alias("summary"),
+        F.when(F.col("text").isNotNull(), rest).alias("summary"),
         F.col("text").alias("full_text"),
         "lang",
         _category(F.col("lang")).alias("category"),
@@ -107,18 +110,26 @@ def _json_list(arr: Column, render) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(arr, render), ", "), F.lit("]"))
 
 
+def _noised(j: Column, key: Column, before: str, after: str) -> Column:
+    """A reply as is, fenced, wrapped in prose, truncated, or followed by more text in brackets."""
+    return (F.when(key % 4 == 1, F.concat(F.lit("```json\n"), j, F.lit("\n```")))
+            .when(key % 4 == 2, F.concat(F.lit(before), j, F.lit(after)))
+            .when(key % 4 == 3, F.substring(j, F.lit(1), (F.length(j) / 2).cast("int")))
+            .when(key % 16 == 4, F.concat(j, F.lit(" see {b}")))
+            .when(key % 16 == 8, F.concat(j, j))
+            .otherwise(j))
+
+
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One synthetic model reply per conversation, built from its first question/answer pairs.
+    """One synthetic model reply per conversation, built from its question/answer pairs.
 
     The reply carries the keys of every product (summary, qa, quiz, brief, deep read,
-    weekly) and is noised by ``conv_id``: as is, fenced, wrapped in prose, or truncated.
+    weekly) and is noised by ``conv_id``: as is, fenced, wrapped in prose, truncated, or followed by more brackets.
     Some replies miss ``summary`` or use a wrong answer key, some items are blank.
     """
     w = Window.partitionBy("conv_id").orderBy("turn")
-    first = (qa_pairs(spark, sf_dir)
-             .withColumn("pair_no", F.row_number().over(w))
-             .where(F.col("pair_no") <= REPLY_PAIRS))
-    g = first.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("pair_no", "question", "answer"))).alias("p"))
+    numbered = qa_pairs(spark, sf_dir).withColumn("pair_no", F.row_number().over(w))
+    g = numbered.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("pair_no", "question", "answer"))).alias("p"))
     cid = F.col("conv_id")
     ans_key = F.when(cid % 7 == 6, F.lit("reply")).otherwise(F.lit("answer"))
     p0 = F.col("p")[0]
@@ -142,7 +153,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     members = F.concat_ws(
         ", ",
-        F.when(cid % 5 != 4, F.concat(F.lit('"summary": '), json_str(p0["question"]))),
+        F.when(cid % 10 == 2, F.lit('"summary": null')).when(cid % 5 != 4, F.concat(F.lit('"summary": '), json_str(p0["question"]))),
         F.when(cid % 3 == 0, F.concat(F.lit('"summary_secondary": '),
                                       json_str(F.split_part(p0["answer"], F.lit("\n"), F.lit(1))))),
         F.concat(F.lit('"qa": '), _json_list(F.col("p"), qa_item)),
@@ -157,10 +168,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     g = g.withColumn("j", F.concat(F.lit("{"), members, F.lit("}")))
     j = F.col("j")
-    noised = (F.when(cid % 4 == 1, F.concat(F.lit("```json\n"), j, F.lit("\n```")))
-              .when(cid % 4 == 2, F.concat(F.lit("Here is the JSON you asked for:\n"), j, F.lit("\nHope this helps.")))
-              .when(cid % 4 == 3, F.substring(j, F.lit(1), (F.length(j) / 2).cast("int")))
-              .otherwise(j))
+    noised = _noised(j, cid, "Here is the JSON you asked for:\n", "\nHope this helps.")
     # Model replies are a landed table (the reply stage persists before use); landing the
     # synthetic ones too keeps the reply text a leaf for the many parse expressions above it.
     return g.select("conv_id", noised.alias("reply")).checkpoint(eager=True)
@@ -170,10 +178,7 @@ def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events.props`` as model replies, noised by ``event_id``."""
     e = table(spark, sf_dir, "events").select("event_id", "props")
     j, eid = F.col("props"), F.col("event_id")
-    noised = (F.when(eid % 4 == 1, F.concat(F.lit("```json\n"), j, F.lit("\n```")))
-              .when(eid % 4 == 2, F.concat(F.lit("Sure, here it is: "), j, F.lit(" -- done")))
-              .when(eid % 4 == 3, F.substring(j, F.lit(1), (F.length(j) / 2).cast("int")))
-              .otherwise(j))
+    noised = _noised(j, eid, "Sure, here it is: ", " -- done")
     return e.select("event_id", noised.alias("reply"))
 
 
