@@ -43,16 +43,17 @@ def with_positions(articles: DataFrame) -> DataFrame:
 
 def deep_read_pick(positioned: DataFrame) -> DataFrame:
     """Per run, the highest deep score among full-text articles (all when none has full text);
-    the first in day order wins ties.  A max over a struct: partial aggregation, no sort per day."""
-    key = F.struct(F.col("has_full_text"), F.col("deep_score"), (-F.col("pos")).alias("neg_pos"),
-                   F.struct(*[c for c in positioned.columns if c != "run_date"]).alias("row"))
-    best = positioned.groupBy("run_date").agg(F.max(key).alias("_best"))
-    return best.select("run_date", "_best.row.*")
+    the first in day order wins ties.  A max over narrow keys (partial aggregation, no sort per day); the article's other
+    columns, its text among them, join the winners."""
+    keys = ["run_date", "feed_ord", "entry_pos"]
+    order = F.struct(F.col("has_full_text"), F.col("deep_score"), (-F.col("pos")).alias("neg_pos"), F.col("feed_ord"), F.col("entry_pos"))
+    best = positioned.groupBy("run_date").agg(F.max(order).alias("_best"))
+    return positioned.join(best.select("run_date", "_best.feed_ord", "_best.entry_pos"), keys).select(*positioned.columns)
 
 
-def digest_totals(positioned: DataFrame) -> DataFrame:
+def digest_totals(articles: DataFrame) -> DataFrame:
     """Articles, minutes and full-text share by day and source, with subtotals (rollup)."""
-    return (positioned.rollup("run_date", "feed")
+    return (articles.rollup("run_date", "feed")
             .agg(F.count(F.lit(1)).alias("n_articles"),
                  F.sum("read_minutes").cast("long").alias("minutes"),
                  F.avg(F.col("has_full_text").cast("double")).alias("full_text_share"),

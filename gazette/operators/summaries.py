@@ -85,8 +85,8 @@ def week_themes(week: DataFrame, keywords: tuple[str, ...], k: int = MAX_THEMES)
         .select("target_day", F.col("theme_rank").cast("long").alias("theme_rank"), "theme", "n_articles")
 
 
-def complete_batch(prompts: DataFrame, key: str, complete: Callable[[str, int], str], kind: str = "summary",
-                   max_parallel: int = 4, attempts: int = C.RETRY_ATTEMPTS,
+def complete_batch(prompts: DataFrame, key: str, complete: Callable[[str, int], str], max_parallel: int,
+                   kind: str = "summary", attempts: int = C.RETRY_ATTEMPTS,
                    base_delay_s: float = C.RETRY_BASE_DELAY_S, land: bool = True) -> DataFrame:
     """``(key, reply, error, attempts)`` for every prompt, through ``complete(prompt, max_tokens)``.
 

@@ -255,7 +255,7 @@ SELECT run_date, feed, count(*) AS n_articles, CAST(sum(read_minutes) AS BIGINT)
        avg(CAST(has_full_text AS DOUBLE)) AS full_text_share, CAST(grouping(run_date, feed) AS BIGINT) AS level
 FROM pos GROUP BY ROLLUP (run_date, feed)""")
 def q_digest_totals(spark, sf):
-    return rank.digest_totals(daily.positioned(_all_articles(spark, sf)))
+    return rank.digest_totals(_all_articles(spark, sf))
 
 
 @register("feed_lookup", f"""WITH {S.ENTRIES}, feeds AS (
@@ -834,18 +834,27 @@ from ..streaming import streams as ST  # noqa: E402
 _STREAM_DELAY_H = 1
 
 
+STREAM_FILES = 4                                 # micro-batches of the registered streams
+
+
 @register("stream_seen", f"WITH RECURSIVE {_REPLAY_SQL} SELECT link, day FROM accepted")
 def q_stream_seen(spark, sf):
+    """Sightings over several micro-batches; a closing row far ahead lets the watermark pass the last day."""
     s = B.sightings(spark, sf)
-    src = ST.read_stream(spark, ST.land(s, "sightings", "day"), s)
-    return ST.run_available(ST.stream_seen(src, S_.seen_retention_days), "stream-seen")
+    days = [r.day for r in s.select("day").distinct().collect()]     # one row per run: the calendar
+    path = ST.land(s, "sightings", "day", STREAM_FILES)
+    end = s.agg(F.max("day").alias("day")).select(F.lit("<end>").alias("link"), F.date_add("day", 40).alias("day"))
+    end.write.mode("append").parquet(path)
+    src = ST.read_stream(spark, path, s, max_files=1)
+    out = ST.run_available(ST.stream_seen(src, days, S_.seen_retention_days), "stream-seen")
+    return out.where(F.col("link") != "<end>")
 
 
-@register("stream_seen_approx")
+@register("stream_seen_approx", f"WITH {_SIGHT_SQL} SELECT DISTINCT link FROM sight")
 def q_stream_seen_approx(spark, sf):
     s = B.sightings(spark, sf)
-    src = ST.read_stream(spark, ST.land(s, "sightings", "day"), s)
-    return ST.run_available(ST.stream_seen_approx(src, S_.seen_retention_days), "stream-seen-approx")
+    src = ST.read_stream(spark, ST.land(s, "sightings", "day", STREAM_FILES), s, max_files=1)
+    return ST.run_available(ST.stream_seen_approx(src, 10_000), "stream-seen-approx")
 
 
 def _events(spark, sf):
@@ -858,7 +867,7 @@ GROUP BY CAST(ts AS DATE), event_type, wm.w
 HAVING CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) <= wm.w""")
 def q_stream_daily(spark, sf):
     e = _events(spark, sf)
-    src = ST.read_stream(spark, ST.land(e, "events", "ts"), e)
+    src = ST.read_stream(spark, ST.land(e, "events", "ts", STREAM_FILES), e, max_files=1)
     return ST.run_available(ST.stream_daily(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-daily")
 
 
@@ -870,7 +879,7 @@ WHERE CAST(start_day + INTERVAL 7 DAY AS TIMESTAMP) <= wm.w
 GROUP BY start_day, event_type""")
 def q_stream_weekly(spark, sf):
     e = _events(spark, sf)
-    src = ST.read_stream(spark, ST.land(e, "events", "ts"), e)
+    src = ST.read_stream(spark, ST.land(e, "events", "ts", STREAM_FILES), e, max_files=1)
     return ST.run_available(ST.stream_weekly(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-weekly")
 
 
@@ -886,11 +895,11 @@ def q_stream_feed_lookup(spark, sf):
 def q_stream_publish(spark, sf):
     from ..session import scratch_path
     r = _recent(spark, sf)
-    src = ST.read_stream(spark, ST.land(r, "recent", "day"), r)
     table = scratch_path(spark, "published-days")
-    ST.stream_publish(src, table, "stream-publish")
-    ST.stream_publish(ST.read_stream(spark, ST.land(r, "recent-again", "day"), r), table, "stream-publish-rerun")
-    return spark.read.parquet(table).select("day", "pos", "title", "summary", "source")
+    for run in ("1", "2"):                       # the second run replaces the first one's days
+        src = ST.read_stream(spark, ST.land(r, f"recent-{run}", "pos", STREAM_FILES), r, max_files=1)
+        ST.stream_publish(src, table, f"stream-publish-{run}", run)
+    return ST.published(spark, table).select("day", "pos", "title", "summary", "source")
 
 
 # ------------------------------------------------------------- feed landing
@@ -947,7 +956,7 @@ SELECT day, event_type, batch_n, stream_n, batch_n - stream_n AS late_or_open FR
 def q_late_rows(spark, sf):
     """Rows the daily stream did not count (late, or in a window still open), per day and type."""
     e = _events(spark, sf)
-    src = ST.read_stream(spark, ST.land(e, "events", "ts"), e)
+    src = ST.read_stream(spark, ST.land(e, "events", "ts", STREAM_FILES), e, max_files=1)
     out = ST.run_available(ST.stream_daily(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-late")
     return ST.late_rows(e, out, "event_type")
 
@@ -971,3 +980,102 @@ def q_day_nonempty_gate(spark, sf):
     n = daily.candidate_articles(B.entries(spark, sf), S_).groupBy("run_date").agg(F.count(F.lit(1)).alias("n_articles"))
     g = days.join(n, "run_date", "left").withColumn("n_articles", F.coalesce("n_articles", F.lit(0)).cast("long"))
     return g.withColumn("publish", F.col("n_articles") > 0)
+
+
+# ------------------------------------------- state and sinks, written and read back
+def _seen_state(spark, sf):
+    """Accepted links with their newest acceptance, and the last run day."""
+    from ..operators import history as Hs
+    s = B.sightings(spark, sf)
+    acc = Hs.replay_seen(s, S_.seen_retention_days)
+    state = acc.groupBy("link").agg(F.max("day").alias("first_seen"))
+    return state, s.agg(F.max("day").cast("string")).first()[0]
+
+
+@register("seen_write", f"""WITH RECURSIVE {_REPLAY_SQL}
+SELECT link, max(day) AS first_seen FROM accepted GROUP BY link
+HAVING max(day) >= (SELECT max(day) FROM sight) - {S_.seen_retention_days}""")
+def q_seen_write(spark, sf):
+    """The seen state after the last run: saved over an older version, read back."""
+    from ..session import scratch_path
+    from ..sources import state as STT
+    state, last = _seen_state(spark, sf)
+    root = scratch_path(spark, "seen-state")
+    STT.write_seen(state.where(F.col("first_seen") < F.lit(last).cast("date")), root, last, S_.seen_retention_days)
+    STT.write_seen(state, root, last, S_.seen_retention_days)
+    return STT.read_seen(spark, root)
+
+
+@register("seen_read", f"""WITH RECURSIVE {_REPLAY_SQL},
+state AS (SELECT link, max(day) AS first_seen FROM accepted GROUP BY link HAVING max(day) >= (SELECT max(day) FROM sight) - {S_.seen_retention_days})
+SELECT DISTINCT link FROM sight WHERE link NOT IN (SELECT link FROM state)""")
+def q_seen_read(spark, sf):
+    """Links that the run after the last one would not find in the state it loads."""
+    fresh = B.sightings(spark, sf).select("link", F.lit("").alias("x")).distinct()
+    return ingest.seen_anti(fresh, q_seen_write(spark, sf)).select("link")
+
+
+_KEPT_DAYS = f"day >= (SELECT max(day) FROM recent) - {S_.recent_retention_days}"
+
+
+@register("recent_write", f"""WITH {_RECENT_SQL}
+SELECT day, pos, CASE WHEN day = (SELECT max(day) FROM recent) THEN upper(title) ELSE title END AS title, summary, source FROM recent WHERE {_KEPT_DAYS}""")
+def q_recent_write(spark, sf):
+    """The recent state: all days saved, then the last day again with other titles; retention at each save."""
+    from ..session import scratch_path
+    from ..sources import state as STT
+    r = _recent(spark, sf).checkpoint(eager=True)
+    last = r.agg(F.max("day").cast("string")).first()[0]
+    root = scratch_path(spark, "recent-state")
+    STT.write_recent(r, root, last, S_.recent_retention_days)
+    again = r.where(F.col("day") == F.lit(last).cast("date")).withColumn("title", F.upper("title"))
+    STT.write_recent(again, root, last, S_.recent_retention_days)
+    return STT.read_recent(spark, root)
+
+
+@register("recent_read", f"""WITH {_RECENT_SQL} SELECT day, count(*) AS n_articles FROM recent WHERE {_KEPT_DAYS} GROUP BY day""")
+def q_recent_read(spark, sf):
+    """Articles per day in the recent state as loaded by the next run."""
+    return q_recent_write(spark, sf).groupBy("day").agg(F.count(F.lit(1)).alias("n_articles"))
+
+
+@register("publish_day", f"WITH {_RECENT_SQL} SELECT day, pos, title, source FROM recent")
+def q_publish_day(spark, sf):
+    """Digest rows under their day; published twice, and once by a run without articles."""
+    from ..session import scratch_path
+    from ..sources import publish as PB
+    r = _recent(spark, sf).select("day", "pos", "title", "source").checkpoint(eager=True)
+    path = scratch_path(spark, "digest-days")
+    PB.publish_day(r, path)
+    PB.publish_day(r.where(F.col("day") == r.select(F.max("day")).scalar()), path)
+    PB.publish_day(r.where(F.lit(False)), path)
+    return spark.read.schema(r.schema).parquet(path).select("day", "pos", "title", "source")
+
+
+@register("publish_articles", f"""WITH RECURSIVE {_DOC_PAGES_SQL}
+SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, font, {_sfx('base')} AS file_name, CAST(substr(slug, 1, 10) AS DATE) AS day FROM man""")
+def q_publish_articles(spark, sf):
+    """The page manifest as published, read back with its day."""
+    from ..session import scratch_path
+    from ..sources import publish as PB
+    path = scratch_path(spark, "article-pages")
+    PB.publish_articles(_doc_pages(spark, sf).select("doc_id", "slug", "page_no", "font", "file_name"), path)
+    t = spark.read.parquet(path)
+    return t.select("doc_id", _long("page_no"), "font", "file_name", F.col("day").cast("date").alias("day"))
+
+
+def _stub_model(prompt: str, cap: int) -> str:
+    """A deterministic stand-in for a provider: the prompt's length, and a failure for some."""
+    if len(prompt) % 7 == 0:
+        raise RuntimeError("provider down")
+    return '{"summary": "%d"}' % len(prompt)
+
+
+@register("complete_batch", f"""SELECT doc_id, CASE WHEN length(text) % 7 > 0 THEN '{{"summary": "' || length(text) || '"}}' END AS reply,
+  CASE WHEN length(text) % 7 = 0 THEN 'RuntimeError: provider down' END AS error,
+  CASE WHEN length(text) % 7 = 0 THEN CAST({C.RETRY_ATTEMPTS} AS BIGINT) ELSE 1 END AS attempts FROM documents""")
+def q_complete_batch(spark, sf):
+    """Every document as a prompt through a deterministic model function."""
+    prompts = B.table(spark, sf, "documents").select("doc_id", F.col("text").alias("prompt"))
+    out = SM.complete_batch(prompts, "doc_id", _stub_model, max_parallel=8, base_delay_s=0)
+    return out.select("doc_id", "reply", "error", _long("attempts"))

@@ -1,9 +1,9 @@
 """State tables kept between runs: ``seen(link, first_seen)`` and ``recent(day, pos, ...)``.
 
-``seen`` is small and rewritten whole each run: the new version is written beside the
-old one and a one-line pointer file is replaced last, so a failed run leaves the old
-version current.  ``recent`` is partitioned by day and written with dynamic partition
-overwrite, so a run replaces only its own day.
+Both are small and rewritten whole each run.  A save writes a new version folder ``v-<counter>-<id>`` beside the
+old ones; a version counts once its ``_SUCCESS`` file is there, which the writer puts last, and the newest
+such version is current.  So a save that breaks off leaves the old version current, and there is no moment without one.
+Only a missing folder reads as empty state; any other storage error is raised.
 """
 
 from __future__ import annotations
@@ -22,39 +22,50 @@ RECENT_SCHEMA = StructType([StructField("day", DateType()), StructField("pos", L
                             StructField("source", StringType())])
 
 
-def _pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/_current"
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """Complete versions under ``root``, oldest first; none when the folder does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("v-")]
+    done = [p for p in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted((int(p.getName().split("-")[1]), p.toString()) for p in done)
+
+
+def _read(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    found = _versions(spark, root)
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(found[-1][1])
+
+
+def _write(df: DataFrame, root: str) -> str:
+    found = _versions(df.sparkSession, root)
+    number = found[-1][0] + 1 if found else 1
+    version = f"{root.rstrip('/')}/v-{number:012d}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").parquet(version)
+    return version
 
 
 def read_seen(spark: SparkSession, root: str) -> DataFrame:
     """The current seen table; an absent state is empty."""
-    try:
-        cur = spark.read.text(_pointer(root)).first()
-    except Exception:  # noqa: BLE001 - no pointer yet: first run
-        cur = None
-    if cur is None:
-        return spark.createDataFrame([], SEEN_SCHEMA)
-    return spark.read.schema(SEEN_SCHEMA).parquet(cur.value)
+    return _read(spark, root, SEEN_SCHEMA)
 
 
 def write_seen(seen: DataFrame, root: str, run_date: str, retention_days: int) -> str:
-    """Apply retention, write a new version, then swap the pointer."""
-    spark = seen.sparkSession
+    """Apply retention and save a new version."""
     kept = Hs.retention_seen(seen.select("link", "first_seen"), F.lit(run_date).cast("date"), retention_days)
-    version = f"{root.rstrip('/')}/v-{run_date}-{uuid.uuid4().hex[:8]}"
-    kept.write.mode("errorifexists").parquet(version)
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer(root))
-    return version
+    return _write(kept, root)
 
 
 def read_recent(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(RECENT_SCHEMA).parquet(root)
-    except Exception:  # noqa: BLE001 - first run
-        return spark.createDataFrame([], RECENT_SCHEMA)
+    """The current recent table; an absent state is empty."""
+    return _read(spark, root, RECENT_SCHEMA)
 
 
-def write_recent(today: DataFrame, root: str) -> None:
-    """Replace the days present in ``today``; other days stay as they are."""
-    (today.select(*[f.name for f in RECENT_SCHEMA.fields]).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(root))
+def write_recent(today: DataFrame, root: str, run_date: str, retention_days: int) -> str:
+    """Replace the days present in ``today``, drop days beyond the retention, save a new version."""
+    cols = [f.name for f in RECENT_SCHEMA.fields]
+    merged = Hs.recent_upsert(read_recent(today.sparkSession, root).select(*cols), today.select(*cols))
+    return _write(merged.where(Hs.keep_after_cutoff("day", F.lit(run_date).cast("date"), retention_days, False)), root)

@@ -9,8 +9,9 @@ a bounded landing folder gives the same answer as the batch operator.
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
-from typing import Iterator
+from typing import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,22 @@ from ..session import scratch_path
 EPOCH = dt.date(1970, 1, 1)
 
 
-def land(df: DataFrame, name: str, order: str | None = None) -> str:
-    """Write a bounded DataFrame as the files of a stream source; returns the folder."""
+def land(df: DataFrame, name: str, order: str | None = None, files: int | None = None) -> str:
+    """Write a bounded DataFrame as the files of a stream source; returns the folder.
+
+    With ``files``, ranges of ``order`` go to that many files, written one after the other, so that a stream
+    with ``max_files`` meets them in order over several micro-batches.
+    """
     path = scratch_path(df.sparkSession, name)
-    out = df.sortWithinPartitions(order) if order else df
-    out.write.mode("errorifexists").parquet(path)
+    if not files:
+        (df.sortWithinPartitions(order) if order else df).write.mode("errorifexists").parquet(path)
+        return path
+    cuts = df.select(F.percentile_approx(F.col(order).cast("timestamp").cast("double"), [k / files for k in range(1, files)], 1000)).first()[0] or []
+    key = F.col(order).cast("timestamp").cast("double")
+    edges = [None, *sorted(set(cuts)), None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        part = df if lo is None else df.where(key > lo)
+        (part if hi is None else part.where(key <= hi)).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
@@ -51,33 +63,45 @@ def run_available(stream: DataFrame, name: str, output_mode: str = "append") ->
 
 
 # ------------------------------------------------------------ seen state
-def _seen_fn(hold_days: int):
+def _seen_fn(retention_days: int, runs: list[int]):
+    """Days in ``runs`` (day numbers, sorted) are the runs; state: last acceptance and days not yet decided."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        days = sorted({d for pdf in pdfs for d in pdf["day_n"].tolist()})
+        last, waiting = state.get if state.exists else (None, [])
+        waiting = {int(d) for d in waiting}
+        if not state.hasTimedOut:
+            waiting |= {int(d) for pdf in pdfs for d in pdf["day_n"].tolist()}
+        closed = state.getCurrentWatermarkMs() // 86_400_000          # days before it are complete
         acc = []
-        for d in days:
-            if last is None or d > last + hold_days:
+        for d in sorted(x for x in waiting if x < closed):
+            waiting.discard(d)
+            k = bisect.bisect_left(runs, d)
+            if last is None or k and last < runs[k - 1] - retention_days:
                 acc.append(d)
                 last = d
-        if last is not None:
-            state.update((last,))
-            # once the watermark passes last + hold, any sighting is accepted anyway: drop state
-            state.setTimeoutTimestamp(int((last + hold_days + 1) * 86_400_000))
+        # the run after the first run day beyond the retention starts without the link: nothing to remember then
+        k = bisect.bisect_right(runs, last + retention_days) if last is not None else len(runs)
+        free = runs[k] if k < len(runs) else None
+        if not waiting and free is not None and closed > free:
+            state.remove()
+        else:
+            state.update((last, sorted(waiting)))
+            wake = min(waiting) + 1 if waiting else free + 1 if free is not None else None
+            if wake is not None:
+                state.setTimeoutTimestamp(wake * 86_400_000 + 1)
         if acc:
             yield pd.DataFrame({"link": [key[0]] * len(acc),
-                                "day": [EPOCH + dt.timedelta(days=int(d)) for d in acc]})
+                                "day": [EPOCH + dt.timedelta(days=d) for d in acc]})
     return fn
 
 
-def stream_seen(sightings: DataFrame, retention_days: int = 14, watermark: str = "1 day") -> DataFrame:
-    """Exact seen-state rule on a stream (daily runs): a sighting is accepted when the link's
-    last acceptance is more than ``retention + 1`` days old.  Keyed state per link holds one
-    date; it expires through an event-time timeout once it can no longer block anything."""
-    hold = retention_days + 1
+def stream_seen(sightings: DataFrame, run_days: Sequence[dt.date], retention_days: int = 14, watermark: str = "1 day") -> DataFrame:
+    """Exact seen-state rule on a stream.  A link accepted on day s is in the state that a run starts from while
+    s >= previous run - retention; ``run_days`` (one per run: the calendar) tells the previous run.
+
+    A day is decided once the watermark has passed it, in day order per link, so files may come in any order that the
+    watermark allows and skipped run days are exact.  State per link: the last acceptance and the days not yet decided.
+    """
+    runs = sorted((d - EPOCH).days for d in run_days)
     # one row per (link, day) before the keyed state: a link's group in a micro-batch is
     # bounded by the days it covers, not by how many raw sightings a hot link has
     s = (sightings.withColumn("ts", F.col("day").cast("timestamp"))
@@ -85,16 +109,17 @@ def stream_seen(sightings: DataFrame, retention_days: int = 14, watermark: str =
          .withWatermark("ts", watermark)
          .dropDuplicatesWithinWatermark(["link", "day_n"]))
     return s.groupBy("link").applyInPandasWithState(
-        _seen_fn(hold), outputStructType="link string, day date", stateStructType="last int",
+        _seen_fn(retention_days, runs), outputStructType="link string, day date", stateStructType="last int, waiting array<int>",
         outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_seen_approx(sightings: DataFrame, retention_days: int = 14) -> DataFrame:
-    """Built-in watermark de-duplication: no repeat of a link while its state lives; state
-    expires only after the watermark passes, so suppression can outlast the retention."""
+    """Links, each once while its state lives: built-in watermark de-duplication.  State
+    expires only after the watermark passes, so suppression can outlast the retention; which day of a link
+    survives is arbitrary, so only the link is returned."""
     s = sightings.withColumn("ts", F.col("day").cast("timestamp"))
     return (s.withWatermark("ts", f"{retention_days} days")
-             .dropDuplicatesWithinWatermark(["link"]).select("link", "day"))
+             .dropDuplicatesWithinWatermark(["link"]).select("link"))
 
 
 # ------------------------------------------------------------ windows
@@ -119,21 +144,31 @@ def stream_feed_lookup(entries: DataFrame, feeds: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ publishing
-def publish_batch(table_path: str, day_col: str = "day"):
-    """``foreachBatch`` writer: replace the days present in the batch, leave others alone;
-    an empty batch writes nothing (the quiet-rerun rule)."""
+def publish_batch(table_path: str, run_id: str, day_col: str = "day"):
+    """``foreachBatch`` writer: a day's rows lie under (day, run_id, batch).  A batch replaces only
+    its own part of a day, so a day may come in several batches and a retried batch writes
+    nothing twice; an empty batch writes nothing (the quiet-rerun rule)."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        (batch.write.mode("overwrite").partitionBy(day_col)
+        (batch.withColumn("run_id", F.lit(run_id)).withColumn("batch", F.lit(epoch_id))
+         .write.mode("overwrite").partitionBy(day_col, "run_id", "batch")
          .option("partitionOverwriteMode", "dynamic").parquet(table_path))
     return write
 
 
-def stream_publish(rows: DataFrame, table_path: str, name: str, day_col: str = "day") -> None:
+def published(spark: SparkSession, table_path: str, day_col: str = "day") -> DataFrame:
+    """The table's current rows: per day those of its newest run (run ids sort by time)."""
+    t = spark.read.parquet(table_path)
+    newest = t.groupBy(day_col).agg(F.max("run_id").alias("run_id"))     # one row per day: the calendar
+    return t.join(newest, [day_col, "run_id"], "left_semi").drop("run_id", "batch")
+
+
+def stream_publish(rows: DataFrame, table_path: str, name: str, run_id: str, day_col: str = "day") -> None:
+    """Publish a run; a later run replaces the days that it has, and no others."""
     spark = rows.sparkSession
     ck = scratch_path(spark, f"{name}-ckpt")
-    q = (rows.writeStream.foreachBatch(publish_batch(table_path, day_col))
+    q = (rows.writeStream.foreachBatch(publish_batch(table_path, run_id, day_col))
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():

@@ -21,16 +21,35 @@ def test_seen_round_trip_with_retention(spark):
     assert {r.link for r in ST.read_seen(spark, root).collect()} == {"c"}
 
 
-def test_recent_replaces_only_its_day(spark):
+def test_recent_replaces_its_day_and_forgets_old_ones(spark):
     root = scratch_path(spark, "recent-test")
-    d1, d2 = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
-    ST.write_recent(spark.createDataFrame([(d1, 1, "t1", "s", "src"), (d2, 1, "t2", "s", "src"),
-                                           (d2, 2, "t3", "s", "src")], ST.RECENT_SCHEMA), root)
-    ST.write_recent(spark.createDataFrame([(d2, 1, "new", "s", "src")], ST.RECENT_SCHEMA), root)
+    d0, d1, d2 = dt.date(2025, 1, 1), dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    ST.write_recent(spark.createDataFrame([(d0, 1, "old", "s", "src"), (d1, 1, "t1", "s", "src"), (d2, 1, "t2", "s", "src"),
+                                           (d2, 2, "t3", "s", "src")], ST.RECENT_SCHEMA), root, "2025-01-05", 14)
+    assert ST.read_recent(spark, root).count() == 4
+    ST.write_recent(spark.createDataFrame([(d2, 1, "new", "s", "src")], ST.RECENT_SCHEMA), root, "2026-01-02", 14)
     got = sorted((r.day, r.title) for r in ST.read_recent(spark, root).collect())
     assert got == [(d1, "t1"), (d2, "new")]
 
 
+def test_broken_save_and_storage_errors(spark):
+    """A version without its _SUCCESS file does not count; an unreadable version is no empty state."""
+    import os
+    root = scratch_path(spark, "seen-broken").replace("file:", "")
+    ST.write_seen(spark.createDataFrame([("a", dt.date(2026, 1, 1))], ST.SEEN_SCHEMA), root, "2026-01-02", 14)
+    second = ST.write_seen(spark.createDataFrame([("b", dt.date(2026, 1, 2))], ST.SEEN_SCHEMA), root, "2026-01-02", 14)
+    os.rename(f"{second}/_SUCCESS", f"{second}/_half")
+    assert [r.link for r in ST.read_seen(spark, root).collect()] == ["a"]
+    bad = f"{root}/v-000000000009-x"
+    os.makedirs(bad)
+    for name in ("_SUCCESS", "part-0.parquet"):
+        with open(f"{bad}/{name}", "w") as f:
+            f.write("no parquet")
+    import pytest
+    with pytest.raises(Exception):
+        ST.read_seen(spark, root).collect()
+
+
 def test_publish_day_idempotent_and_quiet_rerun(spark):
     path = scratch_path(spark, "digest-test")
     rows = spark.createDataFrame([(dt.date(2026, 1, 1), 1, "a"), (dt.date(2026, 1, 2), 1, "b")],
@@ -63,7 +82,7 @@ def test_complete_batch_retries_and_lands(spark):
 
     prompts = spark.createDataFrame([(i, ("bad" if i % 3 == 0 else "ok ") + str(i)) for i in range(9)],
                                     "k long, prompt string")
-    out = complete_batch(prompts, "k", model, base_delay_s=0)
+    out = complete_batch(prompts, "k", model, max_parallel=4, base_delay_s=0)
     rows = {r.k: r for r in out.collect()}
     out.count()
     assert calls.value == 3 * 4 + 6          # failures tried 4 times; a second action calls nothing
