@@ -38,6 +38,7 @@ DEFAULT_TITLE = "Untitled"
 class Settings:
     """Defaults of the reference configuration; explicit ``None`` is kept as ``None``."""
 
+    # These defaults must equal the reference's
     language: str = "zh-TW"
     secondary_language: str | None = None
     timezone: str = "UTC"

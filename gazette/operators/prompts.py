@@ -16,8 +16,8 @@ from .history import previous_day, week_articles
 
 ARTICLE_HEAD = ("Summarise the article below. Answer with one JSON object only, keys: "
                 '"summary" (2-4 sentences in {lang}), {secondary}"qa" (3 objects with "question" and "answer" in {lang}). ')
-NEWS_ANGLE = "Lead with the concrete news and why it matters."
-ESSAY_ANGLE = "It is a long-form essay: follow its main argument to where it lands."
+NEWS_ANGLE = "Open with what happened, then say who is affected."
+ESSAY_ANGLE = "This is a longer piece: state its thesis, the reasons given and the conclusion."
 SECONDARY = '"summary_secondary" (the same summary in {lang2}), '
 BRIEF_HEAD = ('Write a 2-4 sentence editor\'s brief in {lang} connecting today\'s stories. Answer with one JSON '
               'object only, key "brief".\n\nArticles:\n')

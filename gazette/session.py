@@ -30,7 +30,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # checkpoints cut lineage of iterative stages; drop their files once unreferenced
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("GAZETTE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("GAZETTE_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
