@@ -45,10 +45,10 @@ def deep_read_pick(positioned: DataFrame) -> DataFrame:
     """Per run, the highest deep score among full-text articles (all when none has full text);
     the first in day order wins ties.  A max over narrow keys (partial aggregation, no sort per day); the article's other
     columns, its text among them, join the winners."""
-    keys = ["run_date", "feed_ord", "entry_pos"]
-    order = F.struct(F.col("has_full_text"), F.col("deep_score"), (-F.col("pos")).alias("neg_pos"), F.col("feed_ord"), F.col("entry_pos"))
+    order = F.struct(F.col("has_full_text"), F.col("deep_score"), (-F.col("pos")).alias("neg_pos"))
     best = positioned.groupBy("run_date").agg(F.max(order).alias("_best"))
-    return positioned.join(best.select("run_date", "_best.feed_ord", "_best.entry_pos"), keys).select(*positioned.columns)
+    winners = best.select("run_date", (-F.col("_best.neg_pos")).alias("pos"))        # a position is unique in its run
+    return positioned.join(winners, ["run_date", "pos"]).select(*positioned.columns)
 
 
 def digest_totals(articles: DataFrame) -> DataFrame:
