@@ -78,7 +78,7 @@ def pair_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """
     needed = land(pairs.select(F.col("a").alias("th")).union(pairs.select(F.col("b").alias("th"))).distinct())
     side = F.broadcast(needed) if needed.count() <= BROADCAST_HASHES else needed
-    some = land(texts.join(side, "th", "left_semi").dropDuplicates(["th"]))
+    some = texts.join(side, "th", "left_semi").dropDuplicates(["th"])
     return (pairs.join(some.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a")
             .join(some.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
 
