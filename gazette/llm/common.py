@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gazette.session import ensure_checkpoint_dir
 
 # text hashes are broadcast up to this many (8 bytes each)
-BROADCAST_HASHES = 1_000_000
+BROADCAST_HASHES = 500_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -78,7 +78,8 @@ def pair_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """
     needed = land(pairs.select(F.col("a").alias("th")).union(pairs.select(F.col("b").alias("th"))).distinct())
     side = F.broadcast(needed) if needed.count() <= BROADCAST_HASHES else needed
-    some = texts.join(side, "th", "left_semi").dropDuplicates(["th"])
+    # landed, so that both sides of the joins below are plain shuffles and AQE can split a text with many pairs
+    some = land(texts.join(side, "th", "left_semi").dropDuplicates(["th"]))
     return (pairs.join(some.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a")
             .join(some.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
 

@@ -73,8 +73,9 @@ def exact_groups(docs: DataFrame, idents: Sequence[Callable[[Column], Column]] =
     recipes = land(chunked.select(
         "doc_id", F.sha2("norm", 256).alias("text_sha256"), F.transform("chunks", lambda c: ident(c)).alias("recipe"),
         F.monotonically_increasing_id().alias("rid")))
-    groups = recipes.groupBy("recipe").agg(
-        F.max(F.struct("doc_id", "rid")).alias("keep"), F.count(F.lit(1)).cast("long").alias("group_size"))
+    # landed, so that both sides of the join are plain shuffles and AQE can split a recipe that many rows share
+    groups = land(recipes.groupBy("recipe").agg(
+        F.max(F.struct("doc_id", "rid")).alias("keep"), F.count(F.lit(1)).cast("long").alias("group_size")))
     return recipes.join(groups, "recipe").select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("keep.rid") == F.col("rid")).alias("kept"), "text_sha256")
