@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from gazette.sources.tables import TABLES
 
 ORACLE = E.oracle_sql()
-SLOW = {"daily_digest", "dedup_greedy", "similar_titles"}
+SLOW = {"pipeline"}            # tested stage by stage in its own folder
 
 
 def _norm(v):
@@ -47,7 +47,7 @@ def test_every_query_runs(spark, sf):
         if name in ORACLE or name in SLOW:
             continue
         df = fn(spark, sf)
-        assert df.count() >= 0, name
+        assert df.count() > 0, name
 
 
 def test_entry_smoke(spark):
