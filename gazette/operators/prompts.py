@@ -46,7 +46,13 @@ def article_prompt(articles: DataFrame, settings: C.Settings) -> DataFrame:
                                                   _lit("\n\nArticle:\n"), body))
 
 
+def _gated(prompts: DataFrame, on: bool) -> DataFrame:
+    """A product that is switched off has no prompts."""
+    return prompts if on else prompts.where(F.lit(False))
+
+
 def deep_prompt(picks: DataFrame, settings: C.Settings) -> DataFrame:
+    picks = _gated(picks, settings.deep_read)
     budget = T.source_budget(F.col("long_form"), settings)
     return picks.withColumn("prompt", F.concat(_lit(DEEP_HEAD.format(lang=settings.language)), _lit("\n\nTitle: "),
                                                F.col("title"), _lit("\n\nArticle:\n"),
@@ -64,17 +70,17 @@ def _day_text(recent: DataFrame, block) -> DataFrame:
 def brief_prompt(recent: DataFrame, settings: C.Settings) -> DataFrame:
     block = F.concat(F.col("pos").cast("string"), _lit(". ["), F.col("source"), _lit("] "), F.col("title"),
                      _lit("\n"), F.col("summary"))
-    d = _day_text(recent, block)
+    d = _gated(_day_text(recent, block), settings.editor_brief)
     return d.select("day", "n_articles",
                     F.concat(_lit(BRIEF_HEAD.format(lang=settings.language)), F.col("blocks")).alias("prompt"))
 
 
 def quiz_prompt(recent: DataFrame, settings: C.Settings) -> DataFrame:
-    """Each day's quiz is written from the previous non-empty day's articles."""
+    """Each day's quiz is written from the previous non-empty day's articles; none without questions to ask."""
     block = F.concat(F.col("pos").cast("string"), _lit(". "), F.col("title"), _lit("\n"), F.col("summary"))
     d = _day_text(recent, block).withColumnRenamed("day", "source_day")
     prev = previous_day(recent.select("day")).where(F.col("prev_day").isNotNull())
-    j = prev.join(d, prev["prev_day"] == d["source_day"])
+    j = _gated(prev.join(d, prev["prev_day"] == d["source_day"]), (settings.quiz_questions or 0) > 0)
     head = QUIZ_HEAD.format(n=settings.quiz_questions, lang=settings.language)
     return j.select("day", "source_day", F.concat(_lit(head), F.col("blocks")).alias("prompt"))
 
