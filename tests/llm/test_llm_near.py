@@ -180,6 +180,25 @@ def test_passages_against_brute_force(spark):
     assert {c for k in range(12) for _, _, c in found[k]} <= set(range(12))
 
 
+def test_passage_classes_are_components(spark):
+    rng = random.Random(12)
+    fill = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]      # noqa: E731
+    p, q, r = fill(60), fill(70), fill(70)
+    mixed = fill(20) + q + r[:70] + fill(20)
+    docs = {5 + 13 * k: fill(40) + p + fill(40) for k in range(9)}
+    docs |= {200: mixed, 201: fill(30) + q + r[:20] + fill(9), 202: fill(30) + q[-20:] + r + fill(9), 203: q + fill(5), 204: fill(5) + r}
+    docs |= {300: fill(90), 301: None}
+    docs[301] = docs[300]
+    got = defaultdict(list)
+    for x in substring.repeated_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()], "doc_id long, text string")).collect():
+        got[x.doc_id].append((x.class_id, x.n_links, x.end_word - x.start_word))
+    assert all(got[5 + 13 * k] == [(5, 8, 60)] for k in range(9))       # whoever led, one class
+    assert got[300] == got[301] == [(300, 1, 90)]
+    # q + 20 words of r and 20 words of q + r overlap by 40 words in 200: two passages, no link lost
+    assert sorted(got[200]) == [(200, 2, 90), (200, 2, 90)]
+    assert got[201] == [(200, 2, 90)] == got[202] and got[203] == [(200, 2, 70)] == got[204]
+
+
 def test_passages_odd_rows(docs, wide, no_docs):
     a = sorted(map(tuple, substring.repeated_passages(docs).collect()))
     assert a == sorted(map(tuple, substring.repeated_passages(wide).collect()))
