@@ -36,6 +36,7 @@ PATTERN = {
 }
 # what a text must hold for a kind to be looked for
 HINT = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
+HINT_PATTERN = {"card": "[0-9][ -]?[0-9]", "iban": "[0-9][0-9]"}
 BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.3}
 CONTEXT_BONUS = 0.4
 CONTEXT = {
@@ -111,7 +112,7 @@ def _found(kind: str, text: Column) -> Column:
                            step, lambda acc: acc["out"])
 
     found = let(hits, lambda h: F.when(F.size(h) > 0, let(gaps, lambda g: place(g, h))).otherwise(none))
-    hint = F.contains(text, F.lit(HINT[kind])) if kind in HINT else text.rlike("[0-9][0-9]")
+    hint = F.contains(text, F.lit(HINT[kind])) if kind in HINT else text.rlike(HINT_PATTERN[kind])
     return F.when(hint, found).otherwise(none)
 
 

@@ -180,3 +180,18 @@ def test_components(spark):
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {v: find(v) for v in par}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_card_of_single_digits(spark):
+    texts = ["pay 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 now", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1", "4-1 1-1 1-1 1-1 1-1 1-1 1-1 1-1",
+             "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 2", "4  1  1", "1 2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.digest(pii.find_pii(df)).collect()}
+    for k, t in enumerate(texts):
+        assert got[k].spans == ",".join(base_spans(t)) and got[k].n_card == (k < 3)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    rel = con.sql(queries.ORACLE["op1_pii"])
+    have = [c for c in rel.columns]
+    assert Counter(rel.fetchall()) == Counter(tuple(got[k][c] for c in have) for k in got)
