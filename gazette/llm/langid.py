@@ -4,8 +4,9 @@ Text bytes are reduced (A-Z lowered, other ASCII but letters to space) and cut i
 bytes.  Filters of several widths slide over embedded bytes; each filter's maximum over a window feeds a softmax over the learned
 languages.  A document's probabilities are the mean over all windows of its whole text, weighted by their bytes.
 
-Training uses at most about ``PER_LANG`` rows of each of at most ``MAX_LANGS`` languages, chosen by hash, and one
-window of each; the language counts behind that choice cover all rows.  ``text`` is the only feature.  The
+Training uses every language and at most about ``PER_LANG`` rows of each, chosen by hash, and one window of each row; beyond
+``TRAIN_ROWS // PER_LANG`` languages about ``TRAIN_ROWS`` rows in all, but ``LEAST_ROWS`` or all rows of each.  The language counts
+behind that choice cover all rows.  ``text`` is the only feature.  The
 trained weights (a few kilobytes) go to the tasks; each worker expands them once into tables by byte
 pair, so applying a filter is a table lookup.
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WINDOW, DIM, FILTERS, WIDTHS = 256, 8, 16, (2, 3, 4)
-PER_LANG, MAX_LANGS, EPOCHS, BATCH = 1200, 64, 14, 64
+PER_LANG, TRAIN_ROWS, LEAST_ROWS, EPOCHS, BATCH = 1200, 76_800, 50, 14, 64
 SLAB = 96                       # windows expanded at once
 
 REDUCE = np.arange(256, dtype=np.uint8)
@@ -43,23 +44,24 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def training_rows(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS, seed: int = 5) -> list[tuple[str, str]]:
+def training_rows(docs: DataFrame, per_lang: int = PER_LANG, most: int = TRAIN_ROWS, seed: int = 5) -> list[tuple[str, str]]:
     """(lang, passage) of a bounded sample of the labelled rows that are not held out.
 
-    A language's rows are kept by a hash threshold that expects ``per_lang`` of them, so no rank
-    or sort per language is needed; passages are at most ``WINDOW`` characters, from anywhere in the text.
+    Every language is in it.  Its rows are kept by a hash threshold that expects ``per_lang`` of them (fewer where ``most``
+    is not enough for all languages), so no rank or sort per language is needed; passages are at most ``WINDOW`` characters, from anywhere in the text.
     """
     rows = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return []
+    each = min(per_lang, max(LEAST_ROWS, most // len(counts)))
     place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(1 << 30))
-    keep = F.lit(False)
-    for r in counts:
-        keep = keep | ((F.col("lang") == r["lang"]) & (place < int(min(1.0, per_lang / r["count"]) * (1 << 30))))
+    bounds = docs.sparkSession.createDataFrame(
+        [(r["lang"], int(min(1.0, each / r["count"]) * (1 << 30))) for r in counts], "lang string, bound long")
+    chosen = rows.select("lang", "text", "doc_id").join(F.broadcast(bounds), "lang").where(place < F.col("bound"))
     start = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.greatest(F.length("text") - WINDOW, F.lit(1))).cast("int") + 1
-    got = (rows.where(keep).select("lang", F.substring("text", start, F.lit(WINDOW)).alias("passage"), "doc_id")
-           .where(has_letter(F.col("passage"))).limit(2 * per_lang * max_langs).collect())
+    got = (chosen.select("lang", F.substring("text", start, F.lit(WINDOW)).alias("passage"), "doc_id")
+           .where(has_letter(F.col("passage"))).limit(2 * max(most, each * len(counts))).collect())
     return sorted((r["lang"], r["passage"]) for r in got)
 
 

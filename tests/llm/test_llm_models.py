@@ -75,6 +75,15 @@ def test_whole_text_counts(net):
 
 # ---- page text
 
+def test_every_language_is_learned(spark):
+    rows = [(100 * k + n, f"word{k} text{n}", f"l{k:03}") for k in range(150) for n in range(90 if k < 70 else 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = Counter(r[0] for r in langid.training_rows(df))
+    assert len(got) == 150
+    few = Counter(r[0] for r in langid.training_rows(df, most=1000))
+    assert set(few) == set(got) and max(few.values()) < max(got.values()) and all(few[x] == got[x] for x in got if got[x] < 20)
+
+
 def test_blocks_of_held_out_layouts():
     model, right, total = html_extract.trained_model(), 0, 0
     for page in html_labelled.pages(60, seed=77):
