@@ -32,10 +32,15 @@ from gazette.llm.html_labelled import pages as labelled_pages
 TOKEN = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*+>|(/?)([a-zA-Z][^\s/>]*+)(?:((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|([^>]*+)>))", re.S)
 NAMED = re.compile(r"""\b(class|id|role|hidden|style|y)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-# fixed values: elements whose content is no text of the page, inline elements, and void elements
-RAW = frozenset("script style noscript template textarea title svg math iframe object head select".split())
+# fixed values: elements whose content is no text of the page, up to their end tag; inline elements, and void elements
+RAW = frozenset("script style template textarea title iframe head".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-                   "strong sub sup time tt u var wbr br img input button".split())
+                   "strong sub sup time tt u var wbr br img input button noscript object "
+                   "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup "
+                   "munder mover munderover mmultiscripts mprescripts none mtable mtr mtd maction".split())
+# elements whose text is left out while they are open; a block-level start tag or the end of an element around them ends them as well
+LEFT_OUT = frozenset("svg select annotation annotation-xml".split())
+FOREIGN = frozenset("svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # a start tag of the key ends an open element of the values, up to the nearest of the stops
 ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -64,6 +69,7 @@ FEATURES = (["bias_text", "bias_box"] + [f"t_{g}" for g in dict.fromkeys(TAGS.va
                "in_main", "out_main", "in_head", "in_item", "in_para"])
 INDEX = {f: k for k, f in enumerate(FEATURES)}
 _SPLIT = re.compile(r"[^a-z]+")
+_UNQUOTED = re.compile(r"=\s*[^\s\"'=]+/\Z")
 
 
 class Node:
@@ -99,6 +105,7 @@ def parse(page: str) -> list[Node]:
     pieces: list[str] = []
     linked, in_link = 0, False
     has_main = False
+    out, depth = "", 0                               # open element of LEFT_OUT, and how often it is open
 
     def flush():
         nonlocal linked
@@ -127,7 +134,7 @@ def parse(page: str) -> list[Node]:
     at, size = 0, len(page)
     for m in iter(_tokens(page)):
         start, end, close, tag, attrs = m
-        if start > at:
+        if start > at and not out:
             piece = page[at:start]
             pieces.append(piece)
             if in_link:
@@ -135,6 +142,18 @@ def parse(page: str) -> list[Node]:
         at = end
         if not tag:
             continue
+        if out:
+            if tag == out:
+                depth += -1 if close else 0 if out != "select" and _empty(attrs) else 1
+                out = out if depth else ""
+                continue
+            if tag not in TAGS or close and all(tag != t for t, _, _ in stack):
+                continue
+            out = ""
+        elif tag in LEFT_OUT:
+            if not close and (tag == "select" or not _empty(attrs)):
+                out, depth = tag, 1
+            continue
         if tag in INLINE:
             if tag == "a":
                 in_link = not close
@@ -172,7 +191,7 @@ def parse(page: str) -> list[Node]:
             nodes.append(Node(above, [INDEX["bias_box"], INDEX[f"t_{group}"], *feats], None, y, main))
             above = len(nodes) - 1
         stack.append((tag, above, y))
-    if at < size:
+    if at < size and not out:
         pieces.append(page[at:])
     flush()
     if has_main:
@@ -182,22 +201,34 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
+def _empty(attrs: str) -> bool:
+    """Does a start tag end in ``/>``, its slash no part of an unquoted value?"""
+    return attrs.endswith("/") and not _UNQUOTED.search(attrs)
+
+
 def _tokens(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
-    """(start, end, is end tag, name or '' for a comment, attributes); raw elements come as one token."""
-    at = 0
+    """(start, end, is end tag, name or '' for a comment, attributes); raw elements come as one token.
+
+    Raw elements without an end tag go on to the end of the page, but head and template do not; inside svg and math ``/>`` ends them.
+    """
+    at, foreign = 0, False
     while True:
         m = TOKEN.search(page, at)
         if m is None:
             return
-        tag = (m[2] or "").lower()
+        tag, attrs = (m[2] or "").lower(), m[3] or m[4] or ""
         at = m.end()
-        if tag in RAW and not m[1]:
+        if tag in FOREIGN:
+            foreign = not m[1] and not _empty(attrs)
+        elif tag in TAGS:
+            foreign = False
+        elif tag in RAW and not m[1] and not (foreign and _empty(attrs)):
             stop = re.compile(rf"</{tag}\s*>" if tag != "head" else r"</head\s*>|<body\b", re.I).search(page, at)
-            if stop is None:
-                at = len(page)
-            else:
+            if stop is not None:
                 at = stop.end() if not stop[0].lower().startswith("<body") else stop.start()
-        yield m.start(), at, bool(m[1]), tag, m[3] or m[4] or ""
+            elif tag not in ("head", "template"):
+                at = len(page)
+        yield m.start(), at, bool(m[1]), tag, attrs
 
 
 EDGES = ("box", "text")                          # a child is an element or a text block

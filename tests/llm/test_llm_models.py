@@ -84,6 +84,22 @@ def test_every_language_is_learned(spark):
     assert set(few) == set(got) and max(few.values()) < max(got.values()) and all(few[x] == got[x] for x in got if got[x] < 20)
 
 
+def test_elements_that_swallow_no_text():
+    texts = lambda page: [n.text for n in html_extract.parse(page) if n.text is not None]      # noqa: E731
+    assert texts("<article><p>One <svg class=icon /> two.</p><p>Three.</p></article>") == ["One two.", "Three."]
+    assert texts("<p>One <svg><title/><g><text>label</text></g></svg> two.</p><p>Three.</p>") == ["One two.", "Three."]
+    assert texts("<p>One <svg class=a/><text>label</text></svg> two.</p>") == ["One two."]
+    assert texts("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> then <math /> so.</p><p>End.</p>") == [
+        "If x=1 then so.", "End."]
+    assert texts("<div><object data=a><p>Fallback.</p></object><p>After.</p></div>") == ["Fallback.", "After."]
+    assert texts("<div><object data=a><p>After.</p></div><p>End.</p>") == ["After.", "End."]
+    assert texts("<div>One <select><option>A<option>B</select> two.<p>Three.</p></div>") == ["One two.", "Three."]
+    assert texts("<div><p>One.</p><select><option>A<p>Two.</p></div><p>End.</p>") == ["One.", "Two.", "End."]
+    assert texts("<div><select><option>A</div>Two.") == ["Two."]
+    assert texts("<p>One.</p><noscript><p>Two.</p><p>Three.</p>") == ["One.", "Two.", "Three."]
+    assert texts("<p>One.</p><template><p>Two.</p></template><script>x</script><p>Three.</p>") == ["One.", "Three."]
+
+
 def test_blocks_of_held_out_layouts():
     model, right, total = html_extract.trained_model(), 0, 0
     for page in html_labelled.pages(60, seed=77):
