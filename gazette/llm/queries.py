@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette.llm import exact, html_extract, langid, minhash, mixing, oracles, packing, pii, sharding, substring, vectors
+from gazette.llm import alignment, exact, html_extract, langid, minhash, mixing, oracles, packing, pii, sharding, substring, vectors
 from gazette.llm.common import table
 
 
@@ -49,9 +49,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                      public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_mixing, op3_near_dedup, op4_exact_dedup, op5_html_text, op6_packing, op7_vector_dedup, op8_langid,
-    op9_substring, op10_sharding)}
+    op9_substring, op10_sharding, op13_alignment)}
 
 ORACLE = {
     "op1_pii": oracles.PII,
