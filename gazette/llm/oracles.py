@@ -122,3 +122,19 @@ reach AS (SELECT rid AS v, rid AS w FROM d UNION SELECT reach.v, l.w FROM reach
 SELECT d.vec_id, (SELECT count(*) FROM l WHERE l.v = d.rid) AS n_links, c.component_id, d.vec_id = c.component_id AS kept
 FROM d JOIN (SELECT reach.v, min(x.vec_id) AS component_id FROM reach JOIN d x ON x.rid = reach.w GROUP BY reach.v) c ON c.v = d.rid
 """
+
+HARD_NEGATIVES = """
+WITH d AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e
+           FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+             AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+s AS (SELECT a.rid AS anchor, a.vec_id AS anchor_id, a.label AS anchor_label, d.rid, d.vec_id, d.label, list_dot_product(a.e, d.e)::BIGINT AS score
+      FROM d a JOIN d ON a.vec_id % 100 = 0 AND a.rid <> d.rid AND len(a.e) = len(d.e)),
+p AS (SELECT anchor, anchor_id, rid, vec_id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, rid) <= 5)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.rid ORDER BY s.score DESC, s.vec_id NULLS LAST, s.rid)::INTEGER AS rank,
+       s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND s.label <> s.anchor_label AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""

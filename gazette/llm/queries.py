@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gazette.llm import alignment, exact, html_extract, langid, minhash, mixing, oracles, packing, pii, sharding, substring, vectors
+from gazette.llm import alignment, ann, exact, hardneg, html_extract, langid, minhash, mixing, oracles, packing, pii, sharding, substring, vectors
 from gazette.llm.common import table
 
 
@@ -49,6 +50,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.hard_negatives(hardneg.scaled(table(spark, sf_dir, "embeddings")))
+
+
+def op12_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_rows(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                                       public_tokenizers.path("piece_bpe_32k.model"))
@@ -56,11 +65,13 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_mixing, op3_near_dedup, op4_exact_dedup, op5_html_text, op6_packing, op7_vector_dedup, op8_langid,
-    op9_substring, op10_sharding, op13_alignment)}
+    op9_substring, op10_sharding, op11_hard_negatives, op12_ann,
+    op13_alignment)}
 
 ORACLE = {
     "op1_pii": oracles.PII,
     "op4_exact_dedup": oracles.EXACT,
     "op7_vector_dedup": oracles.VECTORS,
     "op10_sharding": oracles.SHARDING,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
 }
