@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import difflib
 import logging
+from typing import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -38,7 +39,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .. import config as C
 
-_STATUS_UNDECIDED, _STATUS_ACCEPTED, _STATUS_REJECTED = 0, 1, 2
+_STATUS_UNDECIDED, _STATUS_ACCEPTED, _STATUS_REJECTED, _STATUS_CANDIDATE = 0, 1, 2, 3
 log = logging.getLogger(__name__)
 
 
@@ -99,7 +100,20 @@ def similar_titles(titles: DataFrame, group: str, title: str,
     return out.withColumnRenamed("g", group)
 
 
-def greedy_rounds(nodes: DataFrame, edges: DataFrame, holds: DataFrame | None = None) -> DataFrame:
+def _judged(work: DataFrame, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Candidates that ``judge`` fails are rejected, the others accepted."""
+    candidate = F.col("status") == _STATUS_CANDIDATE
+    asked = work.where(candidate)
+    if asked.isEmpty():
+        return work
+    failed = judge(asked.select("run", "o", "link", "t")).select("run", "o").distinct().withColumn("_failed", F.lit(True))
+    status = (F.when(candidate & F.col("_failed").isNotNull(), F.lit(_STATUS_REJECTED))
+              .when(candidate, F.lit(_STATUS_ACCEPTED)).otherwise(F.col("status")))
+    return work.join(failed, ["run", "o"], "left").select(*[status.alias(c) if c == "status" else F.col(c) for c in work.columns]).checkpoint(eager=True)
+
+
+def greedy_rounds(nodes: DataFrame, edges: DataFrame, holds: DataFrame | None = None,
+                  judge: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """First-come acceptance over conflict groups.
 
     ``nodes(run, o, link, t)``: ``o`` orders entries inside a run (unique), ``t`` the
@@ -116,6 +130,10 @@ def greedy_rounds(nodes: DataFrame, edges: DataFrame, holds: DataFrame | None =
     title, per title edge) and, across runs, in a window over one row per link and run,
     which the calendar bounds; equal links or titles never expand into pairs.  Each round
     is checkpointed into the shared folder.
+
+    ``judge`` (the model stage) gets the nodes (run, o, link, t) that nothing blocks any more, each exactly once, and
+    returns those (run, o) that fail.  A failed node is rejected and blocks nobody, so what it would have blocked is
+    decided later: the accepted nodes, and the nodes that were judged, are those of the sequential pass that judges as it goes.
     """
     n = nodes.select("run", "o", "link", "t")
     link_n = n.groupBy("link" if holds is not None else F.struct("run", "link").alias("link")).agg(F.count(F.lit(1)).alias("_nl"))
@@ -132,6 +150,8 @@ def greedy_rounds(nodes: DataFrame, edges: DataFrame, holds: DataFrame | None =
     n = (n.withColumn("status", F.when(lonely, F.lit(_STATUS_ACCEPTED)).otherwise(F.lit(_STATUS_UNDECIDED)))
           .select("run", "o", "link", "t", "status", lonely.alias("_lonely")).checkpoint(eager=True))
     settled = n.where(F.col("_lonely")).drop("_lonely")
+    if judge is not None:
+        settled = _judged(settled.withColumn("status", F.lit(_STATUS_CANDIDATE)), judge)
     work = n.where(~F.col("_lonely")).drop("_lonely")
     before = Window.partitionBy("link").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
 
@@ -167,9 +187,11 @@ def greedy_rounds(nodes: DataFrame, edges: DataFrame, holds: DataFrame | None =
         first_acc = F.least("_ma_l", "_ma_t", "_ma_s")
         blocked = F.col("_held") | F.coalesce(first_acc < F.col("o"), F.lit(False))
         new = (F.when(und & blocked, F.lit(_STATUS_REJECTED))
-                .when(und & ~F.col("_open") & (first_live >= F.col("o")), F.lit(_STATUS_ACCEPTED))
+                .when(und & ~F.col("_open") & (first_live >= F.col("o")), F.lit(_STATUS_ACCEPTED if judge is None else _STATUS_CANDIDATE))
                 .otherwise(F.col("status")))
         work = w.select("run", "o", "link", "t", new.alias("status")).checkpoint(eager=True)
+        if judge is not None:
+            work = _judged(work, judge)
     log.info("greedy de-duplication settled after %d rounds", rnd)
     out = settled.unionByName(work)
     return out.withColumn("accepted", F.col("status") == _STATUS_ACCEPTED).drop("status")

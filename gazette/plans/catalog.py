@@ -763,11 +763,12 @@ def _article_head_sql():
     return S.q(PR.ARTICLE_HEAD.format(lang=S_.language, secondary=sec))
 
 
-@register("article_prompt", f"""WITH {S.candidates(S_, False)}
-SELECT entry_pos, {_article_head_sql()} || CASE WHEN long_form THEN {S.q(PR.ESSAY_ANGLE)} ELSE {S.q(PR.NEWS_ANGLE)} END
-       || chr(10) || chr(10) || 'Title: ' || title || chr(10) || chr(10) || 'Article:' || chr(10)
-       || {S.clip_source('text', f'(CASE WHEN long_form THEN {S_.longform_source_chars} ELSE {S_.summary_source_chars} END)')} AS prompt
-FROM arts2""")
+_CLIPPED_SQL = S.clip_source('text', f'(CASE WHEN long_form THEN {S_.longform_source_chars} ELSE {S_.summary_source_chars} END)')
+_TITLE_BODY_SQL = f"chr(10) || chr(10) || 'Title: ' || title || chr(10) || chr(10) || 'Article:' || chr(10) || {_CLIPPED_SQL}"
+_ARTICLE_PROMPT_SQL = f"""{_article_head_sql()} || CASE WHEN long_form THEN {S.q(PR.ESSAY_ANGLE)} ELSE {S.q(PR.NEWS_ANGLE)} END || {_TITLE_BODY_SQL}"""
+
+
+@register("article_prompt", f"""WITH {S.candidates(S_, False)} SELECT entry_pos, {_ARTICLE_PROMPT_SQL} AS prompt FROM arts2""")
 def q_article_prompt(spark, sf):
     return PR.article_prompt(_all_articles(spark, sf), S_).select("entry_pos", "prompt")
 
@@ -1079,3 +1080,120 @@ def q_complete_batch(spark, sf):
     prompts = B.table(spark, sf, "documents").select("doc_id", F.col("text").alias("prompt"))
     out = SM.complete_batch(prompts, "doc_id", _stub_model, max_parallel=8, base_delay_s=0)
     return out.select("doc_id", "reply", "error", _long("attempts"))
+
+
+@register("reply_store", f"""SELECT doc_id, CASE WHEN length(text) % 7 > 0 THEN '{{"summary": "' || length(text) || '"}}' END AS reply,
+  CASE WHEN length(text) % 7 = 0 THEN 'RuntimeError: provider down' END AS error,
+  CASE WHEN length(text) % 7 = 0 THEN 2 ELSE 1 END AS n_stored FROM documents""")
+def q_reply_store(spark, sf):
+    """Every document as a prompt, in two runs over one reply store: the second run sends only what failed."""
+    from ..operators.reply_store import ReplyStore, reply_key
+    from ..session import scratch_path
+    prompts = B.table(spark, sf, "documents").select("doc_id", F.col("text").alias("prompt"))
+    store = ReplyStore(spark, scratch_path(spark, "replies"))
+    for run in ("1", "2"):
+        out = store.complete(prompts, _stub_model, "summary", run, max_parallel=8, calls_per_task=100_000, attempts=1, base_delay_s=0)
+    stored = store.read("summary").groupBy("reply_key").agg(F.count(F.lit(1)).alias("n_stored"))
+    return (out.withColumn("reply_key", reply_key("summary")).join(stored, "reply_key")
+            .select("doc_id", "reply", "error", _long("n_stored")))
+
+
+# ------------------------------------------------ runs with the model stage
+from . import run as RN  # noqa: E402
+
+
+def _run_model(prompt: str, cap: int) -> str:
+    """A deterministic model: some calls fail, some replies are cut off, the others hold every product's keys."""
+    n = len(prompt)
+    if n % 7 == 0:
+        raise RuntimeError("provider down")
+    if n % 7 == 1:
+        return '{"summary": "about'
+    return ('{"summary": "about %d", "qa": [{"question": "q%d", "answer": "a"}], "brief": "brief %d", "quiz": [{"question": "q%d", "answer": "a"}], '
+            '"background": "b%d", "points": ["p"], "implications": "", "glossary": [], "intro": "i%d", "themes": []}' % ((n,) * 6))
+
+
+_ASKED_SQL = f"""{S.candidates(S_, by_link=True)}, run_days AS (SELECT run_date AS run FROM entries),
+asked AS (SELECT *, length({_ARTICLE_PROMPT_SQL}) AS n_prompt FROM arts2),
+rows AS (SELECT run_date AS run, feed_ord AS f, entry_pos AS pos, link, {S.norm_title('title')} AS t, n_prompt % 7 < 2 AS fails FROM asked),
+{S.title_edges('rows')}, {S.greedy('rows', S_.seen_retention_days, 'q.fails')},
+arts3 AS (SELECT * REPLACE ({S.interest('title', 'reply', S_.interests)} AS interest)
+          FROM (SELECT asked.*, 'about ' || n_prompt AS reply FROM asked JOIN accepted ON run_date = accepted.run AND entry_pos = accepted.pos)),{S.positions('arts3')},
+digest AS (SELECT *, read_minutes + 3 * interest + CASE WHEN long_form THEN 5 ELSE 0 END AS score FROM pos)"""
+
+
+def _model_parts(spark, sf):
+    from ..operators.reply_store import ReplyStore
+    from ..session import scratch_path
+    root = scratch_path(spark, "run")
+    return root, ReplyStore(spark, f"{root}/replies"), RN.Model(_run_model, max_parallel=8, calls_per_task=1000, attempts=1, base_delay_s=0)
+
+
+@register("model_digest", f"""WITH RECURSIVE {_ASKED_SQL}
+SELECT run_date, entry_pos, slug, title, category, CAST(cat_ord AS BIGINT) AS cat_ord, CAST(cat_rank AS BIGINT) AS cat_rank, pos, reply AS summary,
+       'q' || n_prompt AS question, CAST(read_minutes AS BIGINT) AS read_minutes, CAST(interest AS BIGINT) AS interest, has_full_text FROM digest""")
+def q_model_digest(spark, sf):
+    """Every run day with bodies by link and the model inside de-duplication: failed replies block nobody."""
+    _, store, model = _model_parts(spark, sf)
+    d = RN.backfill(B.entries(spark, sf), B.link_bodies(spark, sf), store, model, S_, "1")
+    return d.select("run_date", "entry_pos", "slug", "title", "category", _long("cat_ord"), _long("cat_rank"), _long("pos"), "summary",
+                    F.col("qa")[0]["question"].alias("question"), _long("read_minutes"), _long("interest"), "has_full_text")
+
+
+def _last_run(spark, sf):
+    """State of all runs before the last one, then the last run as a job; its folder, day and settings (the roundup is due on that day)."""
+    from ..sources import state as STT
+    root, store, model = _model_parts(spark, sf)
+    entries, bodies = B.entries(spark, sf), B.link_bodies(spark, sf).checkpoint(eager=True)
+    last = entries.agg(F.max("run_date")).first()[0]
+    before = entries.where(F.col("run_date") < F.lit(last))
+    done = RN.backfill(before, bodies, store, model, S_, "0").checkpoint(eager=True)
+    if not done.isEmpty():
+        prev = before.agg(F.max("run_date")).first()[0].isoformat()
+        STT.write_seen(done.groupBy("link").agg(F.max("run_date").alias("first_seen")), f"{root}/seen", prev, S_.seen_retention_days)
+        STT.write_recent(done.select(F.col("run_date").alias("day"), "pos", "title", "summary", F.col("feed").alias("source")),
+                         f"{root}/recent", prev, S_.recent_retention_days)
+    settings = S_.with_(weekly_roundup_weekday=last.weekday())
+    RN.run_day(spark, root, last, entries.where(F.col("run_date") == F.lit(last)).drop("run_date", "full_text"), bodies, model, settings)
+    return root, last, settings
+
+
+_RECENT_RUNS_SQL = f"""{_ASKED_SQL}, last AS (SELECT max(run) AS d FROM run_days),
+recent AS (SELECT run_date AS day, pos, title, reply AS summary, feed AS source FROM digest, last WHERE run_date >= d - {S_.recent_retention_days}),
+today AS (SELECT recent.* FROM recent, last WHERE day = d),
+brief AS (SELECT length({S.q(PR.BRIEF_HEAD.format(lang=S_.language))} || string_agg(CAST(pos AS VARCHAR) || '. [' || source || '] ' || title || chr(10) || summary,
+                 chr(10) || chr(10) ORDER BY pos)) AS n FROM today),
+prev AS (SELECT max(day) AS day FROM recent, last WHERE day < d),
+quiz AS (SELECT any_value(day) AS source_day, length({S.q(PR.QUIZ_HEAD.format(n=S_.quiz_questions, lang=S_.language))} ||
+                string_agg(CAST(pos AS VARCHAR) || '. ' || title || chr(10) || summary, chr(10) || chr(10) ORDER BY pos)) AS n FROM recent JOIN prev USING (day)),
+week AS (SELECT recent.*, row_number() OVER (ORDER BY day, pos) AS k FROM recent, last WHERE day >= d - 6),
+weekly AS (SELECT length({S.q(PR.WEEKLY_HEAD.format(lang=S_.language))} || string_agg('- (' || strftime(day, '%Y-%m-%d') || ', ' || source || ') ' || title || ': ' || summary,
+                  chr(10) ORDER BY k)) AS n FROM week WHERE k <= {C.WEEKLY_MAX_ARTICLES}),
+pick AS (SELECT digest.* FROM digest, last WHERE run_date = d ORDER BY has_full_text DESC, score DESC, pos LIMIT 1),
+deep AS (SELECT slug, title, length({S.q(PR.DEEP_HEAD.format(lang=S_.language))} || {_TITLE_BODY_SQL}) AS n FROM pick)"""
+
+
+@register("run_day", f"""WITH RECURSIVE {_RECENT_RUNS_SQL}
+SELECT run_date AS day, pos, slug, title, link, feed AS source, reply AS summary, CASE WHEN n % 7 < 2 THEN '' ELSE 'brief ' || n END AS brief
+FROM digest, last, brief WHERE run_date = d""")
+def q_run_day(spark, sf):
+    """The last run day as a job on the state of all runs before it: its published digest."""
+    root, last, settings = _last_run(spark, sf)
+    d = RN.published_days(spark, root, last, settings)
+    return d.select(F.col("day").cast("date").alias("day"), _long("pos"), "slug", "title", "link", "source", "summary", "brief")
+
+
+@register("run_products", f"""WITH RECURSIVE {_RECENT_RUNS_SQL}
+SELECT 'quiz' AS product, d AS as_of, CASE WHEN n % 7 >= 2 THEN source_day END AS source_day, CASE WHEN n % 7 >= 2 THEN 'q' || n || '/a' END AS payload
+FROM last LEFT JOIN quiz ON true
+UNION ALL SELECT 'deep', d, NULL, CASE WHEN n % 7 >= 2 THEN slug || '/' || title || '/b' || n || '/p' END FROM last LEFT JOIN deep ON true
+UNION ALL SELECT 'weekly', d, NULL, strftime(d - 6, '%Y-%m-%d') || ' – ' || strftime(d, '%Y-%m-%d') || '/i' || n FROM last, weekly WHERE n % 7 >= 2""")
+def q_run_products(spark, sf):
+    """Quiz, deep read and roundup as the last run leaves them, with their payload."""
+    from ..sources import products as PD
+    root, _, _ = _last_run(spark, sf)
+    quiz = F.array_join(F.transform("quiz", lambda x: F.concat(x["question"], F.lit("/"), x["answer"])), ";")
+    deep = F.concat_ws("/", "deep.slug", "deep.title", "deep.background", F.array_join("deep.points", ";"))
+    weekly = F.concat_ws("/", "weekly.label", "weekly.intro")
+    payload = F.when(F.col("quiz").isNotNull(), quiz).when(F.col("deep").isNotNull(), deep).when(F.col("weekly").isNotNull(), weekly)
+    return PD.read_products(spark, f"{root}/products").select("product", "as_of", "source_day", payload.alias("payload"))

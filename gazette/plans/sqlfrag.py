@@ -139,13 +139,18 @@ ENTRIES = f"""entries AS (
   FROM documents LEFT JOIN (SELECT page_id, {page_title('html')} AS page_title FROM pages) ON page_id = doc_id // {B.DOCS_PER_PAGE})"""
 
 
-def candidates(settings: C.Settings, limit: bool = True) -> str:
-    """CTEs entries, top, bodied, arts: the Spark ``candidate_articles`` chain."""
-    n = settings.max_articles_per_feed
-    top = (f"SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY run_date, feed_ord ORDER BY entry_pos) <= {n}"
-           if limit else "SELECT * FROM entries")
+LINKED = f"""linked AS (SELECT e.* EXCLUDE (full_text), p.body AS full_text FROM entries e
+  LEFT JOIN (SELECT page_id, {page_body('html')} AS body FROM pages) p ON p.page_id = CAST(regexp_extract(link, '[0-9]+$', 0) AS BIGINT) // {B.DOCS_PER_PAGE}),
+"""
+
+
+def candidates(settings: C.Settings, limit: bool = True, by_link: bool = False) -> str:
+    """CTEs entries, top, bodied, arts: the Spark ``candidate_articles`` chain.  ``by_link``: bodies of the pages by link."""
+    n, src = settings.max_articles_per_feed, "linked" if by_link else "entries"
+    top = (f"SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY run_date, feed_ord ORDER BY entry_pos) <= {n}"
+           if limit else f"SELECT * FROM {src}")
     return f"""{ENTRIES},
-top AS ({top}),
+{LINKED if by_link else ''}top AS ({top}),
 bodied AS (SELECT *, length(coalesce(full_text, '')) >= {C.MIN_FULLTEXT_CHARS} AS has_full_text,
                  CASE WHEN length(coalesce(full_text, '')) >= {C.MIN_FULLTEXT_CHARS} THEN coalesce(full_text, '')
                       ELSE coalesce(summary, '') END AS text FROM top),
@@ -298,10 +303,11 @@ edges AS (SELECT near.run, near.x AS new_title, near.y AS old_title, ratio
           FROM near JOIN matched USING (x, y) WHERE ratio >= 0.75)"""
 
 
-def greedy(rows: str, retention_days: int | None) -> str:
+def greedy(rows: str, retention_days: int | None, fails: str = "false") -> str:
     """CTEs up to ``accepted(run, pos)``: one pass over CTE ``rows`` (run, f, pos, link, t) in order, after
     ``title_edges``.  A row is taken unless a taken row of its run has its link or a similar title, or
-    (with a retention) the state saved at the end of the run before still holds its link."""
+    (with a retention) the state saved at the end of the run before still holds its link.  A row with ``fails`` is
+    not taken and blocks nobody."""
     kept = ("a.run = q.run" if retention_days is None else f"(a.run = q.run OR a.run >= q.prev_run - {retention_days})")
     return f"""runs AS (SELECT run, lag(run) OVER (ORDER BY run) AS prev_run FROM (SELECT DISTINCT run FROM run_days)),
 olds AS (SELECT run, new_title, list(old_title) AS olds FROM edges GROUP BY run, new_title),
@@ -315,6 +321,6 @@ g(rn, run, pos, taken, titles, ok) AS (
   FROM (SELECT q.rn, q.run, q.pos, q.link, q.t, list_filter(g.taken, lambda a: {kept}) AS taken,
                CASE WHEN g.run = q.run THEN g.titles ELSE []::VARCHAR[] END AS titles,
                NOT (len(list_filter(g.taken, lambda a: a.link = q.link AND {kept})) > 0
-                    OR (q.t <> '' AND g.run = q.run AND list_has_any(g.titles, q.olds))) AS ok
+                    OR (q.t <> '' AND g.run = q.run AND list_has_any(g.titles, q.olds))) AND NOT {fails} AS ok
         FROM g JOIN queue q ON q.rn = g.rn + 1)),
 accepted AS (SELECT run, pos FROM g WHERE ok)"""

@@ -83,6 +83,13 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", "url", H.page_body("html").alias("body"), H.page_title("html").alias("fallback"))
 
 
+def link_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages by the link they were fetched from: link .../k has page ``k div 4``."""
+    links = entries(spark, sf_dir).select("link").distinct()
+    page = F.expr(f"cast(regexp_extract(link, '[0-9]+$', 0) as bigint) div {DOCS_PER_PAGE}")
+    return links.join(bodies(spark, sf_dir).select("page_id", "body"), page == F.col("page_id")).select("link", "body")
+
+
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
     return e.select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("link"),
