@@ -104,9 +104,8 @@ class Aligner:
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.shown: list[str] = []
-        self.sizes: list[tuple[int, int, int, int]] = []          # n_a, n_b, n_groups (-1: bytes differ), entries in pairs
-        self.pairs: list[int] = []
-        self.mults: list[int] = []
+        self.sizes = np.zeros((0, 4), np.int64)                   # n_a, n_b, n_groups (-1: bytes differ), entries in pairs
+        self.pairs, self.mults = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def tokens(self, units: list[str]) -> list[tuple[list[int], list[int], list[int], list[int]] | None]:
         """Per unit (which follows a space) ids and byte ends of both; None where the bytes differ from space and unit."""
@@ -187,23 +186,22 @@ class Aligner:
             mult = np.concatenate([mult, np.fromiter(pairs.values(), np.int64, len(pairs))])
             owner = np.concatenate([owner, np.full(len(pairs), group_of[g])])
         order = np.argsort(owner, kind="stable")
-        self.pairs += keys[order].tolist()
-        self.mults += mult[order].tolist()
+        self.pairs = np.concatenate([self.pairs, keys[order]])
+        self.mults = np.concatenate([self.mults, mult[order]])
         n = len(new)
         n_groups = np.bincount(group_of, minlength=n)
         cuts = np.concatenate([[0], np.cumsum(n_groups)]).tolist()
         start = len(self.shown)
         self.number.update(zip(new, range(start, start + n)))
         self.shown += [strings[i] if j - i == 1 else ";".join(strings[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
-        self.sizes += zip(np.bincount(of_a, minlength=n).tolist(), np.bincount(of_b, minlength=n).tolist(),
-                          np.where(good, n_groups, -1).tolist(), np.bincount(owner, minlength=n).tolist())
+        self.sizes = np.concatenate([self.sizes, np.stack([np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n),
+                                                           np.where(good, n_groups, -1), np.bincount(owner, minlength=n)], 1)])
 
     def closed(self, texts: list[list[str]]) -> Iterator[tuple]:
         """Per list of whole units: (n_a, n_b, n_groups, shown groups, pairs, mults), or None where a unit's bytes differ."""
         self.learn({u for t in texts for u in t})
-        number, sizes = self.number, np.array(self.sizes, np.int64).reshape(-1, 4)
+        number, sizes, pairs, mults = self.number, self.sizes, self.pairs, self.mults
         first = np.concatenate([[0], np.cumsum(sizes[:, 3])])
-        pairs, mults = np.array(self.pairs, np.int64), np.array(self.mults, np.int64)
         for units in texts:
             at = [number[u] for u in units]
             idx, times = np.unique(np.array(at, np.int64), return_counts=True)
