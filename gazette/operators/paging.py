@@ -3,7 +3,8 @@
 The greedy rule (start a page when the current one is non-empty and the next
 paragraph would overflow it; never split a paragraph) is a left fold, so it runs
 as ``aggregate`` over the article's paragraph costs inside its own row: no
-shuffle, and floating additions happen in the same order as the reference.
+shuffle, and floating additions happen in the same order as the reference.  The fold returns page starts;
+pages are slices between them, so the work per paragraph does not grow with the article.
 Neighbour links are arithmetic on the page number, so no window is needed.
 """
 
@@ -16,46 +17,66 @@ from .. import config as C
 from ..functions import text as T
 
 
+BLOCK = 128                                      # page starts in a block of the fold
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def page_numbers(paragraphs, lines: int, enabled: bool = True) -> Column:
-    """array<int>: page number of each paragraph."""
+def page_starts(paragraphs, lines: int, enabled: bool = True) -> Column:
+    """array<int>: 1-based number of each page's first paragraph; empty without paragraphs.
+
+    The fold keeps page starts only, in blocks of ``BLOCK``: a page break copies one short block, not all starts so far.
+    """
     paras = _c(paragraphs)
     if not enabled or lines <= 0:
-        return F.transform(paras, lambda p: F.lit(1))
+        return F.when(F.size(paras) > 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
     costs = F.transform(paras, T.paragraph_cost)
-    init = F.struct(F.lit(1).alias("page"), F.lit(0.0).alias("used"), F.lit(0).alias("n"),
-                    F.array().cast("array<int>").alias("pages"))
+    none = F.array().cast("array<int>")
+    init = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("used"), none.alias("block"), F.array().cast("array<array<int>>").alias("blocks"))
 
     def step(st, c):
-        brk = (st["n"] > 0) & (st["used"] + c > F.lit(float(lines)))
-        page = F.when(brk, st["page"] + 1).otherwise(st["page"])
-        return F.struct(page.alias("page"),
-                        F.when(brk, F.lit(0.0) + c).otherwise(st["used"] + c).alias("used"),
-                        F.when(brk, F.lit(1)).otherwise(st["n"] + 1).alias("n"),
-                        F.array_append(st["pages"], page).alias("pages"))
+        n = st["n"] + 1
+        brk = (n == 1) | (st["used"] + c > F.lit(float(lines)))
+        full = F.size(st["block"]) >= BLOCK
+        return F.struct(n.alias("n"), F.when(brk, F.lit(0.0) + c).otherwise(st["used"] + c).alias("used"),
+                        F.when(~brk, st["block"]).when(full, F.array(n)).otherwise(F.array_append(st["block"], n)).alias("block"),
+                        F.when(brk & full, F.array_append(st["blocks"], st["block"])).otherwise(st["blocks"]).alias("blocks"))
+
+    return F.aggregate(costs, init, step, lambda st: F.flatten(F.array_append(st["blocks"], st["block"])))
+
 
-    return F.aggregate(costs, init, step)["pages"]
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row; a separate projection could be merged into the lambdas that use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def page_structs(text, lines: int, enabled: bool = True) -> Column:
+    """array<struct<page_no, page_paragraphs>>: the text's pages, each a slice of its paragraphs; one empty page without paragraphs."""
+    empty = F.array(F.struct(F.lit(1).alias("page_no"), F.array().cast("array<string>").alias("page_paragraphs")))
+
+    def cut(paras, starts):
+        def page(start, k):
+            end = F.coalesce(F.get(starts, k + 1), F.size(paras) + 1)
+            return F.struct((k + 1).alias("page_no"), F.slice(paras, start, end - start).alias("page_paragraphs"))
+        return F.when(F.size(starts) > 0, F.transform(starts, page)).otherwise(empty)
+    return _let(T.split_paragraphs(text), lambda paras: _let(page_starts(paras, lines, enabled), lambda starts: cut(paras, starts)))
 
 
 def paginate(articles: DataFrame, text: str, lines: int, enabled: bool = True) -> DataFrame:
-    """Add ``paragraphs`` (array<string>), ``para_page`` (array<int>) and ``page_total``."""
-    a = articles.withColumn("paragraphs", T.split_paragraphs(text))
-    a = a.withColumn("para_page", page_numbers("paragraphs", lines, enabled))
-    # no paragraph -> one empty page
-    return a.withColumn("page_total", F.greatest(F.coalesce(F.array_max("para_page"), F.lit(1)), F.lit(1)))
+    """Add ``pages`` (array<struct<page_no, page_paragraphs>>) and ``page_total``."""
+    return articles.withColumn("pages", page_structs(text, lines, enabled)).withColumn("page_total", F.size("pages"))
+
+
+def paragraph_pages(pages: str = "pages") -> Column:
+    """array<int>: page number of each paragraph."""
+    return F.flatten(F.transform(pages, lambda p: F.array_repeat(p["page_no"], F.size(p["page_paragraphs"]))))
 
 
 def pages(paginated: DataFrame) -> DataFrame:
-    """One row per article page with the page's paragraphs (sliced out of the article's array)."""
-    p = paginated.withColumn("page_no", F.explode(F.sequence(F.lit(1), F.col("page_total"))))
-    start = F.array_position("para_page", F.col("page_no"))
-    count = F.size(F.filter("para_page", lambda x: x == F.col("page_no")))
-    page_paras = F.when(start > 0, F.slice("paragraphs", start.cast("int"), count)).otherwise(
-        F.array().cast("array<string>"))
-    return p.withColumn("page_paragraphs", page_paras)
+    """One row per article page with the page's paragraphs."""
+    return paginated.select(*[c for c in paginated.columns if c != "pages"], F.inline("pages"))
 
 
 def base_name(slug, page_no) -> Column:

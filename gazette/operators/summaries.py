@@ -33,37 +33,52 @@ def _words(col) -> F.Column:
     return F.regexp_extract_all(F.lower(col), F.lit(WORD), 0)
 
 
-def idf_table(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(word, idf)`` with idf = ln(N / document frequency)."""
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    w = docs.select(key, F.explode(F.array_distinct(_words(F.col(text)))).alias("word"))
-    df = w.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    return df.select("word", F.log(n_docs.cast("double") / F.col("df")).alias("idf"))
+def sentence_table(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, sno, sentence)``: the non-blank sentences in text order."""
+    s = docs.select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(SENTENCE), 0)).alias("sno", "sentence"))
+    return s.withColumn("sentence", F.trim(F.regexp_replace("sentence", r"[\t\n\f\r ]+", " "))).where(F.length("sentence") > 0)
+
+
+def word_counts(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``(keys, word, n)``: uses of each word per row key (counted map-side: a row's words are in one task)."""
+    return rows.select(*keys, F.explode(_words(F.col(text))).alias("word")).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def with_idf(doc_words: DataFrame, n_docs) -> DataFrame:
+    """``doc_words`` (one row per document and word) with idf = ln(N / document frequency).
+
+    The frequent words are the hot keys of this join; it sees a word once per document, and AQE splits or broadcasts it by size.
+    """
+    df = doc_words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return doc_words.join(df.select("word", F.log(n_docs.cast("double") / F.col("df")).alias("idf")), "word")
 
 
 def extractive_summary(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, summary)``: top sentences by mean word IDF (ties: earlier first), in text order."""
-    idf = idf_table(docs, key, text)
-    s = docs.select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(SENTENCE), 0)).alias("sno", "sentence"))
-    s = s.withColumn("sentence", F.trim(F.regexp_replace("sentence", r"[\t\n\f\r ]+", " "))).where(F.length("sentence") > 0)
-    words = s.select(key, "sno", F.explode(_words(F.col("sentence"))).alias("word"))
-    scored = (words.join(idf, "word")
-              .groupBy(key, "sno").agg(F.round(F.avg("idf"), 9).alias("score")))
-    s = s.join(scored, [key, "sno"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-    top = (s.groupBy(key)
-           .agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), "sno", "sentence"))),
-                        1, SUMMARY_SENTENCES).alias("_t")))
-    ordered = F.array_sort(F.transform("_t", lambda x: F.struct(x["sno"].alias("sno"), x["sentence"].alias("s"))))
-    return top.select(key, F.array_join(F.transform(ordered, lambda x: x["s"]), " ").alias("summary"))
+    """``(key, summary)``: top sentences by mean word IDF (ties: earlier first), in text order.
+
+    The text is read once, into landed sentences.  A sentence's score comes from its word counts; the idf reaches them through the
+    document's words, so no join key is a word of all sentences.  The best sentences are a grouped limit: no array of a
+    document's sentences is ever built, and only the chosen ones join their text.
+    """
+    from .ordering import top_n
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    s = sentence_table(docs, key, text).checkpoint(eager=True)
+    uses = word_counts(s, [key, "sno"], "sentence").checkpoint(eager=True)
+    idf = with_idf(uses.select(key, "word").distinct(), n_docs)
+    scored = (uses.join(idf, [key, "word"]).groupBy(key, "sno")
+              .agg(F.round(F.sum(F.col("n") * F.col("idf")) / F.sum("n"), 9).alias("score")))
+    ranked = s.select(key, "sno").join(scored, [key, "sno"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    best = top_n(ranked, [key], [F.col("score").desc(), F.col("sno").asc()], SUMMARY_SENTENCES, "_r").select(key, "sno")
+    top = s.join(best, [key, "sno"]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("sno", "sentence"))).alias("_t"))   # a few each
+    return top.select(key, F.array_join(F.transform("_t", lambda x: x["sentence"]), " ").alias("summary"))
 
 
 def glossary_terms(docs: DataFrame, key: str, text: str, k: int = GLOSSARY_TERMS) -> DataFrame:
-    """``(key, term_rank, term, score)``: top-k words by tf * idf (ties: word order)."""
-    idf = idf_table(docs, key, text)
-    tf = (docs.select(key, F.explode(_words(F.col(text))).alias("word"))
-          .groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf")))
-    sc = tf.join(idf, "word").withColumn("score", F.round(F.col("tf") * F.col("idf"), 9))
+    """``(key, term_rank, term, score)``: top-k words by tf * idf (ties: word order).  The text is read once."""
     from .ordering import top_n
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    tf = word_counts(docs, [key], text).checkpoint(eager=True)
+    sc = with_idf(tf, n_docs).withColumn("score", F.round(F.col("n") * F.col("idf"), 9))
     return top_n(sc, [key], [F.col("score").desc(), F.col("word").asc()], k, "term_rank") \
         .select(key, F.col("term_rank").cast("long").alias("term_rank"), F.col("word").alias("term"), "score")
 

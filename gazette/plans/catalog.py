@@ -464,7 +464,7 @@ SELECT doc_id, para_no, CAST(page_no AS BIGINT) AS page_no FROM rec""")
 def q_paginate(spark, sf):
     from ..operators import paging as P
     a = P.paginate(_doc_articles(spark, sf), "text", _PAGE_LINES)
-    z = a.select("doc_id", F.posexplode("para_page").alias("i", "page_no"))
+    z = a.select("doc_id", F.posexplode(P.paragraph_pages()).alias("i", "page_no"))
     return z.select("doc_id", (F.col("i") + 1).cast("long").alias("para_no"), F.col("page_no").cast("long").alias("page_no"))
 
 

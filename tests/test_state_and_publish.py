@@ -97,7 +97,7 @@ def test_publish_articles_partitions_by_slug_day(spark):
     df = spark.createDataFrame([("2026-08-04-3e9781fff5", "\n".join(["x " * 100] * 3), 4),
                                 ("2026-08-05-489b06ed50", "short", 1)],
                                "slug string, text string, read_minutes int")
-    m = P.page_manifest(df, C.Settings()).drop("paragraphs", "para_page")
+    m = P.page_manifest(df, C.Settings())
     PB.publish_articles(m, path)
     PB.publish_articles(m, path)
     t = spark.read.parquet(path)
