@@ -835,27 +835,57 @@ from ..streaming import streams as ST  # noqa: E402
 _STREAM_DELAY_H = 1
 
 
-STREAM_FILES = 4                                 # micro-batches of the registered streams
+STREAM_BATCHES = 4                               # micro-batches of the registered streams
+
+
+def _landed(spark, df, name, order):
+    """The rows as a stream in order over several micro-batches."""
+    path = ST.land(df, name, order, STREAM_BATCHES)
+    return ST.read_stream(spark, path, df, max_files=ST.files_per_batch(spark, path, STREAM_BATCHES))
+
+
+def _closing_row(s):
+    """A sighting far ahead, of a link that does not exist, lets the watermark pass the last day."""
+    return s.agg(F.max("day").alias("day")).select(F.lit("<end>").alias("link"), F.date_add("day", 40).alias("day"))
+
+
+def _seen_stream(spark, s, name, days, seeds=None):
+    src = _landed(spark, s.unionByName(_closing_row(s)), name, "day")
+    out = ST.run_available(ST.stream_seen(src, days, S_.seen_retention_days, seeds=seeds), name)
+    return out.where(F.col("link") != "<end>")
 
 
 @register("stream_seen", f"WITH RECURSIVE {_REPLAY_SQL} SELECT link, day FROM accepted")
 def q_stream_seen(spark, sf):
-    """Sightings over several micro-batches; a closing row far ahead lets the watermark pass the last day."""
+    """Sightings over several micro-batches."""
     s = B.sightings(spark, sf)
     days = [r.day for r in s.select("day").distinct().collect()]     # one row per run: the calendar
-    path = ST.land(s, "sightings", "day", STREAM_FILES)
-    end = s.agg(F.max("day").alias("day")).select(F.lit("<end>").alias("link"), F.date_add("day", 40).alias("day"))
-    end.write.mode("append").parquet(path)
-    src = ST.read_stream(spark, path, s, max_files=1)
-    out = ST.run_available(ST.stream_seen(src, days, S_.seen_retention_days), "stream-seen")
-    return out.where(F.col("link") != "<end>")
+    return _seen_stream(spark, s, "stream-seen", days)
+
+
+@register("stream_seen_warm", f"""WITH RECURSIVE {_REPLAY_SQL}, span AS (SELECT min(day) AS a, max(day) AS z FROM sight)
+SELECT link, day FROM accepted, span WHERE day > a + CAST((z - a) // 2 AS INTEGER)""")
+def q_stream_seen_warm(spark, sf):
+    """The first half of the history as batch runs that save their state, the rest as a stream that starts from it."""
+    from ..operators import history as Hs
+    from ..session import scratch_path
+    from ..sources import state as STT
+    s = B.sightings(spark, sf)
+    days = sorted(r.day for r in s.select("day").distinct().collect())     # one row per run: the calendar
+    cut = days[0] + (days[-1] - days[0]) // 2
+    first = s.where(F.col("day") <= F.lit(cut))
+    state = Hs.replay_seen(first, S_.seen_retention_days).groupBy("link").agg(F.max("day").alias("first_seen"))
+    root = scratch_path(spark, "seen-warm")
+    STT.write_seen(state, root, max(d for d in days if d <= cut).isoformat(), S_.seen_retention_days)
+    seeds = ST.seed_stream(spark, STT.read_seen(spark, root))
+    return _seen_stream(spark, s.where(F.col("day") > F.lit(cut)), "stream-seen-warm", days, seeds)
 
 
 @register("stream_seen_approx", f"WITH {_SIGHT_SQL} SELECT DISTINCT link FROM sight")
 def q_stream_seen_approx(spark, sf):
-    s = B.sightings(spark, sf)
-    src = ST.read_stream(spark, ST.land(s, "sightings", "day", STREAM_FILES), s, max_files=1)
-    return ST.run_available(ST.stream_seen_approx(src, 10_000), "stream-seen-approx")
+    """With the real retention a link can pass again once its state has expired; the links that passed."""
+    src = _landed(spark, B.sightings(spark, sf), "sightings", "day")
+    return ST.run_available(ST.stream_seen_approx(src, S_.seen_retention_days), "stream-seen-approx").distinct()
 
 
 def _events(spark, sf):
@@ -868,7 +898,7 @@ GROUP BY CAST(ts AS DATE), event_type, wm.w
 HAVING CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) <= wm.w""")
 def q_stream_daily(spark, sf):
     e = _events(spark, sf)
-    src = ST.read_stream(spark, ST.land(e, "events", "ts", STREAM_FILES), e, max_files=1)
+    src = _landed(spark, e, "events", "ts")
     return ST.run_available(ST.stream_daily(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-daily")
 
 
@@ -880,7 +910,7 @@ WHERE CAST(start_day + INTERVAL 7 DAY AS TIMESTAMP) <= wm.w
 GROUP BY start_day, event_type""")
 def q_stream_weekly(spark, sf):
     e = _events(spark, sf)
-    src = ST.read_stream(spark, ST.land(e, "events", "ts", STREAM_FILES), e, max_files=1)
+    src = _landed(spark, e, "events", "ts")
     return ST.run_available(ST.stream_weekly(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-weekly")
 
 
@@ -898,7 +928,7 @@ def q_stream_publish(spark, sf):
     r = _recent(spark, sf)
     table = scratch_path(spark, "published-days")
     for run in ("1", "2"):                       # the second run replaces the first one's days
-        src = ST.read_stream(spark, ST.land(r, f"recent-{run}", "pos", STREAM_FILES), r, max_files=1)
+        src = _landed(spark, r, f"recent-{run}", "pos")
         ST.stream_publish(src, table, f"stream-publish-{run}", run)
     return ST.published(spark, table).select("day", "pos", "title", "summary", "source")
 
@@ -950,16 +980,27 @@ def q_publish_rolling(spark, sf):
     return PB.rolling_products(weekly.unionByName(quiz))
 
 
-@register("late_rows", f"""WITH wm AS (SELECT max(ts) - INTERVAL {_STREAM_DELAY_H} HOUR AS w FROM events),
-b AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS batch_n FROM events GROUP BY CAST(ts AS DATE), event_type),
-s AS (SELECT b.*, CASE WHEN CAST(day + INTERVAL 1 DAY AS TIMESTAMP) <= wm.w THEN batch_n ELSE 0 END AS stream_n FROM b, wm)
-SELECT day, event_type, batch_n, stream_n, batch_n - stream_n AS late_or_open FROM s""")
+_LATE_DAYS, _LATE_EVERY = 3, 10
+
+
+@register("late_rows", f"""WITH wm AS (SELECT max(ts) - INTERVAL {_STREAM_DELAY_H} HOUR AS w, CAST(min(ts) AS DATE) + {_LATE_DAYS} AS late FROM events),
+b AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS batch_n,
+             count(*) FILTER (WHERE event_id % {_LATE_EVERY} = 0) AS moved FROM events GROUP BY CAST(ts AS DATE), event_type),
+s AS (SELECT b.*, CASE WHEN day < late THEN moved ELSE 0 END AS late_n,
+             CASE WHEN CAST(day + INTERVAL 1 DAY AS TIMESTAMP) <= wm.w THEN 0 ELSE batch_n END AS open_n FROM b, wm)
+SELECT day, event_type, batch_n, batch_n - late_n - open_n AS stream_n, late_n, open_n FROM s""")
 def q_late_rows(spark, sf):
-    """Rows the daily stream did not count (late, or in a window still open), per day and type."""
+    """Every tenth event of the first days arrives after all others, when the watermark has closed its day: what the daily stream
+    did not count for that, and what it has not counted yet, per day and type."""
     e = _events(spark, sf)
-    src = ST.read_stream(spark, ST.land(e, "events", "ts", STREAM_FILES), e, max_files=1)
+    first = e.select(F.to_date(F.min("ts"))).scalar()
+    late = (F.to_date("ts") < F.date_add(first, _LATE_DAYS)) & (F.col("event_id") % _LATE_EVERY == 0)
+    path = ST.land(e.where(~F.coalesce(late, F.lit(False))), "events", "ts", STREAM_BATCHES)
+    per_batch = ST.files_per_batch(spark, path, STREAM_BATCHES)
+    ST.land(e.where(late), "events-late", path=path)                     # newer files: read last
+    src = ST.read_stream(spark, path, e, max_files=per_batch)
     out = ST.run_available(ST.stream_daily(src, "event_type", delay=f"{_STREAM_DELAY_H} hour"), "stream-late")
-    return ST.late_rows(e, out, "event_type")
+    return ST.late_rows(e, out, "event_type", f"{_STREAM_DELAY_H} HOUR")
 
 
 # ------------------------------------------------------------ day gates

@@ -23,25 +23,46 @@ from ..session import scratch_path
 EPOCH = dt.date(1970, 1, 1)
 
 
-def land(df: DataFrame, name: str, order: str | None = None, files: int | None = None) -> str:
+def land(df: DataFrame, name: str, order: str | None = None, batches: int | None = None, path: str | None = None) -> str:
     """Write a bounded DataFrame as the files of a stream source; returns the folder.
 
-    With ``files``, ranges of ``order`` go to that many files, written one after the other, so that a stream
-    with ``max_files`` meets them in order over several micro-batches.
+    With ``order`` and ``batches``, one range partitioning on ``order`` (nulls first) deals the rows to a multiple of ``batches``
+    files in order; a stream that reads ``files_per_batch`` of them at a time meets the rows in order over that
+    many micro-batches, each read by several tasks.
     """
-    path = scratch_path(df.sparkSession, name)
-    if not files:
-        (df.sortWithinPartitions(order) if order else df).write.mode("errorifexists").parquet(path)
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    if not batches:
+        (df.sortWithinPartitions(order) if order else df).write.mode("append").parquet(path)
         return path
-    cuts = df.select(F.percentile_approx(F.col(order).cast("timestamp").cast("double"), [k / files for k in range(1, files)], 1000)).first()[0] or []
-    key = F.col(order).cast("timestamp").cast("double")
-    edges = [None, *sorted(set(cuts)), None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        part = df if lo is None else df.where(key > lo)
-        (part if hi is None else part.where(key <= hi)).coalesce(1).write.mode("append").parquet(path)
+    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = batches * max(1, -(-wide // batches))
+    key = F.col(order).asc_nulls_first()
+    (df.repartitionByRange(files, key).sortWithinPartitions(key).write.mode("errorifexists").parquet(path))
+    age_in_order(spark, path)
     return path
 
 
+def _files(spark: SparkSession, path: str) -> list:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder) if s.getPath().getName().startswith("part-")]
+
+
+def age_in_order(spark: SparkSession, path: str) -> None:
+    """A file source reads by modification time; tasks end in any order, so files get the times of their part numbers."""
+    files = sorted(_files(spark, path), key=lambda s: s.getPath().getName())
+    if files:
+        first = min(s.getModificationTime() for s in files) - 1000 * len(files)
+        fs = files[0].getPath().getFileSystem(spark._jsc.hadoopConfiguration())
+        for k, s in enumerate(files):
+            fs.setTimes(s.getPath(), first + 1000 * k, -1)
+
+
+def files_per_batch(spark: SparkSession, path: str, batches: int) -> int:
+    """Files that one of so many micro-batches takes (empty ranges write no file)."""
+    return max(1, -(-len(_files(spark, path)) // batches))
+
+
 def read_stream(spark: SparkSession, path: str, like: DataFrame, max_files: int | None = None) -> DataFrame:
     r = spark.readStream.schema(like.schema)
     if max_files:
@@ -49,8 +70,9 @@ def read_stream(spark: SparkSession, path: str, like: DataFrame, max_files: int
     return r.parquet(path)
 
 
-def run_available(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
-    """Run to completion on what the source holds now; return the sink files as a batch DataFrame."""
+def run_available(stream: DataFrame, name: str, output_mode: str = "append", progress: list | None = None) -> DataFrame:
+    """Run to completion on what the source holds now; return the sink files as a batch DataFrame.  ``progress`` gets the
+    micro-batches' progress reports."""
     spark = stream.sparkSession
     out, ck = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     q = (stream.writeStream.format("parquet").outputMode(output_mode)
@@ -59,9 +81,16 @@ def run_available(stream: DataFrame, name: str, output_mode: str = "append") ->
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    if progress is not None:
+        progress.extend(q.recentProgress)
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def dropped_by_watermark(progress: list) -> int:
+    """Input rows of the stateful operators (after partial aggregation) that the watermark dropped."""
+    return sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
+
+
 # ------------------------------------------------------------ seen state
 def _seen_fn(retention_days: int, runs: list[int]):
     """Days in ``runs`` (day numbers, sorted) are the runs; state: last acceptance and days not yet decided."""
@@ -69,7 +98,12 @@ def _seen_fn(retention_days: int, runs: list[int]):
         last, waiting = state.get if state.exists else (None, [])
         waiting = {int(d) for d in waiting}
         if not state.hasTimedOut:
-            waiting |= {int(d) for pdf in pdfs for d in pdf["day_n"].tolist()}
+            for pdf in pdfs:
+                for d, seed in zip(pdf["day_n"].tolist(), pdf["seed"].tolist()):
+                    if seed:
+                        last = max(int(d), int(d) if last is None else last)
+                    else:
+                        waiting.add(int(d))
         closed = state.getCurrentWatermarkMs() // 86_400_000          # days before it are complete
         acc = []
         for d in sorted(x for x in waiting if x < closed):
@@ -94,20 +128,35 @@ def _seen_fn(retention_days: int, runs: list[int]):
     return fn
 
 
-def stream_seen(sightings: DataFrame, run_days: Sequence[dt.date], retention_days: int = 14, watermark: str = "1 day") -> DataFrame:
+def seed_stream(spark: SparkSession, seen: DataFrame) -> DataFrame:
+    """A saved seen table (link, first_seen) as a stream, the start of ``stream_seen``'s state."""
+    rows = seen.select("link", F.col("first_seen").alias("day"))
+    return read_stream(spark, land(rows, "seen-seeds"), rows)
+
+
+def stream_seen(sightings: DataFrame, run_days: Sequence[dt.date], retention_days: int = 14, watermark: str = "1 day",
+                seeds: DataFrame | None = None) -> DataFrame:
     """Exact seen-state rule on a stream.  A link accepted on day s is in the state that a run starts from while
     s >= previous run - retention; ``run_days`` (one per run: the calendar) tells the previous run.
 
     A day is decided once the watermark has passed it, in day order per link, so files may come in any order that the
     watermark allows and skipped run days are exact.  State per link: the last acceptance and the days not yet decided.
+    ``seeds`` (link, day; a stream, see ``seed_stream``) starts the state from a saved table: its rows are acceptances of
+    earlier runs; ``run_days`` then has to name the last run before the stream as well.
+
+    A day that the watermark has not passed when the source ends stays undecided.  The last day is closed by the next day's
+    first sighting, or by a row of a link that does not exist, dated after the watermark delay (as the registered query does).
     """
     runs = sorted((d - EPOCH).days for d in run_days)
+    rows = sightings.select("link", "day", F.lit(False).alias("seed"))
+    if seeds is not None:
+        rows = rows.unionByName(seeds.select("link", "day", F.lit(True).alias("seed")))
     # one row per (link, day) before the keyed state: a link's group in a micro-batch is
     # bounded by the days it covers, not by how many raw sightings a hot link has
-    s = (sightings.withColumn("ts", F.col("day").cast("timestamp"))
+    s = (rows.withColumn("ts", F.col("day").cast("timestamp"))
          .withColumn("day_n", F.datediff(F.col("day"), F.lit("1970-01-01").cast("date")))
          .withWatermark("ts", watermark)
-         .dropDuplicatesWithinWatermark(["link", "day_n"]))
+         .dropDuplicatesWithinWatermark(["link", "day_n", "seed"]))
     return s.groupBy("link").applyInPandasWithState(
         _seen_fn(retention_days, runs), outputStructType="link string, day date", stateStructType="last int, waiting array<int>",
         outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
@@ -157,15 +206,28 @@ def publish_batch(table_path: str, run_id: str, day_col: str = "day"):
     return write
 
 
+def committed_runs(table_path: str) -> str:
+    """Folder of the commit log: one row per complete run."""
+    return f"{table_path.rstrip('/')}-runs"
+
+
+def commit_run(spark: SparkSession, table_path: str, run_id: str) -> None:
+    """From now on readers see the run.  Saying it again changes nothing."""
+    spark.range(1).select(F.lit(run_id).alias("run_id")).write.mode("append").parquet(committed_runs(table_path))
+
+
 def published(spark: SparkSession, table_path: str, day_col: str = "day") -> DataFrame:
-    """The table's current rows: per day those of its newest run (run ids sort by time)."""
-    t = spark.read.parquet(table_path)
+    """The table's current rows: per day those of its newest complete run (run ids sort by time).  A run that is being
+    written, or that broke off, is not in the commit log and hides nothing."""
+    t = spark.read.parquet(table_path).withColumn("run_id", F.col("run_id").cast("string"))
+    runs = spark.read.schema("run_id string").parquet(committed_runs(table_path)).distinct()      # one row per run
+    t = t.join(F.broadcast(runs), "run_id", "left_semi")
     newest = t.groupBy(day_col).agg(F.max("run_id").alias("run_id"))     # one row per day: the calendar
     return t.join(newest, [day_col, "run_id"], "left_semi").drop("run_id", "batch")
 
 
 def stream_publish(rows: DataFrame, table_path: str, name: str, run_id: str, day_col: str = "day") -> None:
-    """Publish a run; a later run replaces the days that it has, and no others."""
+    """Publish a run; a later run replaces the days that it has, and no others.  The run counts once its last batch is written."""
     spark = rows.sparkSession
     ck = scratch_path(spark, f"{name}-ckpt")
     q = (rows.writeStream.foreachBatch(publish_batch(table_path, run_id, day_col))
@@ -173,12 +235,17 @@ def stream_publish(rows: DataFrame, table_path: str, name: str, run_id: str, day
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    commit_run(spark, table_path, run_id)
 
 
-def late_rows(batch_events: DataFrame, stream_output: DataFrame, key: str) -> DataFrame:
-    """Reconcile: per (day, key), rows in the batch minus rows counted by the stream."""
+def late_rows(batch_events: DataFrame, stream_output: DataFrame, key: str, delay: str) -> DataFrame:
+    """Reconcile per (day, key) what a finished stream counted with what the batch holds: ``late_n`` rows came after the
+    watermark had closed their day, ``open_n`` lie in a day that is still open."""
     b = batch_events.groupBy(F.to_date("ts").alias("day"), key).agg(F.count(F.lit(1)).alias("batch_n"))
+    end = batch_events.select(F.max(F.col("ts").cast("timestamp"))).scalar() - F.expr(f"INTERVAL {delay}")
+    closed = F.date_add("day", 1).cast("timestamp") <= end
+    missing = F.col("batch_n") - F.coalesce("stream_n", F.lit(0))
     s = stream_output.select("day", key, F.col("n").alias("stream_n"))
     return (b.join(s, ["day", key], "left")
              .select("day", key, "batch_n", F.coalesce("stream_n", F.lit(0)).alias("stream_n"),
-                     (F.col("batch_n") - F.coalesce("stream_n", F.lit(0))).alias("late_or_open")))
+                     F.when(closed, missing).otherwise(0).alias("late_n"), F.when(closed, F.lit(0)).otherwise(missing).alias("open_n")))

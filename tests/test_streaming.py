@@ -55,3 +55,87 @@ def test_stream_publish_over_batches_and_runs(spark):
     ST.stream_publish(ST.read_stream(spark, ST.land(again, "rows-3"), again), table, "publish-3", "3")
     got = sorted((r.day, r.title) for r in ST.published(spark, table).collect())
     assert got == [(d1, f"t{k}") for k in range(6)] + [(d2, "new")]
+
+
+def test_a_run_counts_once_it_is_complete(spark):
+    """Between two batches of a run, and after one that broke off, readers see the run before."""
+    d1, d2 = BASE, BASE + dt.timedelta(days=1)
+    old, new = (_days(spark, [(d, k, f"{name}{k}", "s", "x") for d in (d1, d2) for k in range(4)]) for name in ("old", "new"))
+    table = scratch_path(spark, "publish-commit")
+    ST.stream_publish(ST.read_stream(spark, ST.land(old, "old"), old), table, "run-1", "1")
+    write = ST.publish_batch(table, "2")
+    write(new.where("pos < 2"), 0)
+    assert {r.title[:3] for r in ST.published(spark, table).collect()} == {"old"} and ST.published(spark, table).count() == 8
+    write(new.where("pos >= 2"), 1)
+    assert {r.title[:3] for r in ST.published(spark, table).collect()} == {"old"}
+    for _ in range(2):                                          # said twice: no row twice
+        ST.commit_run(spark, table, "2")
+        assert sorted(r.title for r in ST.published(spark, table).collect()) == sorted([f"new{k}" for k in range(4)] * 2)
+
+
+def test_warm_start_from_a_saved_state(spark):
+    """Half the history as batch runs, the rest as a stream that starts from their state: the replay of it all."""
+    from gazette.sources import state as STT
+    rng = random.Random(6)
+    days = sorted(rng.sample(range(80), 36))
+    rows = sorted({(f"l{rng.randrange(9)}", BASE + dt.timedelta(days=rng.choice(days))) for _ in range(220)})
+    df = spark.createDataFrame(rows, "link string, day date")
+    runs = sorted({r[1] for r in rows})
+    cut = runs[len(runs) // 2]
+    first, rest = df.where(F.col("day") <= F.lit(cut)), [r for r in rows if r[1] > cut]
+    state = Hs.replay_seen(first, 14).groupBy("link").agg(F.max("day").alias("first_seen"))
+    root = scratch_path(spark, "warm-state")
+    STT.write_seen(state, root, cut.isoformat(), 14)
+    assert 0 < STT.read_seen(spark, root).count() <= state.count()
+    path = scratch_path(spark, "warm-rest")
+    for part in [rest[k::3] for k in range(3)] + [[("<end>", runs[-1] + dt.timedelta(days=120))]]:
+        spark.createDataFrame(part, "link string, day date").coalesce(1).write.mode("append").parquet(path)
+    src = ST.read_stream(spark, path, df, max_files=1)
+    seeds = ST.seed_stream(spark, STT.read_seen(spark, root))
+    out = ST.run_available(ST.stream_seen(src, runs, 14, watermark="90 days", seeds=seeds), "warm-run")
+    got = sorted((r.link, r.day) for r in out.collect() if r.link != "<end>")
+    whole = sorted((r.link, r.day) for r in Hs.replay_seen(df, 14).collect())
+    assert got == [r for r in whole if r[1] > cut]
+    cold = ST.run_available(ST.stream_seen(ST.read_stream(spark, path, df, max_files=1), runs, 14, watermark="90 days"), "cold-run")
+    assert sorted((r.link, r.day) for r in cold.collect() if r.link != "<end>") != got
+
+
+def test_landing_keeps_null_keys_and_order(spark):
+    rows = [(k, None if k % 10 == 0 else BASE + dt.timedelta(days=k)) for k in range(200)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, day date")
+    path = ST.land(df, "land-order", "day", 4)
+    files = sorted(ST._files(spark, path), key=lambda s: s.getModificationTime())
+    assert len(files) > 4 and [s.getPath().getName() for s in files] == sorted(s.getPath().getName() for s in files)
+    parts = [[r.day for r in spark.read.parquet(s.getPath().toString()).collect()] for s in files]
+    assert [d for p in parts for d in p] == sorted((r[1] for r in rows), key=lambda d: (d is not None, d or BASE))
+    seen = ST.run_available(ST.read_stream(spark, path, df, ST.files_per_batch(spark, path, 4)), "land-read")
+    assert seen.count() == 200
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    ts = [dt.datetime(2026, 1, 1) + dt.timedelta(hours=3 * k) for k in range(80)]
+    df = spark.createDataFrame([(k, t, "a") for k, t in enumerate(ts)], "event_id long, ts timestamp, event_type string")
+    late = F.col("event_id").isin(1, 2, 9)
+    path = ST.land(df.where(~late), "late-on-time", "ts", 4)
+    per = ST.files_per_batch(spark, path, 4)
+    ST.land(df.where(late), "late-late", path=path)
+    progress = []
+    out = ST.run_available(ST.stream_daily(ST.read_stream(spark, path, df, per), "event_type"), "late-run", progress=progress)
+    assert ST.dropped_by_watermark(progress) > 0
+    got = {r.day: r for r in ST.late_rows(df, out, "event_type", "1 hour").collect()}
+    assert [got[BASE + dt.timedelta(days=k)].late_n for k in range(3)] == [2, 1, 0]
+    assert all(r.batch_n == r.stream_n + r.late_n + r.open_n == 8 for r in got.values())
+    assert sum(r.open_n for r in got.values()) == 8
+
+
+def test_approx_state_expires(spark):
+    """With a retention of 14 days the state of a link is gone after about 28: a far sighting passes again."""
+    rows = [("a", BASE), ("a", BASE + dt.timedelta(days=3)), ("b", BASE + dt.timedelta(days=40)),
+            ("c", BASE + dt.timedelta(days=60)), ("a", BASE + dt.timedelta(days=80))]
+    df = spark.createDataFrame(rows, "link string, day date")
+    path = scratch_path(spark, "approx")
+    for r in rows:
+        spark.createDataFrame([r], "link string, day date").coalesce(1).write.mode("append").parquet(path)
+    out = ST.run_available(ST.stream_seen_approx(ST.read_stream(spark, path, df, 1), 14), "approx-run")
+    assert sorted(r.link for r in out.collect()) == ["a", "a", "b", "c"]
