@@ -8,7 +8,8 @@ stay from ``min_score`` on, so a bare 3-2-4 digit group needs a context word.
 A span's place comes from the gaps: splitting a text by a pattern gives the pieces between the
 matches, so a running sum of piece and match lengths is the code point offset.  Patterns are written
 so that a match attempt never rescans what an earlier attempt covered: runs are possessive, and the e-mail pattern starts only where a
-run starts or the last match ended, which is where a leftmost search would find it.
+run starts or the last match ended, which is where a leftmost search would find it.  One fold per kind carries place and context, so a
+text with very many matches costs time in proportion to its length.
 
 Defined cases: null and empty texts have no spans; spans of different kinds may overlap; a failing
 match is dropped and not retried from a later start; repeated rows give repeated results; extra columns are ignored.
@@ -25,6 +26,9 @@ BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn")
 KINDS = BASE + ADDED
 CONTEXT_WINDOW = 40
+BLOCK = 64                                       # spans in a block of the fold
+# no valid span of a kind is shorter
+LEAST = {"email": 5, "ip": 7, "card": 13, "phone": 10, "iban": 15, "ssn": 11}
 
 PATTERN = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -77,10 +81,8 @@ def mod97(code: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), step) == 1
 
 
-def _valid(kind: str, text: Column, s: Column) -> Column:
-    v = s["v"]
-    before = F.substring(text, s["s"], F.when(s["s"] > 0, F.lit(1)).otherwise(F.lit(0)))
-    after = F.substring(text, s["e"] + 1, F.lit(1))
+def _valid(kind: str, s: Column) -> Column:
+    v, before, after = s["v"], F.right(s["near"], F.lit(1)), s["after"]
     if kind == "ip":
         return v.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$")
     if kind == "card":
@@ -98,34 +100,49 @@ def _valid(kind: str, text: Column, s: Column) -> Column:
 
 
 def _found(kind: str, text: Column) -> Column:
-    """array<struct<s, e, v>>: every match with its place; empty where the text has none."""
+    """array<struct<s, e, v, near, after>>: every match that is long enough, with its place, the code points before it (up to
+    ``CONTEXT_WINDOW``) and the one after it.
+
+    The fold carries the last code points that it passed, so it never goes back into the text, and collects in blocks of ``BLOCK``, so a
+    match copies one short block: the work is linear in the text, however many matches it has.
+    """
     gaps, hits = F.split(text, PATTERN[kind], -1), F.regexp_extract_all(text, F.lit(PATTERN[kind]), 0)
-    none = F.array().cast("array<struct<s:int,e:int,v:string>>")
+    one = "struct<s:int,e:int,v:string,near:string,after:string>"
+    none = F.array().cast(f"array<{one}>")
+    window = F.lit(CONTEXT_WINDOW)
 
     def place(g: Column, h: Column) -> Column:
         def step(acc, i):
-            s = acc["pos"] + F.length(F.get(g, i))
-            e = s + F.length(F.get(h, i))
-            return F.struct(e.alias("pos"), F.concat(acc["out"], F.array(F.struct(
-                s.alias("s"), e.alias("e"), F.get(h, i).alias("v")))).alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(h) - 1), F.struct(F.lit(0).alias("pos"), none.alias("out")),
-                           step, lambda acc: acc["out"])
+            def at(near):
+                hit = F.get(h, i)
+                s = acc["pos"] + F.length(F.get(g, i))
+                e = s + F.length(hit)
+                long = F.length(hit) >= LEAST[kind]
+                full = F.size(acc["block"]) >= BLOCK
+                after = F.left(F.concat(F.get(g, i + 1), F.coalesce(F.get(h, i + 1), F.lit(""))), F.lit(1))
+                span = F.struct(s.alias("s"), e.alias("e"), hit.alias("v"), near.alias("near"), after.alias("after"))
+                return F.struct(
+                    e.alias("pos"), F.right(F.concat(near, hit), window).alias("near"),
+                    F.when(~long, acc["block"]).when(full, F.array(span)).otherwise(F.array_append(acc["block"], span)).alias("block"),
+                    F.when(long & full, F.array_append(acc["blocks"], acc["block"])).otherwise(acc["blocks"]).alias("blocks"))
+            return let(F.right(F.concat(acc["near"], F.get(g, i)), window), at)
+        start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("near"), none.alias("block"), F.array().cast(f"array<array<{one}>>").alias("blocks"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(h) - 1), start, step, lambda acc: F.flatten(F.array_append(acc["blocks"], acc["block"])))
 
     found = let(hits, lambda h: F.when(F.size(h) > 0, let(gaps, lambda g: place(g, h))).otherwise(none))
     hint = F.contains(text, F.lit(HINT[kind])) if kind in HINT else text.rlike(HINT_PATTERN[kind])
     return F.when(hint, found).otherwise(none)
 
 
-def _check(kind: str, text: Column):
-    return lambda s: _valid(kind, text, s)
+def _check(kind: str):
+    return lambda s: _valid(kind, s)
 
 
-def _tagged(kind: str, text: Column):
+def _tagged(kind: str):
     """Span with its kind and whether a context word stands before it."""
     def tag(s: Column) -> Column:
-        near = F.substring(text, F.greatest(s["s"] - CONTEXT_WINDOW, F.lit(0)) + 1, F.least(s["s"], F.lit(CONTEXT_WINDOW)))
         return F.struct(F.lit(kind).alias("kind"), s["s"].alias("s"), s["e"].alias("e"), s["v"].alias("v"),
-                        near.rlike(f"(?i)(?:{CONTEXT[kind]})").alias("context"))
+                        s["near"].rlike(f"(?i)(?:{CONTEXT[kind]})").alias("context"))
     return tag
 
 
@@ -140,7 +157,7 @@ def find_pii(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     text = F.col("text")
     parts = []
     for kind in KINDS:
-        spans = F.transform(F.filter(_found(kind, text), _check(kind, text)), _tagged(kind, text))
+        spans = F.transform(F.filter(_found(kind, text), _check(kind)), _tagged(kind))
         if kind in ADDED and BASE_SCORE[kind] < min_score:
             spans = F.filter(spans, _scores(kind, min_score))
         parts.append(spans)

@@ -195,3 +195,23 @@ def test_card_of_single_digits(spark):
     rel = con.sql(queries.ORACLE["op1_pii"])
     have = [c for c in rel.columns]
     assert Counter(rel.fetchall()) == Counter(tuple(got[k][c] for c in have) for k in got)
+
+
+def test_pii_is_linear_in_matches(spark):
+    """Texts of very many proposals and of very many spans: right, and four times the text about four times the time."""
+    import time
+
+    def run(n):
+        nums = ", ".join(str(k % 90 + 10) for k in range(n)) + " card 4111111111111111 end"
+        mails = " mail ".join(f"u{k}@é{k}x.org" if k % 2 else f"u{k}@x{k}.org" for k in range(n // 8))
+        df = spark.createDataFrame([(1, nums), (2, mails)], "doc_id long, text string").checkpoint(eager=True)
+        t = time.time()
+        rows = {r.doc_id: r for r in pii.digest(pii.find_pii(df)).collect()}
+        return rows, nums, mails, time.time() - t
+    run(1000)
+    _, _, _, small = run(16_000)
+    rows, nums, mails, large = run(64_000)
+    assert large < 8 * small + 1 and large < 12
+    assert rows[1].n_card == 1 and rows[1].spans == f"card:{nums.index('4111')}:{nums.index(' end')}"
+    want = [f"email:{m.start()}:{m.end()}" for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", mails)]
+    assert rows[2].spans == ",".join(want) and rows[2].n_context == len(want) - 1
