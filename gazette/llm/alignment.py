@@ -49,6 +49,8 @@ WIDE = 256
 # a single space between visible characters: words, digits and ASCII signs
 CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
 NEVER = re.compile(r"(?!)")
+VISIBLE = re.compile(r"[\w!-~]{2}")
+JOINED = 64                                      # units in one call of A
 
 _LOADED: dict = {}
 
@@ -92,7 +94,7 @@ class Aligner:
                         else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.size_b = len(pieces)
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.text_of = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.signed = [f"{i}{sign}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for sign in ",|;"]
         self.cut = NEVER if any(re.search("[^▁]▁", p) for p in pieces) else CUT
         self.forget()
 
@@ -141,6 +143,34 @@ class Aligner:
                     found[x * self.size_b + y] += n * m
         return found
 
+    def _ids_a(self, units: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A of all units, and how many each has.  Units that start and end with a visible character are tokenised many at a time, a
+        space between them; where they end follows from the bytes."""
+        texts, held = [], []
+        for u in units:
+            if held and len(held) < JOINED and VISIBLE.fullmatch(u[0] + held[-1][-1:]):
+                held.append(u)
+            else:
+                if held:
+                    texts.append(" " + " ".join(held))
+                held = [u]
+        if held:
+            texts.append(" " + " ".join(held))
+        got = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(got), np.int64, sum(map(len, got)))
+        at, ends = np.cumsum(self.len_a[flat]), np.cumsum(size)
+        upto = np.searchsorted(at, ends, "right")
+        if len(at) and (at[upto - 1] == ends).all():
+            return flat, np.diff(upto, prepend=0)
+        got = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]    # A does not keep all bytes
+        many = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.int64, int(many.sum())), many
+
+    def _ids_b(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = self.b.encode(units, num_threads=1)
+        many = np.fromiter(map(len, got), np.int64, len(units))
+        return np.fromiter(chain.from_iterable(got), np.int64, int(many.sum())), many
+
     def learn(self, units: set[str]) -> None:
         new = [u for u in units if u not in self.number]
         if len(new) + len(self.number) > CACHE and self.number:
@@ -152,28 +182,30 @@ class Aligner:
         size = np.fromiter(map(len, want), np.int64, len(new))
         stream = b"".join(want)
         sides, good = [], np.ones(len(new), bool)
-        for ids, table, length in (([e.ids for e in self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)], self.bytes_a, self.len_a),
-                                   (self.b.encode(new, num_threads=1), self.bytes_b, self.len_b)):
-            many = np.fromiter(map(len, ids), np.int64, len(new))
-            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(many.sum()))
+        for flat, many, table, length in (*self._ids_a(new, size), self.bytes_a, self.len_a), (*self._ids_b(new), self.bytes_b, self.len_b):
             of = np.repeat(np.arange(len(new)), many)
-            same = np.bincount(of, length[flat], len(new)) == size
-            if not same.all() or b"".join([table[i] for i in flat.tolist()]) != stream:
-                same &= np.array([b"".join([table[i] for i in x]) == w for x, w in zip(ids, want)])
-            good &= same
+            joined = b"".join([table[i] for i in flat.tolist()])
+            if joined != stream or (np.bincount(of, length[flat], len(new)) != size).any():
+                cuts = np.concatenate([[0], np.cumsum(many)]).tolist()
+                ids = flat.tolist()
+                good &= np.array([b"".join([table[i] for i in ids[x:y]]) == w for x, y, w in zip(cuts[:-1], cuts[1:], want)])
             sides.append((flat, of))
         # of the units whose bytes agree, tokens of both end in one stream of bytes; units end there in both
         (a, of_a), (b, of_b) = ((flat[good[of]], of[good[of]]) for flat, of in sides)
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         # tokens without bytes of their own end with the token before them
-        common = np.intersect1d(ends_a, ends_b)
+        common = ends_a[:0] if not len(ends_b) else ends_a[ends_b[np.searchsorted(ends_b, ends_a).clip(max=len(ends_b) - 1)] == ends_a]
+        common = common[np.append(common[1:] != common[:-1], True)] if len(common) else common
         to_a, to_b = np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
         from_a, from_b = np.concatenate([[0], to_a[:-1]]), np.concatenate([[0], to_b[:-1]])
         group_of = of_a[from_a] if len(common) else np.zeros(0, np.int64)
         wide_a, wide_b = to_a - from_a, to_b - from_b
-        shown_a, shown_b = [self.text_of[i] for i in a.tolist()], [self.text_of[i] for i in b.tolist()]
-        strings = [shown_a[i] + "|" + shown_b[k] if j - i == l - k == 1 else ",".join(shown_a[i:j]) + "|" + ",".join(shown_b[k:l])
-                   for i, j, k, l in zip(from_a.tolist(), to_a.tolist(), from_b.tolist(), to_b.tolist())]
+        # as shown: a group's ids of A, then its ids of B, each with the sign that follows it
+        at_a, at_b = np.repeat(np.arange(len(common)), wide_a), np.repeat(np.arange(len(common)), wide_b)
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + from_b[at_a]] = 3 * a + (np.arange(len(a)) == to_a[at_a] - 1)
+        order[np.arange(len(b)) + to_a[at_b]] = 3 * b + 2 * (np.arange(len(b)) == to_b[at_b] - 1)
+        signed = [self.signed[k] for k in order.tolist()]
         links = wide_a * wide_b
         few = np.flatnonzero(links <= WIDE)
         base = np.repeat(few, links[few])
@@ -185,36 +217,46 @@ class Aligner:
             keys = np.concatenate([keys, np.fromiter(pairs.keys(), np.int64, len(pairs))])
             mult = np.concatenate([mult, np.fromiter(pairs.values(), np.int64, len(pairs))])
             owner = np.concatenate([owner, np.full(len(pairs), group_of[g])])
-        order = np.argsort(owner, kind="stable")
-        self.pairs = np.concatenate([self.pairs, keys[order]])
-        self.mults = np.concatenate([self.mults, mult[order]])
+        by_unit = np.argsort(owner, kind="stable")
+        self.pairs = np.concatenate([self.pairs, keys[by_unit]])
+        self.mults = np.concatenate([self.mults, mult[by_unit]])
         n = len(new)
         n_groups = np.bincount(group_of, minlength=n)
-        cuts = np.concatenate([[0], np.cumsum(n_groups)]).tolist()
+        n_a, n_b = np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n)
+        cuts = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
         start = len(self.shown)
         self.number.update(zip(new, range(start, start + n)))
-        self.shown += [strings[i] if j - i == 1 else ";".join(strings[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
-        self.sizes = np.concatenate([self.sizes, np.stack([np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n),
-                                                           np.where(good, n_groups, -1), np.bincount(owner, minlength=n)], 1)])
+        self.shown += ["".join(signed[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
+        self.sizes = np.concatenate([self.sizes, np.stack([n_a, n_b, np.where(good, n_groups, -1), np.bincount(owner, minlength=n)], 1)])
 
     def closed(self, texts: list[list[str]]) -> Iterator[tuple]:
         """Per list of whole units: (n_a, n_b, n_groups, shown groups, pairs, mults), or None where a unit's bytes differ."""
-        self.learn({u for t in texts for u in t})
-        number, sizes, pairs, mults = self.number, self.sizes, self.pairs, self.mults
-        first = np.concatenate([[0], np.cumsum(sizes[:, 3])])
-        for units in texts:
-            at = [number[u] for u in units]
-            idx, times = np.unique(np.array(at, np.int64), return_counts=True)
-            own = sizes[idx]
-            if (own[:, 2] < 0).any():
+        self.learn(set(chain.from_iterable(texts)))
+        many = np.fromiter(map(len, texts), np.int64, len(texts))
+        at = [self.number[u] for u in chain.from_iterable(texts)]
+        idx, of = np.array(at, np.int64), np.repeat(np.arange(len(texts)), many)
+        own = self.sizes[idx]
+        bad = np.bincount(of[own[:, 2] < 0], minlength=len(texts)) > 0
+        total = np.zeros((len(texts), 3), np.int64)
+        np.add.at(total, of, own[:, :3])
+        # the units' entries in the tables, one after the other; equal pairs of a text are added up
+        first = np.cumsum(self.sizes[:, 3]) - self.sizes[:, 3]
+        n = own[:, 3]
+        where = np.repeat(first[idx] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        span = len(self.bytes_a) * self.size_b
+        code = np.repeat(of, n) * span + self.pairs[where]
+        order = np.argsort(code)
+        code = code[order]
+        begin = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+        sums = np.add.reduceat(self.mults[where][order], begin) if len(begin) else np.zeros(0, np.int64)
+        keys, cuts = code[begin] % span, np.searchsorted(code[begin], np.arange(len(texts) + 1) * span).tolist()
+        ends = np.cumsum(many).tolist()
+        for k, (i, j) in enumerate(zip([0, *ends[:-1]], ends)):
+            if bad[k]:
                 yield None
-                continue
-            many = own[:, 3]
-            where = np.repeat(first[idx] - np.cumsum(many) + many, many) + np.arange(many.sum())
-            keys, back = np.unique(pairs[where], return_inverse=True)
-            n = np.bincount(back, mults[where] * np.repeat(times, many), len(keys)).astype(np.int64)
-            total = times @ own[:, :3]
-            yield (*map(int, total), ";".join([self.shown[k] for k in at]), keys, n)
+            else:
+                shown_ = "".join([self.shown[u] for u in at[i:j]])[:-1]
+                yield (*total[k].tolist(), shown_, keys[cuts[k]:cuts[k + 1]], sums[cuts[k]:cuts[k + 1]])
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
