@@ -187,11 +187,10 @@ def q_date_parse(spark, sf):
 
 
 # ------------------------------------------------------------------ filters
-@register("drop_no_text", f"""WITH {S.candidates(S_)}
+@register("drop_no_text", f"""WITH {S.candidates(S_, False)}
 SELECT entry_pos, has_full_text, CAST(length(text) AS BIGINT) AS n_chars FROM bodied WHERE length(text) > 0""")
 def q_drop_no_text(spark, sf):
-    top = ingest.feed_top_n(B.entries(spark, sf), S_.max_articles_per_feed)
-    kept = ingest.drop_no_text(ingest.body_or_fallback(top))
+    kept = ingest.drop_no_text(ingest.body_or_fallback(B.entries(spark, sf)))
     return kept.select("entry_pos", "has_full_text", F.length("text").cast("long").alias("n_chars"))
 
 
@@ -944,6 +943,22 @@ def q_feed_scan(spark, sf):
     return FS.feed_scan(spark, path)
 
 
+@register("feed_scan_new", f"""WITH {S.ENTRIES}, span AS (SELECT min(run_date) AS a, max(run_date) AS z FROM entries)
+SELECT CASE WHEN run_date <= a + CAST((z - a) // 2 AS INTEGER) THEN 0 ELSE 1 END AS scan, feed, entry_pos, title, link, summary FROM entries, span""")
+def q_feed_scan_new(spark, sf):
+    """Entries that land in two parts, each scanned once: the second scan reads the second part's files only."""
+    from ..session import scratch_path
+    from ..sources import feeds as FS
+    e = B.entries(spark, sf).checkpoint(eager=True)
+    first, last = e.agg(F.min("run_date"), F.max("run_date")).first()
+    cut = F.lit(first + (last - first) // 2)
+    landing, store = scratch_path(spark, "feeds-new"), scratch_path(spark, "feeds-scans")
+    for part in (e.where(F.col("run_date") <= cut), e.where(F.col("run_date") > cut)):
+        FS.write_landing(part, landing, "append")
+        FS.scan_new(spark, landing, store)
+    return FS.scanned_entries(spark, store)
+
+
 # -------------------------------------------------------- whole daily runs
 @register("daily_digest", f"""WITH RECURSIVE {S.candidates(S_)}, run_days AS (SELECT run_date AS run FROM entries),
 rows AS (SELECT run_date AS run, feed_ord AS f, entry_pos AS pos, link, {S.norm_title('title')} AS t FROM arts2),
@@ -1012,14 +1027,14 @@ def q_digest_title(spark, sf):
     return days.select("run_date", T.digest_title("digest", F.lit(S_.language), "run_date").alias("title"))
 
 
-@register("day_nonempty_gate", f"""WITH {S.candidates(S_)}, days AS (SELECT DISTINCT run_date FROM entries),
+@register("day_nonempty_gate", f"""WITH {S.candidates(S_, False)}, days AS (SELECT DISTINCT run_date FROM entries),
 n AS (SELECT run_date, count(*) AS n_articles FROM arts2 GROUP BY run_date)
 SELECT d.run_date, coalesce(n.n_articles, 0) AS n_articles, coalesce(n.n_articles, 0) > 0 AS publish
 FROM days d LEFT JOIN n USING (run_date)""")
 def q_day_nonempty_gate(spark, sf):
     """Per run day: publish only when the run has at least one article (else keep pages, prune only)."""
     days = B.entries(spark, sf).select("run_date").distinct()
-    n = daily.candidate_articles(B.entries(spark, sf), S_).groupBy("run_date").agg(F.count(F.lit(1)).alias("n_articles"))
+    n = _all_articles(spark, sf).groupBy("run_date").agg(F.count(F.lit(1)).alias("n_articles"))
     g = days.join(n, "run_date", "left").withColumn("n_articles", F.coalesce("n_articles", F.lit(0)).cast("long"))
     return g.withColumn("publish", F.col("n_articles") > 0)
 

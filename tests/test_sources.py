@@ -36,3 +36,37 @@ def test_page_body_rules(spark):
     assert rows[1].has_full_text and rows[1].text == rows[1].body
     assert rows[2].body == 'Only body\nsecond "line"'
     assert not rows[3].has_full_text and rows[3].text == "Short"
+
+
+def _land(spark, path, feed, *items):
+    spark.createDataFrame([("<channel>" + "".join(items) + "</channel>",)], "value string") \
+        .coalesce(1).write.mode("append").text(f"{path}/feed={feed}")
+
+
+def _item(pos, title="t"):
+    return f"<item><pos>{pos}</pos><title>{title}</title><link>l{pos}</link></item>"
+
+
+def test_broken_items_leave_their_neighbours(spark):
+    path, store = scratch_path(spark, "feeds-broken"), scratch_path(spark, "feeds-broken-store")
+    _land(spark, path, "a", _item(1), "<item><pos>2</pos><title>no end</item>", _item(3), _item("four"), _item(5, "x & y"), _item(6), "<item><pos>8</pos>", _item(9, "a &lt;b&gt;"))
+    _land(spark, path, "b", _item(7))
+    assert FS.scan_new(spark, path, store) == [0]
+    got = sorted((r.feed, r.entry_pos, r.title) for r in FS.scanned_entries(spark, store).collect())
+    assert got == [("a", 1, "t"), ("a", 3, "t"), ("a", 6, "t"), ("a", 9, "a <b>"), ("b", 7, "t")]
+    bad = FS.rejected_items(spark, store).collect()
+    assert len(bad) == 4 and {r.feed for r in bad} == {"a"} and any("four" in r.item for r in bad) and all("feed=a" in r.file for r in bad)
+
+
+def test_a_scan_reads_new_files_only(spark):
+    import os
+    path, store = scratch_path(spark, "feeds-inc"), scratch_path(spark, "feeds-inc-store")
+    _land(spark, path, "a", _item(1), _item(2))
+    assert FS.scan_new(spark, path, store) == [0] and FS.scan_new(spark, path, store) == []
+    _land(spark, path, "a", _item(3))
+    _land(spark, path, "c", _item(4))
+    assert FS.scan_new(spark, path, store) == [1]
+    rows = FS.scanned_entries(spark, store)
+    assert sorted((r.scan, r.feed, r.entry_pos) for r in rows.collect()) == [(0, "a", 1), (0, "a", 2), (1, "a", 3), (1, "c", 4)]
+    assert sorted(r.entry_pos for r in rows.where("scan = 1").collect()) == [3, 4]
+    assert os.path.isdir(f"{store.removeprefix('file:')}/checkpoint")
