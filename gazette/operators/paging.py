@@ -53,20 +53,20 @@ def _let(value: Column, body) -> Column:
 
 
 def page_structs(text, lines: int, enabled: bool = True) -> Column:
-    """array<struct<page_no, page_paragraphs>>: the text's pages, each a slice of its paragraphs; one empty page without paragraphs."""
-    empty = F.array(F.struct(F.lit(1).alias("page_no"), F.array().cast("array<string>").alias("page_paragraphs")))
+    """array<struct<page_no, page_total, page_paragraphs>>: the text's pages, each a slice of its paragraphs; one empty page without paragraphs."""
+    empty = F.array(F.struct(F.lit(1).alias("page_no"), F.lit(1).alias("page_total"), F.array().cast("array<string>").alias("page_paragraphs")))
 
     def cut(paras, starts):
         def page(start, k):
             end = F.coalesce(F.get(starts, k + 1), F.size(paras) + 1)
-            return F.struct((k + 1).alias("page_no"), F.slice(paras, start, end - start).alias("page_paragraphs"))
+            return F.struct((k + 1).alias("page_no"), F.size(starts).alias("page_total"), F.slice(paras, start, end - start).alias("page_paragraphs"))
         return F.when(F.size(starts) > 0, F.transform(starts, page)).otherwise(empty)
     return _let(T.split_paragraphs(text), lambda paras: _let(page_starts(paras, lines, enabled), lambda starts: cut(paras, starts)))
 
 
 def paginate(articles: DataFrame, text: str, lines: int, enabled: bool = True) -> DataFrame:
-    """Add ``pages`` (array<struct<page_no, page_paragraphs>>) and ``page_total``."""
-    return articles.withColumn("pages", page_structs(text, lines, enabled)).withColumn("page_total", F.size("pages"))
+    """Add ``pages`` (array<struct<page_no, page_total, page_paragraphs>>)."""
+    return articles.withColumn("pages", page_structs(text, lines, enabled))
 
 
 def paragraph_pages(pages: str = "pages") -> Column:

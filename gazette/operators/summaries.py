@@ -40,45 +40,43 @@ def sentence_table(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def word_counts(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``(keys, word, n)``: uses of each word per row key (counted map-side: a row's words are in one task)."""
+    """``(keys, word, n)``: uses of each word per row key."""
     return rows.select(*keys, F.explode(_words(F.col(text))).alias("word")).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_idf(doc_words: DataFrame, n_docs) -> DataFrame:
-    """``doc_words`` (one row per document and word) with idf = ln(N / document frequency).
-
-    The frequent words are the hot keys of this join; it sees a word once per document, and AQE splits or broadcasts it by size.
-    """
+def idf_of(doc_words: DataFrame, n_docs) -> DataFrame:
+    """``(word, idf)``, idf = ln(N / document frequency), from one row per document and word."""
     df = doc_words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    return doc_words.join(df.select("word", F.log(n_docs.cast("double") / F.col("df")).alias("idf")), "word")
+    return df.select("word", F.log(n_docs.cast("double") / F.col("df")).alias("idf"))
 
 
 def extractive_summary(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, summary)``: top sentences by mean word IDF (ties: earlier first), in text order.
 
-    The text is read once, into landed sentences.  A sentence's score comes from its word counts; the idf reaches them through the
-    document's words, so no join key is a word of all sentences.  The best sentences are a grouped limit: no array of a
-    document's sentences is ever built, and only the chosen ones join their text.
+    The text is scanned once and dealt by document; word counts per sentence, scores and the best sentences of a document are
+    then taken where it lies.  Only the idf crosses documents: it joins the counts of (document, sentence, word), broadcast or
+    with split hot words as its size tells.  The best sentences are a grouped limit: no array of a document's sentences is built.
     """
     from .ordering import top_n
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    s = sentence_table(docs, key, text).checkpoint(eager=True)
-    uses = word_counts(s, [key, "sno"], "sentence").checkpoint(eager=True)
-    idf = with_idf(uses.select(key, "word").distinct(), n_docs)
-    scored = (uses.join(idf, [key, "word"]).groupBy(key, "sno")
+    dealt = docs.select(key, text).repartition(key)                  # its readers reuse the shuffle
+    s = sentence_table(dealt, key, text)
+    uses = word_counts(s, [key, "sno"], "sentence")
+    idf = idf_of(word_counts(dealt, [key], text), n_docs)
+    scored = (uses.join(idf, "word").groupBy(key, "sno")
               .agg(F.round(F.sum(F.col("n") * F.col("idf")) / F.sum("n"), 9).alias("score")))
-    ranked = s.select(key, "sno").join(scored, [key, "sno"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-    best = top_n(ranked, [key], [F.col("score").desc(), F.col("sno").asc()], SUMMARY_SENTENCES, "_r").select(key, "sno")
-    top = s.join(best, [key, "sno"]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("sno", "sentence"))).alias("_t"))   # a few each
+    ranked = s.join(scored, [key, "sno"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    best = top_n(ranked, [key], [F.col("score").desc(), F.col("sno").asc()], SUMMARY_SENTENCES, "_r")
+    top = best.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("sno", "sentence"))).alias("_t"))                 # a few each
     return top.select(key, F.array_join(F.transform("_t", lambda x: x["sentence"]), " ").alias("summary"))
 
 
 def glossary_terms(docs: DataFrame, key: str, text: str, k: int = GLOSSARY_TERMS) -> DataFrame:
-    """``(key, term_rank, term, score)``: top-k words by tf * idf (ties: word order).  The text is read once."""
+    """``(key, term_rank, term, score)``: top-k words by tf * idf (ties: word order).  The text is scanned once."""
     from .ordering import top_n
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    tf = word_counts(docs, [key], text).checkpoint(eager=True)
-    sc = with_idf(tf, n_docs).withColumn("score", F.round(F.col("n") * F.col("idf"), 9))
+    tf = word_counts(docs.select(key, text).repartition(key), [key], text)
+    sc = tf.join(idf_of(tf, n_docs), "word").withColumn("score", F.round(F.col("n") * F.col("idf"), 9))
     return top_n(sc, [key], [F.col("score").desc(), F.col("word").asc()], k, "term_rank") \
         .select(key, F.col("term_rank").cast("long").alias("term_rank"), F.col("word").alias("term"), "score")
 

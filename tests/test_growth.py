@@ -42,7 +42,7 @@ def test_pages_of_long_articles(spark, monkeypatch, block):
         assert sorted(got[i]) == [(k, len(want), p) for k, p in enumerate(want, 1)]
     of = {r.id: r.n for r in P.paginate(df, "text", 14).select("id", P.paragraph_pages().alias("n")).collect()}
     assert of[5] == [k for k, p in enumerate(pages_of(texts[5], 14), 1) for _ in p]
-    one = P.paginate(df, "text", 0).select("page_total").distinct().collect()
+    one = P.paginate(df, "text", 0).select(F.size("pages").alias("page_total")).distinct().collect()
     assert [r.page_total for r in one] == [1]
 
 
