@@ -93,6 +93,39 @@ def test_near_classes_against_all_pairs(spark):
     assert all(most[i] == most[c] for i, c in got.items())     # and never makes one
 
 
+def templated(rng, n, share, pairs, edits):
+    """n texts of 120 words with one template in ``share`` of their words; ``pairs`` edited copies of the first ones."""
+    word = lambda: f"w{rng.randrange(10 ** 6)}"                # noqa: E731
+    line = [word() for _ in range(int(120 * share))]
+    texts = [line + [word() for _ in range(120 - len(line))] for _ in range(n)]
+    return texts + [t[:len(line)] + edited(rng, t[len(line):], edits) for t in texts[:pairs]]
+
+
+def test_copies_among_texts_of_one_template(spark):
+    """Near copies meet although thousands of texts share most of their weight with them."""
+    rng = random.Random(31)
+    for share in (0.7, 0.8):
+        texts, n, pairs = [], 1000, 100
+        for edits in (2, 3, 4):
+            texts += templated(rng, n, share, pairs, edits)
+        rows = [(k, " ".join(w)) for k, w in enumerate(texts)]
+        sets = [Counter(shingles(t)) for _, t in rows]
+        df = Counter(x for s in sets for x in s)
+        idf = {x: 1 - minhash.DAMP + minhash.DAMP * np.log(min(max(len(rows) / c, 1), minhash.RARE)) / np.log(minhash.RARE) for x, c in df.items()}
+
+        def similarity(x, y):
+            both = sum(min(x[k], y[k]) * idf[k] for k in x if k in y)
+            return both / (sum(x[k] * idf[k] for k in x) + sum(y[k] * idf[k] for k in y) - both)
+        mutual = similarity(sets[0], sets[1])
+        planted = [(s + k, s + n + k) for s in (0, n + pairs, 2 * (n + pairs)) for k in range(pairs)]
+        near = [(a, b) for a, b in planted if similarity(sets[a], sets[b]) >= 0.8]
+        got = {r.doc_id: r.class_id for r in minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        met = sum(got[a] == got[b] for a, b in near)
+        print(f"template {share}: mutual {mutual:.2f}, near {len(near)}, met {met}")
+        assert len(near) > 100 and met >= 0.98 * len(near)
+        assert all(got[a] != got[b] for a, b in planted if similarity(sets[a], sets[b]) < 0.795)
+
+
 def test_near_classes_odd_rows(docs, wide, no_docs):
     rows = minhash.near_classes(docs).collect()
     by = defaultdict(set)
