@@ -232,6 +232,62 @@ def test_passage_classes_are_components(spark):
     assert got[201] == [(200, 2, 90)] == got[202] and got[203] == [(200, 2, 70)] == got[204]
 
 
+def passage_share(spark, rng, line_words, length, pairs, change, texts=3000):
+    """Share of planted pairs that end in one class: texts with one common line, pairs with a passage that begins with it."""
+    word = lambda: f"w{rng.randrange(10 ** 7)}"                # noqa: E731
+    line = [word() for _ in range(line_words)]
+    rows = []
+    for k in range(pairs):
+        passage = line + [word() for _ in range(length - line_words)]
+        for copy in (passage, change(list(passage))):
+            rows.append([word() for _ in range(30)] + copy + [word() for _ in range(30)])
+    rows += [[word() for _ in range(30)] + line + [word() for _ in range(30)] for _ in range(texts - 2 * pairs)] if line else []
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(rows)], "doc_id long, text string").repartition(8)
+    got = defaultdict(set)
+    for r in substring.repeated_passages(df).collect():
+        got[r.doc_id].add(r.class_id)
+    assert not [k for k in got if k >= 2 * pairs]              # the line alone is no passage
+    return sum(bool(got[2 * k] & got[2 * k + 1]) for k in range(pairs)) / pairs
+
+
+def test_passages_behind_a_common_line(spark):
+    """Word-for-word passages of which most is a line that thousands of texts share."""
+    rng = random.Random(77)
+    for line, length in ((40, 50), (46, 50), (46, 60)):
+        share = passage_share(spark, rng, line, length, 200, lambda p: p)
+        print(f"line {line}, passage {length}: {share}")
+        assert share >= 0.99
+
+
+def test_passages_with_an_edited_word(spark):
+    rng = random.Random(78)
+
+    def change(kind):
+        def run(p):
+            at = len(p) // 2
+            return p[:at] + {"replace": ["edit"], "insert": ["edit", p[at]], "delete": []}[kind] + p[at + 1:]
+        return run
+    for kind in ("replace", "insert", "delete"):
+        share = passage_share(spark, rng, 0, 60, 300, change(kind))
+        print(f"{kind}: {share}")
+        assert share >= 0.9
+
+
+def test_pairs_do_not_depend_on_the_rows_held(monkeypatch):
+    """One key longer than what is held at once: the same pairs as with all of it held."""
+    rng = np.random.default_rng(15)
+    n = 6000
+    marks = rng.integers(0, 1 << 40, n, dtype=np.uint64) | (np.uint64(0xEE) << np.uint64(56))
+    marks[rng.integers(0, n, 1500)] = marks[rng.integers(0, n, 1500)]
+    key = np.where(np.arange(n) < 5000, 7, 8)
+    table = pa.table({"key": pa.array(key), "th": pa.array(np.arange(n)), "marks": pa.array(marks.view(np.int64))})
+    got = []
+    for rows in (2_000_000, 4000, 1000):
+        monkeypatch.setattr(substring, "HELD_ROWS", rows)
+        got.append({p for b in substring._meet(iter(table.to_batches(max_chunksize=100))) for p in zip(*[c.to_pylist() for c in b.columns])})
+    assert len(got[0]) > 500 and got[0] == got[1] == got[2]
+
+
 def test_passages_odd_rows(docs, wide, no_docs):
     a = sorted(map(tuple, substring.repeated_passages(docs).collect()))
     assert a == sorted(map(tuple, substring.repeated_passages(wide).collect()))
