@@ -1,8 +1,8 @@
 """Main text of web pages by a tree-structured graphical model over the DOM.
 
 Block-level elements and text blocks are nodes with a binary variable: a text block is main text, an element holds some.
-Node potentials come from features (tag, words in class, id and role, text length, share of linked text, punctuation);
-every edge has a parent-child potential.  The graph is a tree, so one upward and one
+Node potentials come from features (tag, words in class, id and role, camelCase split, text length, share of linked text in the block
+and in the element's whole subtree, punctuation); every edge has a parent-child potential.  The graph is a tree, so one upward and one
 downward sum-product pass give exact marginals; a block is kept when its marginal is one half or more.
 Weights are trained by gradient ascent on the likelihood of labelled pages (``html_labelled``), with
 the same two passes giving the expected feature counts.
@@ -66,17 +66,19 @@ WORDS = {
 WORD = {w: g for g, ws in WORDS.items() for w in ws.split()}
 FEATURES = (["bias_text", "bias_box"] + [f"t_{g}" for g in dict.fromkeys(TAGS.values())] + ["t_other"] + list(WORDS)
             + ["hidden", "len_0", "len_20", "len_80", "len_200", "linked", "half_linked", "ends", "comma", "copyright",
-               "in_main", "out_main", "in_head", "in_item", "in_para"])
+               "in_main", "out_main", "in_head", "in_item", "in_para", "linked_main", "b_linked", "b_prose", "b_short"])
 INDEX = {f: k for k, f in enumerate(FEATURES)}
 _SPLIT = re.compile(r"[^a-z]+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _UNQUOTED = re.compile(r"=\s*[^\s\"'=]+/\Z")
 
 
 class Node:
-    __slots__ = ("parent", "feats", "text", "y", "main")
+    __slots__ = ("parent", "feats", "text", "y", "main", "size", "linked")
 
-    def __init__(self, parent: int, feats: list[int], text: str | None, y: int = 0, main: bool = False):
+    def __init__(self, parent: int, feats: list[int], text: str | None, y: int = 0, main: bool = False, linked: int = 0):
         self.parent, self.feats, self.text, self.y, self.main = parent, feats, text, y, main
+        self.size, self.linked = len(text or ""), linked         # characters, of the whole subtree once a page is parsed
 
 
 def _named(attrs: str) -> tuple[list[int], int]:
@@ -85,7 +87,7 @@ def _named(attrs: str) -> tuple[list[int], int]:
     for name, *values in NAMED.findall(attrs):
         name, value = name.lower(), next((v for v in values if v), "")
         if name in ("class", "id", "role"):
-            for w in _SPLIT.split(value.lower()):
+            for w in _SPLIT.split(_HUMP.sub(" ", value).lower()):
                 if w in WORD:
                     feats.add(INDEX[WORD[w]])
         elif name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
@@ -127,7 +129,7 @@ def parse(page: str) -> list[Node]:
                 group = TAGS.get(tag)
                 if group in ("head", "item", "para"):
                     feats.append(INDEX[f"in_{group}"])
-                nodes.append(Node(own, feats, text, y, nodes[own].main))
+                nodes.append(Node(own, feats, text, y, nodes[own].main, min(linked, n)))
             pieces.clear()
         linked = 0
 
@@ -194,10 +196,18 @@ def parse(page: str) -> list[Node]:
     if at < size and not out:
         pieces.append(page[at:])
     flush()
+    for k in range(len(nodes) - 1, 0, -1):
+        n, above = nodes[k], nodes[nodes[k].parent]
+        above.size += n.size
+        above.linked += n.linked
+        if n.text is None and n.size:
+            n.feats.append(INDEX["b_linked" if n.linked * 10 >= n.size * 7 else "b_prose" if n.size >= 200 else "b_short"])
     if has_main:
         for n in nodes:
             if n.text is not None:
                 n.feats.append(INDEX["in_main" if n.main else "out_main"])
+                if n.main and n.linked * 2 > n.size:
+                    n.feats.append(INDEX["linked_main"])
     return nodes
 
 
