@@ -243,11 +243,13 @@ def identify(docs: DataFrame, net: Net | None = None) -> DataFrame:
     return p.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def accepted(docs: DataFrame, min_score: float = 0.3, net: Net | None = None) -> DataFrame:
-    """Rows of ``docs`` that have a language, with all their columns.  Rejected are rows predicted
-    ``und`` and rows whose best probability is below ``min_score`` (no better than a guess)."""
+def accepted(docs: DataFrame, min_lift: float = 0.05, net: Net | None = None) -> DataFrame:
+    """Rows of ``docs`` that have a language, with all their columns.  Rejected are rows predicted ``und`` and rows whose best
+    probability is no better than a guess: of k languages, it lies less than ``min_lift`` of the way from 1 / k to 1."""
     net = net or train_langid(docs)
     p = predicted(net, F.col("text"))
     if net is None:
         return docs.limit(0)
-    return docs.where((p["lang_pred"] != "und") & (p["score"] >= min_score))
+    k = len(net.langs)
+    least = 1 / k + min_lift * (1 - 1 / k) if k > 1 else 0.0
+    return docs.where((p["lang_pred"] != "und") & (p["score"] >= least))
