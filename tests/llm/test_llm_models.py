@@ -111,6 +111,18 @@ def test_blocks_of_held_out_layouts():
     assert right / total > 0.97
 
 
+def test_only_guesses_are_rejected(docs):
+    """Relative to the number of languages: of two a score of 0.5 is a guess, of forty 0.2 is not."""
+    def scored(k, lift):
+        net = langid.Net([f"l{i:02}" for i in range(k)])
+        net.w["O"][:], net.w["o"][0] = 0, np.log(lift)
+        return net
+    letters = [r.doc_id for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)]
+    for k, lift, kept in ((2, 1.0, False), (2, 9.0, True), (40, 1.0, False), (40, 10.0, True), (1, 1.0, True)):
+        got = [r.doc_id for r in langid.accepted(docs, net=scored(k, lift)).collect()]
+        assert Counter(got) == Counter(letters if kept else []), (k, lift)
+
+
 # a family of layouts that no training page uses: other elements, other orders, names in camelCase
 HELD_OUT = (
     '<body><div class="siteNavBar"><a href="/">Start</a> <a href="/w">World</a> <a href="/c">Culture</a></div><div class="cookieBanner">We store '
