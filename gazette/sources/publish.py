@@ -14,8 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def by_partition(df: DataFrame, *parts: str) -> DataFrame:
+    """The rows dealt by the columns that a write partitions by: a partition is one file, not one of every task, so files
+    grow with the partitions alone.  The number of tasks is given, as days are many and small: adaptive coalescing would
+    leave all files to a few tasks.  A task streams a day's rows to its file and gathers none."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *parts)
+
+
 def _dynamic_overwrite(df: DataFrame, path: str, part: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (by_partition(df, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).parquet(path))
 
 
