@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..session import scratch_path
+from ..sources.publish import by_partition
 
 EPOCH = dt.date(1970, 1, 1)
 
@@ -200,7 +201,7 @@ def publish_batch(table_path: str, run_id: str, day_col: str = "day"):
     def write(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        (batch.withColumn("run_id", F.lit(run_id)).withColumn("batch", F.lit(epoch_id))
+        (by_partition(batch, day_col).withColumn("run_id", F.lit(run_id)).withColumn("batch", F.lit(epoch_id))
          .write.mode("overwrite").partitionBy(day_col, "run_id", "batch")
          .option("partitionOverwriteMode", "dynamic").parquet(table_path))
     return write

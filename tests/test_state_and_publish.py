@@ -62,6 +62,24 @@ def test_publish_day_idempotent_and_quiet_rerun(spark):
     assert [r.title for r in PB.front_page(spark, path).collect()] == ["b"]
 
 
+def test_files_grow_with_the_days_alone(spark):
+    """However many tasks hold a day's rows, a day is one file; a run of a stream the same."""
+    import glob
+    from gazette.streaming import streams as STR
+    rows = [(dt.date(2026, 1, 1) + dt.timedelta(days=k % 10), k, f"t{k}") for k in range(400)] + [(None, 400, "no day")]
+    df = spark.createDataFrame(rows, "day date, pos int, title string").repartition(16)
+    files = lambda path: len(glob.glob(path.replace("file:", "") + "/**/*.parquet", recursive=True))      # noqa: E731
+    path = scratch_path(spark, "digest-files")
+    PB.publish_day(df, path)
+    assert files(path) == 11
+    assert sorted((r.pos, r.day, r.title) for r in spark.read.parquet(path).collect()) == sorted((k, d, t) for d, k, t in rows)
+    table = scratch_path(spark, "stream-files")
+    STR.publish_batch(table, "1")(df, 0)
+    STR.commit_run(spark, table, "1")
+    assert files(table) == 11
+    assert STR.published(spark, table).count() == 400           # a row without a day has no newest run
+
+
 def test_rolling_products_keep_latest_weekly(spark):
     h = spark.createDataFrame([(dt.date(2026, 1, 4), "weekly", "w1"), (dt.date(2026, 1, 5), "weekly", None),
                                (dt.date(2026, 1, 4), "quiz", "q1"), (dt.date(2026, 1, 5), "quiz", None)],
