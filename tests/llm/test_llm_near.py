@@ -126,6 +126,33 @@ def test_copies_among_texts_of_one_template(spark):
         assert all(got[a] != got[b] for a, b in planted if similarity(sets[a], sets[b]) < 0.795)
 
 
+def test_links_that_no_leader_brings(spark, monkeypatch):
+    """Two copies in a bucket led by a text unlike both are linked; the blocks of a large bucket lose no pair."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(10 ** 6)}"                # noqa: E731
+    texts = [[word() for _ in range(150)] for _ in range(40)]
+    texts += [edited(rng, t, 1) for t in texts]
+    schema = "doc_id long, text string"
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], schema)
+    rows = df.select("doc_id", minhash.text_hash(minhash.text_or_empty()).alias("th"), "text")
+    n, counts = minhash.document_frequencies(df)
+    idf = minhash.idf_table(n, counts)
+    out = "doc_id long, th long, bands array<long>, wordy boolean, s0 long, s1 long, s2 long"
+    sketches = rows.mapInArrow(minhash._signatures(idf, minhash.steep_table(n, counts)), out).select("doc_id", "th", *minhash.SKETCH).checkpoint()
+    one = sketches.selectExpr("th", "7L as key")               # all in one bucket: one leader
+    ids = {r.th: r.doc_id for r in sketches.collect()}
+    led = {(r.a, r.b) for r in minhash.candidate_pairs(one).collect()}
+    none = spark.createDataFrame([], "a long, b long")
+    for block in (2000, 7):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        more = minhash.more_links(one, sketches.drop("doc_id"), none, rows.select("th", "text"), idf, 0.8).collect()
+        assert {tuple(sorted((ids[r.a], ids[r.b]))) for r in more} == {(k, k + 40) for k in range(40)}
+        assert len(more) == 40 and sum((r.a, r.b) not in led for r in more) >= 39
+    # one bucket per text and class: nothing is left open
+    done = spark.createDataFrame([(r.a, r.b) for r in more], "a long, b long")
+    assert minhash.more_links(one, sketches.drop("doc_id"), done, rows.select("th", "text"), idf, 0.8).count() == 0
+
+
 def test_near_classes_odd_rows(docs, wide, no_docs):
     rows = minhash.near_classes(docs).collect()
     by = defaultdict(set)
