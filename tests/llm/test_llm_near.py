@@ -153,6 +153,29 @@ def test_links_that_no_leader_brings(spark, monkeypatch):
     assert minhash.more_links(one, sketches.drop("doc_id"), done, rows.select("th", "text"), idf, 0.8).count() == 0
 
 
+def test_rows_of_open_buckets_grow_with_the_members():
+    """Texts that are all near each other leave one row each and a forest of links, not their pairs; a pair counts in its least key only."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(200)]
+    m, long, keys = 60, minhash.FINE // 8, minhash.BANDS + minhash.SINGLES
+    texts = [" ".join(edited(rng, base, 1)) for _ in range(m)]
+    idf = np.ones(minhash.BUCKETS, np.float32)
+
+    def batches(key, other):
+        """All in one bucket of two blocks, which meet, with equal sketches; rows also share the bucket ``other``."""
+        cols = [[key] * m, [0] * m, [1] * m, [k % 2 for k in range(m)], list(range(m)), list(range(m))]
+        cols += [[9] * m for _ in range(len(minhash.SKETCH) + long)] + [[min(key, other)] * m, [max(key, other)] * m]
+        cols += [[(1 << 63) - 1] * m for _ in range(keys - 2)]
+        table = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols] + [pa.array(texts)], [f"c{k}" for k in range(len(cols))] + ["text"])
+        return [table.slice(0, 25), table.slice(25, 30), table.slice(55)]      # a group may span batches
+    met = [r for b in minhash._met(minhash.FINE_LEAST, long, True)(iter(batches(7, 8))) for r in b.to_pylist()]
+    assert sorted(r["th"] for r in met) == list(range(m))                      # before: 900 pairs
+    links = [(r["a"], r["b"]) for b in minhash._links(minhash.FINE_LEAST, long, idf, 0.8)(iter(batches(7, 8))) for r in b.to_pylist()]
+    assert len(links) == m - 1 and {x for pair in links for x in pair} == set(range(m))
+    assert not any(b.num_rows for b in minhash._met(minhash.FINE_LEAST, long, True)(iter(batches(7, 3))))
+    assert not any(b.num_rows for b in minhash._links(minhash.FINE_LEAST, long, idf, 0.8)(iter(batches(7, 3))))
+
+
 def test_near_classes_odd_rows(docs, wide, no_docs):
     rows = minhash.near_classes(docs).collect()
     by = defaultdict(set)
