@@ -22,6 +22,7 @@ from ..session import scratch_path
 from ..sources.publish import by_partition
 
 EPOCH = dt.date(1970, 1, 1)
+SEEN_BUCKETS = 4096                              # keys of the seen state: links of one hash
 
 
 def land(df: DataFrame, name: str, order: str | None = None, batches: int | None = None, path: str | None = None) -> str:
@@ -94,38 +95,54 @@ def dropped_by_watermark(progress: list) -> int:
 
 # ------------------------------------------------------------ seen state
 def _seen_fn(retention_days: int, runs: list[int]):
-    """Days in ``runs`` (day numbers, sorted) are the runs; state: last acceptance and days not yet decided."""
+    """Days in ``runs`` (day numbers, sorted) are the runs.  A key is a bucket of links; state: its links, the last acceptance of each and
+    its days not yet decided (``counts`` of them, flat in ``waiting``)."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, waiting = state.get if state.exists else (None, [])
-        waiting = {int(d) for d in waiting}
+        held: dict = {}                                               # link: [last, days not yet decided]
+        if state.exists:
+            links, lasts, counts, flat = state.get
+            at = 0
+            for link, last, n in zip(links, lasts, counts):
+                held[link] = [last, set(flat[at:at + n])]
+                at += n
         if not state.hasTimedOut:
             for pdf in pdfs:
-                for d, seed in zip(pdf["day_n"].tolist(), pdf["seed"].tolist()):
+                for link, d, seed in zip(pdf["link"].tolist(), pdf["day_n"].tolist(), pdf["seed"].tolist()):
+                    d = int(d)
+                    if (h := held.get(link)) is None:
+                        h = held[link] = [None, set()]
                     if seed:
-                        last = max(int(d), int(d) if last is None else last)
+                        h[0] = d if h[0] is None else max(d, h[0])
                     else:
-                        waiting.add(int(d))
+                        h[1].add(d)
         closed = state.getCurrentWatermarkMs() // 86_400_000          # days before it are complete
-        acc = []
-        for d in sorted(x for x in waiting if x < closed):
-            waiting.discard(d)
-            k = bisect.bisect_left(runs, d)
-            if last is None or k and last < runs[k - 1] - retention_days:
-                acc.append(d)
-                last = d
-        # the run after the first run day beyond the retention starts without the link: nothing to remember then
-        k = bisect.bisect_right(runs, last + retention_days) if last is not None else len(runs)
-        free = runs[k] if k < len(runs) else None
-        if not waiting and free is not None and closed > free:
-            state.remove()
-        else:
-            state.update((last, sorted(waiting)))
-            wake = min(waiting) + 1 if waiting else free + 1 if free is not None else None
+        acc_links, acc_days, wake, kept = [], [], None, {}
+        for link, (last, waiting) in held.items():
+            for d in sorted(x for x in waiting if x < closed):
+                waiting.discard(d)
+                k = bisect.bisect_left(runs, d)
+                if last is None or k and last < runs[k - 1] - retention_days:
+                    acc_links.append(link)
+                    acc_days.append(EPOCH + dt.timedelta(days=d))
+                    last = d
+            # the run after the first run day beyond the retention starts without the link: nothing to remember then
+            k = bisect.bisect_right(runs, last + retention_days) if last is not None else len(runs)
+            free = runs[k] if k < len(runs) else None
+            if not waiting and free is not None and closed > free:
+                continue
+            kept[link] = (last, waiting)
+            due = min(waiting) + 1 if waiting else free + 1 if free is not None else None
+            if due is not None:
+                wake = due if wake is None else min(wake, due)
+        if kept:
+            state.update((list(kept), [last for last, _ in kept.values()], [len(w) for _, w in kept.values()],
+                          [d for _, w in kept.values() for d in sorted(w)]))
             if wake is not None:
                 state.setTimeoutTimestamp(wake * 86_400_000 + 1)
-        if acc:
-            yield pd.DataFrame({"link": [key[0]] * len(acc),
-                                "day": [EPOCH + dt.timedelta(days=d) for d in acc]})
+        else:
+            state.remove()
+        if acc_links:
+            yield pd.DataFrame({"link": acc_links, "day": acc_days})
     return fn
 
 
@@ -136,12 +153,14 @@ def seed_stream(spark: SparkSession, seen: DataFrame) -> DataFrame:
 
 
 def stream_seen(sightings: DataFrame, run_days: Sequence[dt.date], retention_days: int = 14, watermark: str = "1 day",
-                seeds: DataFrame | None = None) -> DataFrame:
+                seeds: DataFrame | None = None, buckets: int = SEEN_BUCKETS) -> DataFrame:
     """Exact seen-state rule on a stream.  A link accepted on day s is in the state that a run starts from while
     s >= previous run - retention; ``run_days`` (one per run: the calendar) tells the previous run.
 
     A day is decided once the watermark has passed it, in day order per link, so files may come in any order that the
-    watermark allows and skipped run days are exact.  State per link: the last acceptance and the days not yet decided.
+    watermark allows and skipped run days are exact.  State per link: the last acceptance and the days not yet decided.  Links are
+    dealt to ``buckets`` keys by hash: a call of the Python function costs about as much as some hundred links do, so a bucket takes many; more
+    links than some thousand a bucket want more buckets.
     ``seeds`` (link, day; a stream, see ``seed_stream``) starts the state from a saved table: its rows are acceptances of
     earlier runs; ``run_days`` then has to name the last run before the stream as well.
 
@@ -152,14 +171,16 @@ def stream_seen(sightings: DataFrame, run_days: Sequence[dt.date], retention_day
     rows = sightings.select("link", "day", F.lit(False).alias("seed"))
     if seeds is not None:
         rows = rows.unionByName(seeds.select("link", "day", F.lit(True).alias("seed")))
-    # one row per (link, day) before the keyed state: a link's group in a micro-batch is
+    # one row per (link, day) before the keyed state: a link's rows in a micro-batch are
     # bounded by the days it covers, not by how many raw sightings a hot link has
     s = (rows.withColumn("ts", F.col("day").cast("timestamp"))
          .withColumn("day_n", F.datediff(F.col("day"), F.lit("1970-01-01").cast("date")))
          .withWatermark("ts", watermark)
          .dropDuplicatesWithinWatermark(["link", "day_n", "seed"]))
-    return s.groupBy("link").applyInPandasWithState(
-        _seen_fn(retention_days, runs), outputStructType="link string, day date", stateStructType="last int, waiting array<int>",
+    bucket = F.pmod(F.xxhash64("link"), F.lit(buckets)).alias("bucket")
+    return s.select("link", "day_n", "seed", "ts", bucket).groupBy("bucket").applyInPandasWithState(
+        _seen_fn(retention_days, runs), outputStructType="link string, day date",
+        stateStructType="links array<string>, lasts array<int>, counts array<int>, waiting array<int>",
         outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 

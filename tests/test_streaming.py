@@ -39,6 +39,36 @@ def test_stream_seen_with_shuffled_files(spark):
     _seen(spark, rows, [rows[:20], rows[20:40], rows[40:]], "seen-shuffled")
 
 
+def test_seen_state_calls_by_bucket_not_by_link():
+    """One call decides all links of its bucket, and the state that it leaves holds each link's own days."""
+    class State:
+        value, exists, hasTimedOut, wake, closed = None, False, False, None, 0
+
+        get = property(lambda self: self.value)
+        getCurrentWatermarkMs = lambda self: self.closed * 86_400_000                             # noqa: E731
+
+        def update(self, value):
+            self.value, self.exists = value, True
+
+        def setTimeoutTimestamp(self, ms):
+            self.wake = ms
+
+        def remove(self):
+            self.value, self.exists = None, False
+    n, state, runs = 500, State(), list(range(0, 60))
+    fn = ST._seen_fn(14, runs)
+    rows = [(f"l{k}", k % 3 + step) for k in range(n) for step in (0, 5, 20)] + [(None, 4)]
+    frame = ST.pd.DataFrame({"link": [r[0] for r in rows], "day_n": [r[1] for r in rows], "seed": [False] * len(rows)})
+    assert list(fn((7,), iter([frame]), state)) == [] and len(state.value[0]) == n + 1
+    state.closed, state.hasTimedOut = 10, True
+    first = list(fn((7,), iter([]), state))
+    assert len(first) == 1 and len(first[0]) == n + 1 and state.wake == 20 * 86_400_000 + 1      # link None: day 19 closes
+    state.closed = 100
+    later = list(fn((7,), iter([]), state))[0]
+    assert sorted(later["link"]) == sorted(f"l{k}" for k in range(n)) and not state.exists
+    assert {(d - BASE.replace(year=1970)).days for d in later["day"]} == {20, 21, 22}
+
+
 def _days(spark, rows):
     return spark.createDataFrame(rows, "day date, pos long, title string, summary string, source string")
 
