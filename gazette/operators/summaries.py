@@ -27,6 +27,8 @@ WORD = r"[\p{L}\p{N}]+"
 SUMMARY_SENTENCES = 3
 GLOSSARY_TERMS = 4
 MAX_THEMES = 5
+TASK_BYTES = 16 << 20                            # text of one task
+HOT_WORDS = 500_000                              # words whose idf is broadcast, at most
 
 
 def _words(col) -> F.Column:
@@ -44,27 +46,44 @@ def word_counts(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     return rows.select(*keys, F.explode(_words(F.col(text))).alias("word")).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def idf_of(doc_words: DataFrame, n_docs) -> DataFrame:
-    """``(word, idf)``, idf = ln(N / document frequency), from one row per document and word."""
+def dealt_by(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, text)`` dealt by document; its readers reuse the shuffle.  A task has about ``TASK_BYTES`` of text however large the input is: the
+    number of tasks is given, as adaptive coalescing goes by compressed bytes and knows nothing of the words that a text becomes."""
+    size = docs.select(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.select(key, text).repartition(max(least, -(-size // TASK_BYTES)), key)
+
+
+def split_idf(doc_words: DataFrame, n_docs) -> tuple[DataFrame, DataFrame]:
+    """``(word, idf)``, idf = ln(N / document frequency), from one row per document and word: the frequent words and the others.
+
+    A word is frequent with at least a ``HOT_WORDS``-th of all rows, so no more than ``HOT_WORDS`` words are, and they hold most uses: they
+    are broadcast, only the uses of rare words travel to their idf, and no word has many of those.
+    """
     df = doc_words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    return df.select("word", F.log(n_docs.cast("double") / F.col("df")).alias("idf"))
+    hot = F.col("df") * HOT_WORDS >= df.select(F.sum("df")).scalar()
+    idf = F.log(n_docs.cast("double") / F.col("df")).alias("idf")
+    return F.broadcast(df.where(hot).select("word", idf)), df.where(~hot).select("word", idf)
 
 
 def extractive_summary(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, summary)``: top sentences by mean word IDF (ties: earlier first), in text order.
 
-    The text is scanned once and dealt by document; word counts per sentence, scores and the best sentences of a document are
-    then taken where it lies.  Only the idf crosses documents: it joins the counts of (document, sentence, word), broadcast or
-    with split hot words as its size tells.  The best sentences are a grouped limit: no array of a document's sentences is built.
+    The text is dealt by document once; word counts per sentence, scores and the best sentences of a document are
+    then taken where it lies.  Only the idf of rare words crosses documents: it joins their counts of (document, sentence, word).
+    The best sentences are a grouped limit: no array of a document's sentences is built.
     """
     from .ordering import top_n
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    dealt = docs.select(key, text).repartition(key)                  # its readers reuse the shuffle
+    dealt = dealt_by(docs, key, text)
     s = sentence_table(dealt, key, text)
     uses = word_counts(s, [key, "sno"], "sentence")
-    idf = idf_of(word_counts(dealt, [key], text), n_docs)
-    scored = (uses.join(idf, "word").groupBy(key, "sno")
-              .agg(F.round(F.sum(F.col("n") * F.col("idf")) / F.sum("n"), 9).alias("score")))
+    hot, rare = split_idf(word_counts(dealt, [key], text), n_docs)
+
+    def sums(scored: DataFrame) -> DataFrame:
+        return scored.groupBy(key, "sno").agg(F.sum(F.col("n") * F.col("idf")).alias("idf"), F.sum("n").alias("n"))
+    scored = (sums(uses.join(hot, "word")).unionByName(sums(uses.join(hot, "word", "left_anti").join(rare, "word")))
+              .groupBy(key, "sno").agg(F.round(F.sum("idf") / F.sum("n"), 9).alias("score")))
     ranked = s.join(scored, [key, "sno"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     best = top_n(ranked, [key], [F.col("score").desc(), F.col("sno").asc()], SUMMARY_SENTENCES, "_r")
     top = best.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("sno", "sentence"))).alias("_t"))                 # a few each
@@ -72,12 +91,21 @@ def extractive_summary(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def glossary_terms(docs: DataFrame, key: str, text: str, k: int = GLOSSARY_TERMS) -> DataFrame:
-    """``(key, term_rank, term, score)``: top-k words by tf * idf (ties: word order).  The text is scanned once."""
+    """``(key, term_rank, term, score)``: top-k words by tf * idf (ties: word order).  The text is dealt by document once.
+
+    The best k frequent words of a document are taken where it lies, those of its rare words where they meet their idf.
+    """
     from .ordering import top_n
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    tf = word_counts(docs.select(key, text).repartition(key), [key], text)
-    sc = tf.join(idf_of(tf, n_docs), "word").withColumn("score", F.round(F.col("n") * F.col("idf"), 9))
-    return top_n(sc, [key], [F.col("score").desc(), F.col("word").asc()], k, "term_rank") \
+    tf = word_counts(dealt_by(docs, key, text), [key], text)
+    hot, rare = split_idf(tf, n_docs)
+    order = [F.col("score").desc(), F.col("word").asc()]
+
+    def scored(words: DataFrame) -> DataFrame:
+        return words.select(key, "word", F.round(F.col("n") * F.col("idf"), 9).alias("score"))
+    near = top_n(scored(tf.join(hot, "word")), [key], order, k, "_r").drop("_r")
+    sc = near.unionByName(scored(tf.join(hot, "word", "left_anti").join(rare, "word")))
+    return top_n(sc, [key], order, k, "term_rank") \
         .select(key, F.col("term_rank").cast("long").alias("term_rank"), F.col("word").alias("term"), "score")
 
 

@@ -79,3 +79,18 @@ def test_best_sentences_are_a_grouped_limit(spark):
     df = spark.createDataFrame([(1, "A b. C d. E f. G h.")], "id int, text string")
     plan = SM.extractive_summary(df, "id", "text")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_rare_words_and_small_tasks_give_the_same(spark, monkeypatch):
+    """Summaries and terms with few words broadcast, and tasks that follow the size of the text."""
+    rng = random.Random(4)
+    texts = [(k, " ".join(rng.choice(["the", "of", f"w{rng.randrange(40)}", f"r{rng.randrange(900)}."]) for _ in range(80))) for k in range(40)]
+    df = spark.createDataFrame(texts + texts[:3] + [(None, "no id here. the w1")], "id int, text string")
+    both = lambda: [sorted(map(str, f(df, "id", "text").collect())) for f in (SM.extractive_summary, SM.glossary_terms)]
+    whole = both()
+    monkeypatch.setattr(SM, "HOT_WORDS", 100)
+    monkeypatch.setattr(SM, "TASK_BYTES", 1000)
+    assert SM.dealt_by(df, "id", "text").rdd.getNumPartitions() >= sum(len(t) for _, t in texts) // 1000
+    hot, rare = SM.split_idf(SM.word_counts(df, ["id"], "text"), SM.F.lit(44))
+    assert 0 < hot.count() <= 100 < rare.count()
+    assert both() == whole
