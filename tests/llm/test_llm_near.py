@@ -394,3 +394,30 @@ def test_estimate_is_unbiased_and_bounded():
     err = (est - true)[off]
     bound = (vectors.EPSILON * np.sqrt((1 - f ** 2) / f ** 2 / 63))[:, None].repeat(400, 1)[off]
     assert abs(err.mean()) < 0.002 and (np.abs(err) <= bound).mean() > 0.998
+
+
+def test_samples_do_not_depend_on_runs(monkeypatch):
+    """Samples drawn in cache-sized runs are those of the plain statement over all shingles."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{v}" for v in rng.integers(0, 60, n)) for n in (0, 1, 3, 4, 5, 6, 400, 2, 90, 0, 33)]
+    sh, tf, first = minhash.weighted_sets(pa.array(texts), None)
+    idf = minhash.idf_table(100, np.full(minhash.BUCKETS, 3))
+    w = tf * idf[minhash.bucket(sh)]
+
+    def plain(k: int, text: int) -> int:
+        s, log_w = sh[first[text]:first[text + 1]], np.log(w[first[text]:first[text + 1]])
+        if not len(s):
+            return 0
+        x = (s + minhash.ADD[k]) * minhash.ODD[k]
+        x ^= x >> np.uint64(29)
+        x *= minhash.ODD[-1 - k]
+        x ^= x >> np.uint64(32)
+        r, b = minhash.RATE[x >> np.uint64(48)], ((x >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.float32) / np.float32(65536)
+        t = np.floor(log_w / r + b)
+        a = minhash.LOG_C[(x >> np.uint64(32)) & np.uint64(0xFFFF)] - r * (t - b + 1)
+        low = (x ^ (x >> np.uint64(20)) ^ (t.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B1))) & np.uint64(0xFFFFFFFF)
+        return min(zip(a.tolist(), low.tolist()))[1]
+    want = [[plain(k, text) for k in range(len(minhash.ODD))] for text in range(len(texts))]
+    for run in (1, 50, 1 << 17):
+        monkeypatch.setattr(minhash, "RUN", run)
+        assert minhash.sample(sh, w, first).tolist() == want
