@@ -9,7 +9,8 @@ nothing.  Only bin numbers and lengths travel between rounds, never ids.
 
 Tokenising keeps a table from space-separated parts to ids per worker: where Python's ``re`` classifies all
 characters like the tokenizer's own splitting, unknown parts are split here and encoded by the
-tokenizer's model; any other text is encoded whole.  The table starts anew at ``CACHE`` entries.
+tokenizer's model; any other text is encoded whole.  The table has two halves of ``CACHE`` entries: a full one becomes the old one,
+from which parts that come again are taken over, so frequent parts stay and a worker's memory is bounded.
 
 Defined cases: a null or empty text is the single id 0; a doc of exactly ``capacity`` ids is one piece; repeated rows
 are packed separately; an empty table gives an empty result; extra columns are ignored.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from typing import Iterator
 
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from gazette.llm.common import land, text_or_empty
 
 GROUP = 5000
-CACHE = 500_000
+CACHE = 160_000
 LOCAL_ITEMS = 50_000
 # fixed values: the splitting pattern of byte-level BPE, over characters that Python classifies alike
 PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -62,6 +64,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -70,7 +73,7 @@ class Encoder:
         ids = []
         for word in PRE_TOKEN.findall(text):
             ids += [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(LETTERS))]
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
         """A single space before a non-space always starts a pre-token, so without double spaces the
@@ -83,10 +86,11 @@ class Encoder:
             rest = b"".join([known[p] for p in parts])
         except KeyError:
             if len(known) > CACHE:
-                known.clear()
+                self.old, self.known = known, {}
+                known = self.known
             for p in parts:
                 if p not in known:
-                    known[p] = self.split(" " + p)
+                    known[p] = self.old.get(p) or self.split(" " + p)
             rest = b"".join([known[p] for p in parts])
         return self.split(first) + rest
 

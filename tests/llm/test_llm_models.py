@@ -337,3 +337,14 @@ def test_best_fit_is_best_fit():
             room.append(100 - lengths[k])
     assert sorted(100 - f for f in fill) == sorted(room)
     assert all(sum(lengths[bins == b]) == f for b, f in enumerate(fill))
+
+
+def test_encoder_keeps_a_bounded_table(monkeypatch):
+    """Parts that come again stay in the table, the others go; ids do not depend on it."""
+    monkeypatch.setattr(packing, "CACHE", 20)
+    e = packing.Encoder(TOKENIZER)
+    for k in range(60):
+        text = "a common part " + " ".join(f"x{k}y{j}" for j in range(7))
+        assert e(text) == e.whole(text)
+        assert len(e.known) + len(e.old) <= 2 * (20 + 10) and "common" in e.known | e.old
+    assert len(e.old) > 0
