@@ -36,3 +36,27 @@ def test_daily_digest_equals_sequential_runs(spark, sf):
         cutoff = day - dt.timedelta(days=s.seen_retention_days)
         seen = {k: v for k, v in seen.items() if v >= cutoff}
     assert got == want
+
+
+def _shuffled(df) -> str:
+    """The input columns of every exchange in the plan."""
+    lines = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).split("\n")
+    return "\n".join(lines[k + 1] for k, line in enumerate(lines) if line.startswith("(") and " Exchange" in line)
+
+
+def test_daily_digest_shuffles_no_text(spark, sf):
+    d = daily.daily_digest(spark, sf, C.TEST_SETTINGS).select("run_date", "entry_pos", "slug", "title", "read_minutes", "interest", "has_full_text")
+    shuffled = _shuffled(d)
+    assert "title" in shuffled
+    for name in (" text#", "[text#", "full_text#", " summary#", "[summary#"):
+        assert name not in shuffled.replace("has_full_text#", "")
+
+
+def test_title_candidates_travel_as_numbers(spark):
+    from gazette.operators import dedup as D
+    rows = [(1, "alpha beta gamma delta"), (1, "alpha beta gamma deltas"), (1, "something else here"), (2, "alpha beta gamma delta")]
+    s = D.similar_titles(spark.createDataFrame(rows, "run int, t string"), "run", "t")
+    assert {(r.run, r.new_title, r.old_title) for r in s.collect()} == {
+        (1, rows[0][1], rows[1][1]), (1, rows[1][1], rows[0][1])}
+    shuffled = _shuffled(s)
+    assert "ix#" in shuffled and "kx#" not in shuffled and "toks#" not in shuffled
