@@ -18,6 +18,7 @@ from typing import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import config as C
 from ..session import ensure_checkpoint_dir, scratch_path
@@ -25,6 +26,7 @@ from .ordering import ranked
 
 SCHEMA = "reply_key string, run string, reply string, error string, attempts int"
 Complete = Callable[[str, int], str]
+BROADCAST_KEYS = 100_000        # asked keys are broadcast up to this many (64 characters each)
 
 
 def reply_key(kind: str, prompt: str = "prompt") -> Column:
@@ -66,19 +68,29 @@ class ReplyStore:
             return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).parquet(self._folder(kind))
 
-    def outcomes(self, kind: str, run: str) -> DataFrame:
-        """Per key the reply that counts: an answered one, whichever run made it, else this run's failure."""
+    def outcomes(self, kind: str, run: str, keys: DataFrame | None = None) -> DataFrame:
+        """Per key the reply that counts: an answered one, whichever run made it, else this run's failure.  With ``keys`` (reply_key)
+        of those only: the rest of the store is read and dropped before any shuffle, where the keys are few."""
         rows = self.read(kind).where(F.col("reply").isNotNull() | (F.col("run") == run))
+        if keys is not None:
+            rows = rows.join(keys, "reply_key", "left_semi")
         order = F.struct(F.col("reply").isNotNull(), F.col("run"), F.col("reply"))
         return rows.groupBy("reply_key").agg(F.max_by(F.struct("reply", "error", "attempts"), order).alias("o")) \
                    .select("reply_key", "o.*")
 
+    def _wave(self, folder: str, wave: int, schema: StructType) -> DataFrame:
+        """One wave's prompts, from its own folder: neither the other waves' folders are listed nor a file opened for the schema."""
+        return self.spark.read.schema(schema).parquet(f"{folder}/wave={wave}")
+
     def complete(self, prompts: DataFrame, complete: Complete, kind: str, run: str, max_parallel: int,
                  calls_per_task: int = 16, attempts: int = C.RETRY_ATTEMPTS, base_delay_s: float = C.RETRY_BASE_DELAY_S) -> DataFrame:
         """``prompts`` (with a column ``prompt``) and their ``reply``, ``error``, ``attempts``; only prompts without an outcome are
         sent to ``complete(prompt, max_tokens)``."""
         p = prompts.withColumn("reply_key", reply_key(kind)).checkpoint(eager=True)
-        known = self.outcomes(kind, run).select("reply_key")
+        asked = p.select("reply_key")
+        if p.count() <= BROADCAST_KEYS:
+            asked = F.broadcast(asked)
+        known = self.outcomes(kind, run, asked).select("reply_key")
         todo = p.select("reply_key", "prompt").dropDuplicates(["reply_key"]).join(known, "reply_key", "left_anti")
         # numbered, so that waves and tasks are of equal size: a task has calls_per_task prompts and no more
         todo = ranked(todo, [], [F.col("reply_key").asc()], "n").withColumn("n", F.col("n") - 1).checkpoint(eager=True)
@@ -89,8 +101,8 @@ class ReplyStore:
             folder = scratch_path(self.spark, "prompts")
             (todo.withColumn("wave", F.floor(F.col("n") / size).cast("int")).write.partitionBy("wave").parquet(folder))
         for wave in range(waves):
-            part = todo if waves == 1 else self.spark.read.parquet(folder).where(F.col("wave") == wave).drop("wave")
+            part = todo if waves == 1 else self._wave(folder, wave, todo.schema)
             slot = F.pmod(F.col("n"), F.lit(max_parallel)).cast("int")
             (part.repartitionById(max_parallel, slot).select("reply_key", "prompt").mapInPandas(task, SCHEMA)
              .write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(self._folder(kind)))
-        return p.join(self.outcomes(kind, run), "reply_key", "left").drop("reply_key")
+        return p.join(self.outcomes(kind, run, asked), "reply_key", "left").drop("reply_key")

@@ -7,7 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from gazette.operators.reply_store import ReplyStore
+from gazette.operators.reply_store import ReplyStore, reply_key
 from gazette.session import scratch_path
 
 # the model functions below run in the workers, which cannot import this file
@@ -84,3 +84,21 @@ def test_null_and_no_prompts(spark, tmp_path):
     assert store.complete(none, logged(str(tmp_path / "c")), "weekly", "d1", 2).count() == 0
     one = store.complete(spark.createDataFrame([(1, None), (2, "")], "id long, prompt string"), lambda p, cap: f"{p!r}", "weekly", "d1", 2)
     assert one.where("reply is not null").count() == 2
+
+
+def test_wave_reads_its_own_folder_only(spark, tmp_path):
+    store, folder = ReplyStore(spark, str(tmp_path / "replies")), str(tmp_path / "prompts")
+    p = spark.createDataFrame([(f"k{n}", f"p{n}", n, n // 2) for n in range(6)], "reply_key string, prompt string, n long, wave int")
+    p.write.partitionBy("wave").parquet(folder)
+    part = store._wave(folder, 1, p.drop("wave").schema)
+    assert sorted(r.n for r in part.collect()) == [2, 3]
+    assert all("/wave=1/" in f for f in part.inputFiles())
+
+
+def test_outcomes_of_the_asked_keys_only(spark, tmp_path):
+    store = ReplyStore(spark, str(tmp_path / "replies"))
+    p = spark.createDataFrame([(f"p{n}",) for n in range(6)], "prompt string")
+    store.complete(p, lambda prompt, cap: prompt.upper(), "quiz", "1", 2, 1, 1, 0)
+    keys = p.where("prompt < 'p2'").select(reply_key("quiz").alias("reply_key"))
+    assert sorted(r.reply for r in store.outcomes("quiz", "1", keys).collect()) == ["P0", "P1"]
+    assert store.outcomes("quiz", "1").count() == 6
