@@ -6,8 +6,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from gazette.llm import minhash, substring, vectors
+from gazette.llm import common, minhash, substring, vectors
 from gazette.llm.shingles import shingle_hashes, word_hashes, text_bytes
 
 
@@ -190,6 +191,55 @@ def test_near_classes_odd_rows(docs, wide, no_docs):
     assert minhash.near_classes(no_docs).count() == 0 == minhash.drop_near_duplicates(no_docs).count()
 
 
+def test_bit_table_holds_its_hashes(spark):
+    inside = np.random.default_rng(4).integers(-(1 << 63), (1 << 63) - 1, 50_000)
+    test = common.perhaps_in(spark.createDataFrame([(int(v),) for v in inside[:25_000]], "th long"))
+    got = spark.createDataFrame([(int(v),) for v in inside], "th long").withColumn("ok", test(F.col("th"))).toPandas().set_index("th").ok
+    assert got[inside[:25_000]].all() and not got[inside[25_000:]].mean() > 0.01
+
+
+def shown_plan(df, capsys) -> str:
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_texts_that_stay_are_not_shuffled(spark, monkeypatch, capsys):
+    """Rows are told apart by hashes that are broadcast, or by a table of bits; only rows that go, or have copies, move."""
+    rows = spark.createDataFrame([(k, "en", f"text {k % 90}") for k in range(100)] + [(7, "en", "text 7"), (None, "en", None), (None, "en", None)],
+                                 "doc_id long, lang string, text string")
+    decided = rows.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), (F.col("doc_id").isNull() | (F.col("doc_id") < 90)).alias("kept"))
+    want = Counter([(k, f"text {k}") for k in range(90)] + [(None, None)])
+    some = spark.createDataFrame([(k,) for k in range(50)], "th long")
+    for most in (100, 0):
+        monkeypatch.setattr(common, "BROADCAST_HASHES", most)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            kept = common.keep_rows(rows, decided, F.xxhash64(F.coalesce("text", F.lit(""))))
+            plan = shown_plan(kept, capsys)
+            assert Counter((r.doc_id, r.text) for r in kept.collect()) == want
+            few, others = common.parted(spark.range(200).select(F.col("id").alias("th"), F.lit("text").alias("text")), some)
+            assert set(range(50)) <= {r.th for r in few.collect()} and {r.th for r in others.collect()} <= set(range(50, 200))
+            assert few.count() + others.count() == 200
+            assert "Exchange hashpartitioning" not in shown_plan(few, capsys) + shown_plan(others, capsys)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert ("LeftAnti" in plan) if most else ("test(" in plan)
+
+
+def test_near_classes_by_the_bit_table(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(400)) for _ in range(60)) for _ in range(40)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100 + k, t + " one more") for k, t in enumerate(texts[:15])] + [(200, texts[0]), (200, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(minhash.near_classes(docs).select("doc_id", "class_id", "class_size", "kept").collect())
+    left = sorted(minhash.drop_near_duplicates(docs).collect())
+    assert [r.doc_id for r in left] == list(range(40))
+    monkeypatch.setattr(common, "BROADCAST_HASHES", 0)
+    assert sorted(minhash.near_classes(docs).select("doc_id", "class_id", "class_size", "kept").collect()) == want
+    assert sorted(minhash.drop_near_duplicates(docs).collect()) == left
+
+
 def test_samples_agree_with_the_similarity():
     rng = random.Random(2)
     base = [f"w{k}" for k in range(600)]
