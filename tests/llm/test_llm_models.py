@@ -348,3 +348,26 @@ def test_encoder_keeps_a_bounded_table(monkeypatch):
         assert e(text) == e.whole(text)
         assert len(e.known) + len(e.old) <= 2 * (20 + 10) and "common" in e.known | e.old
     assert len(e.old) > 0
+
+
+def test_parts_are_encoded_many_at_once(monkeypatch):
+    """Merges of many words at once give the model's ids, and the model is asked for none of the short parts."""
+    e, rng = packing.Encoder(TOKENIZER), random.Random(6)
+    letters = list("aabcdeeehilnorsttuXYZ0192__--.,'!?()\n\t") + ["'s", "'re", "é", "ß", "漢", "😀", "\xa0", "ing", "tion", "the"]
+    parts = ["", " ", "a", "\n", "'", " '", " 's", "_a", " _"] + [
+        rng.choice(["", " "]) + "".join(rng.choice(letters) for _ in range(rng.randrange(0, 17))) for _ in range(4000)]
+    long = [" " + "na" * 40, "é" * 40, "x" * 3000]
+    want = [e.split(p) for p in parts]
+    assert e.split_all([*long, *parts, *long]) == [*map(e.split, long), *want, *map(e.split, long)]
+    assert e.split_all([]) == [] and e.split_all([""]) == [b""]
+    short = [p for p in parts if len(p) <= 16]
+    kept = [w for p, w in zip(parts, want) if len(p) <= 16]
+    monkeypatch.setattr(packing.Encoder, "split", None)
+    assert e.split_all(short) == kept
+
+
+def test_texts_are_encoded_many_at_once():
+    e, rng = packing.Encoder(TOKENIZER), random.Random(7)
+    words = ["a", "the", "of", "Ünit", "x1", "don't", "end.", "\n", "two\nlines", "<|endoftext|>", "", "漢字", "long" * 30]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 30))) for _ in range(300)] + ["", " ", "  "]
+    assert e.encode(texts) == [e.whole(t) for t in texts] and e.encode([]) == []
