@@ -388,6 +388,61 @@ def test_pairs_do_not_depend_on_the_rows_held(monkeypatch):
     assert len(got[0]) > 500 and got[0] == got[1] == got[2]
 
 
+def test_passages_that_their_leader_does_not_share(spark):
+    """Passages of 62 words, one replaced, that begin with a line of 44 words that all 60 texts share: 28 of 30 pairs were found by leaders alone."""
+    rng = random.Random(81)
+    word = lambda: f"w{rng.randrange(10 ** 7)}"                # noqa: E731
+    line, rows = [word() for _ in range(44)], []
+    for _ in range(30):
+        p = line + [word() for _ in range(18)]
+        for copy in (p, p[:53] + ["edit"] + p[54:]):
+            rows.append([word() for _ in range(30)] + copy + [word() for _ in range(30)])
+    got = defaultdict(set)
+    for r in substring.repeated_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(rows)], "doc_id long, text string")).collect():
+        got[r.doc_id].add(r.class_id)
+    assert dict(got) == {2 * k + e: {2 * k} for k in range(30) for e in (0, 1)}
+
+
+def test_windows_that_agree_meet_whoever_leads():
+    """One key, a leader that agrees with nobody: all pairs of agreeing windows of different classes come, with the leader alone none did."""
+    rng = np.random.default_rng(16)
+    n = 40
+    around = rng.integers(0, 1 << 31, (n, 2 * substring.AROUND + 1), dtype=np.uint32) | np.uint32(1)
+    marks = rng.integers(0, 1 << 56, n, dtype=np.uint64)
+    around[21:], marks[21:] = around[1:20], marks[1:20]        # windows 1 + k and 21 + k are of one passage
+    around[:, substring.AROUND] = 7
+    marks |= np.uint64(0xEE) << np.uint64(56)
+    th, root = np.arange(n), np.arange(n) + 100
+    want = {(k, k + 20) for k in range(1, 20)}
+    star = set(zip(*[a.tolist() for a in substring.star_pairs(np.full(n, 7), th, marks)[:2]]))
+    agreeing = {p for i, j in substring.crossing(th, root, marks, th, th) for p in zip(i.tolist(), j.tolist()) if p[0] < p[1]}
+    assert want <= agreeing and star <= agreeing
+    assert [k for k in np.flatnonzero(substring.long_runs(around[1:20], around[21:]))] == list(range(19))
+    assert not substring.long_runs(around[1:20], around[2:21]).any()
+    zero = np.zeros(n, np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(a) for a in (zero + 7, zero, zero, zero, th, root, marks.view(np.int64))] + [
+        pa.array([r.tobytes() for r in around], pa.binary())], ["key", "b1", "b2", "own", "th", "root", "marks", "text"])
+    got = {p for b in substring._cross(iter([batch])) for p in zip(*[c.to_pylist() for c in b.columns])}
+    assert got == want
+    root[21:] = root[1:20]                                     # of one class: they have met
+    batch = batch.set_column(5, "root", pa.array(root))
+    assert not sum(b.num_rows for b in substring._cross(iter([batch])))
+
+
+def test_a_run_meets_its_first_text():
+    """Texts that share a run of words are joined through it, whatever else their windows hold."""
+    rng = random.Random(80)
+    fill = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))      # noqa: E731
+    runs = [fill(55) for _ in range(3)]
+    texts = [f"{fill(30)} {runs[k % 3]} {fill(30)}" for k in range(12)]
+    table = pa.RecordBatch.from_pydict({"th": pa.array(range(12), pa.int64()), "text": pa.array(texts)})
+    rows = [r for b in substring._runs(iter([table]), np.zeros(1 << 18, bool), lambda h: np.ones(len(h), bool)) for r in zip(*[c.to_pylist() for c in b.columns])]
+    table = pa.table(dict(zip(("run", "th"), zip(*sorted(rows)))), schema=pa.schema([("run", pa.int64()), ("th", pa.int64())]))
+    for size in (1000, 7, 1):
+        got = {p for b in substring._first_holders(iter(table.to_batches(max_chunksize=size))) for p in zip(*[c.to_pylist() for c in b.columns])}
+        assert got == {(k % 3, k) for k in range(3, 12)}
+
+
 def test_passages_odd_rows(docs, wide, no_docs):
     a = sorted(map(tuple, substring.repeated_passages(docs).collect()))
     assert a == sorted(map(tuple, substring.repeated_passages(wide).collect()))
